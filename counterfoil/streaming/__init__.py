@@ -1,0 +1 @@
+"""Nothing here streams: every input is a finished table, read as a batch."""
