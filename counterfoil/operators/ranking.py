@@ -94,6 +94,8 @@ def choose_cuts(keyed: DataFrame, id_column: str, cells: int | None = None) -> C
 
 def with_cells(keyed: DataFrame, id_column: str, cuts: Cuts) -> DataFrame:
     """Add the cell of each row: a binary search on the key, then a count of lower id cuts."""
+    if len(cuts.splits) < 3:
+        return keyed.withColumns({BUCKET: F.lit(0), SLICE: F.lit(0)})
     placed = Bucketizer(
         splits=cuts.splits, inputCol=KEY, outputCol=BUCKET, handleInvalid="error"
     ).transform(keyed)
