@@ -42,8 +42,11 @@ def has_promotion(promotion_id: Column) -> Column:
 
 
 def elapsed_days(since: Column, until: Column) -> Column:
-    """Whole elapsed days, not calendar days: 23:00 to the next midnight is 0."""
-    return F.timestamp_diff("DAY", since, until)
+    """Whole elapsed days, not calendar days: 23:00 to the next midnight is 0.
+
+    The day field of the interval between two zone-less times; no session zone is involved.
+    """
+    return F.extract(F.lit("DAY"), until - since)
 
 
 def segment_code(segment: Column) -> Column:

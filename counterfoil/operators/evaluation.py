@@ -50,6 +50,7 @@ def qini_curve(
             "y_c": F.col("y") * (1 - F.col("w")),
         },
         cells=cells,
+        rows=totals["n"],
     )
     n_c = F.col("n_pop") - F.col("n_t")
     gain = F.col("y_t") - F.col("y_c") * E.ratio(F.col("n_t"), n_c)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, time, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,44 @@ def _within(moment: Column, start: Column, days: int) -> Column:
     return (moment >= begin) & (moment < begin + F.expr(f"INTERVAL {days} DAYS"))
 
 
+BITS = 62
+
+
+def _bits_per_customer(
+    bought: DataFrame, starts: list[datetime], days: int
+) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Per customer one bit for each start date with a purchase in [start, start + days).
+
+    Bits are merged by ``bit_or``, whose partial results are plain numbers: however many
+    purchases a customer has, one row leaves each task. Also returns the test of a start date.
+    """
+    moment = F.col("datetime")
+    masks = []
+    for first in range(0, len(starts), BITS):
+        flags = [
+            F.when(_within(moment, F.lit(start.date()), days), F.lit(1 << i).cast("bigint"))
+            .otherwise(F.lit(0).cast("bigint"))
+            for i, start in enumerate(starts[first : first + BITS])
+        ]
+        masks.append(reduce(Column.bitwiseOR, flags).alias(f"__mask{first // BITS}"))
+    names = [f"__mask{i}" for i in range(len(masks))]
+    hits = (
+        bought.select("customer_id", *masks)
+        .groupBy("customer_id")
+        .agg(*[F.bit_or(name).alias(name) for name in names])
+    )
+    number = F.create_map(
+        *[x for i, s in enumerate(starts) for x in (F.lit(s.date()), F.lit(i))]
+    )
+
+    def place(start_date: Column) -> Column:
+        index = F.try_element_at(number, start_date)
+        word = F.get(F.array(*names), F.floor(index / BITS).cast("int"))
+        return F.getbit(word, index % BITS)
+
+    return hits, place
+
+
 def response_label(
     dispatch: DataFrame,
     promotions: DataFrame,
@@ -68,13 +108,12 @@ def response_label(
     )
     offers = small_table(promotions.select("promotion_id", "product_id", "start_date"))
     if match == "any":
-        dates = F.array(*[F.lit(s.date()) for s in starts])
-        hits = bought.select(
-            "customer_id",
-            F.explode(F.filter(dates, lambda s: _within(moment, s, days))).alias("start_date"),
-        ).distinct()
+        # One row per customer, so that the dispatch is shuffled by customer only, as the
+        # joins that follow need it.
+        hits, place = _bits_per_customer(bought, starts, days)
         sent = dispatch.join(offers.drop("product_id"), "promotion_id", "left")
-        on = ["customer_id", "start_date"]
+        labelled = sent.join(hits, "customer_id", "left")
+        hit = place(F.col("start_date")).cast("int")
     else:
         if match == "category":
             categories = products.select("product_id", "product_taxonomies")
@@ -84,12 +123,13 @@ def response_label(
             bought.select("customer_id", "product_id", "datetime")
             .join(offers, "product_id")
             .filter(_within(moment, F.col("start_date"), days))
-            .select("customer_id", "promotion_id")
+            .select("customer_id", "promotion_id", F.lit(1).alias("__hit"))
             .distinct()
         )
-        sent, on = dispatch, ["customer_id", "promotion_id"]
-    return sent.join(hits.withColumn("__hit", F.lit(1)), on, "left").select(
-        *dispatch.columns, F.coalesce("__hit", F.lit(0)).alias("bought_after_promo")
+        hit = F.col("__hit")
+        labelled = dispatch.join(hits, ["customer_id", "promotion_id"], "left")
+    return labelled.select(
+        *dispatch.columns, F.coalesce(hit, F.lit(0)).alias("bought_after_promo")
     )
 
 

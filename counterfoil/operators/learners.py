@@ -12,10 +12,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
-from counterfoil.sources.storage import shared_folder
+from counterfoil.sources.storage import local_table, shared_folder
 
 ROWS_PER_PARTITION = 100_000
 
@@ -49,29 +50,34 @@ class StratifiedTLearner:
             )
             .collect()
         )
-        rates = {}
+        strata: dict[tuple[int, int], dict[int, float]] = {}
         for r in rows:
-            rates[(r[0], r[1], r[2])] = (r["buyers"] + 1) / (r["n"] + 2)
-        return StratifiedModel(rates)
+            strata.setdefault(r[:2], {})[r["is_treatment"]] = (r["buyers"] + 1) / (r["n"] + 2)
+        return StratifiedModel(
+            [(*key, arms.get(1, 0.5), arms.get(0, 0.5)) for key, arms in strata.items()]
+        )
 
 
 @dataclass(frozen=True)
 class StratifiedModel:
-    rates: dict[tuple[int, int, int], float]
+    """Rows of (segment code, recency band, treated rate, control rate)."""
+
+    strata: list[tuple[int, int, float, float]]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add p_treatment, p_control and uplift; a stratum without rows has rate 1/2."""
-        strata = sorted({key[:2] for key in self.rates})
-        band = E.recency_band(F.col("recency_days"))
-        p_treatment = p_control = F.lit(0.5)
-        for code, number in strata:
-            here = (F.col("customer_segment_code") == code) & (band == number)
-            p_treatment = F.when(here, self.rates.get((code, number, 1), 0.5)).otherwise(
-                p_treatment
-            )
-            p_control = F.when(here, self.rates.get((code, number, 0), 0.5)).otherwise(p_control)
+        schema = T.StructType.fromDDL(
+            "customer_segment_code int, __band int, p_treatment double, p_control double"
+        )
+        rates = local_table(df.sparkSession, self.strata, schema)
+        banded = df.withColumn("__band", E.recency_band(F.col("recency_days")))
+        joined = banded.join(F.broadcast(rates), ["customer_segment_code", "__band"], "left")
         return _with_uplift(
-            df.withColumns({"p_treatment": p_treatment, "p_control": p_control})
+            joined.select(
+                *df.columns,
+                F.coalesce("p_treatment", F.lit(0.5)).alias("p_treatment"),
+                F.coalesce("p_control", F.lit(0.5)).alias("p_control"),
+            )
         )
 
 

@@ -94,6 +94,7 @@ def profit_curve(rows: DataFrame, cells: int | None = None) -> DataFrame:
             "profit_units": E.to_units(profit, EXACT_PLACES),
         },
         cells=cells,
+        rows=total,
     )
     return curve.select(
         "customer_id",

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from counterfoil.sources.storage import local_table
+
 ROWS_PER_CELL = 500_000
 MIN_ROWS_PER_CELL = 64
 MAX_CELLS = 4096
@@ -82,8 +84,10 @@ def cuts_from_sample(sample: Sequence[tuple[float, object]], cells: int) -> Cuts
     return Cuts([-math.inf, *inner, math.inf], ties)
 
 
-def choose_cuts(keyed: DataFrame, id_column: str, cells: int | None = None) -> Cuts:
-    rows = keyed.count()
+def choose_cuts(
+    keyed: DataFrame, id_column: str, cells: int | None = None, rows: int | None = None
+) -> Cuts:
+    rows = keyed.count() if rows is None else rows
     cells = cells or _cell_count(keyed, rows)
     if cells < 2:
         return Cuts()
@@ -106,7 +110,7 @@ def with_cells(keyed: DataFrame, id_column: str, cuts: Cuts) -> DataFrame:
     schema = T.StructType(
         [T.StructField(BUCKET, T.IntegerType()), T.StructField("__ids", T.ArrayType(id_type))]
     )
-    ties = keyed.sparkSession.createDataFrame(list(cuts.ties.items()), schema)
+    ties = local_table(keyed.sparkSession, list(cuts.ties.items()), schema)
     lower = F.size(F.filter("__ids", lambda cut: cut < F.col(id_column)))
     return (
         placed.join(F.broadcast(ties), BUCKET, "left")
@@ -124,18 +128,20 @@ def running_totals(
     descending: bool = True,
     rank: str = "n_pop",
     cells: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add the 1-based rank and running sums in the order (score, id), per group.
 
     ``sums`` maps new columns to integer or decimal expressions: exact, so a total does not
-    depend on the cells. Groups are few (arms, scenarios) and not null.
+    depend on the cells. Groups are few (arms, scenarios) and not null. ``rows``, if known,
+    saves a count; it only sizes the cells.
     """
     sums = dict(sums or {})
     groups = list(groups)
     keyed = _keyed(df, score, descending)
     for name, value in sums.items():
         keyed = keyed.withColumn(f"__{name}", value)
-    cuts = choose_cuts(keyed, id_column, cells)
+    cuts = choose_cuts(keyed, id_column, cells, rows)
     placed = with_cells(keyed, id_column, cuts)
 
     # One row per group and cell: a few thousand at most.
@@ -250,7 +256,7 @@ def rank_cuts(
                 T.StructField("__position", T.LongType()),
             ]
         )
-        points = F.broadcast(df.sparkSession.createDataFrame(targets, schema))
+        points = F.broadcast(local_table(df.sparkSession, targets, schema))
         on = [*groups, *CELL]
         inside = Window.partitionBy(*on).orderBy(KEY, id_column)
         hits = (

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
@@ -79,35 +77,27 @@ def feature_profile(
         long, "value", id_column, neighbours, groups=["feature"], descending=False, cells=cells
     )
 
-    def quartile(column: str, index: int) -> float | None:
+    def quartile(column: str, index: int, n: Column) -> Column:
         cuts = found.get((column,))
         if not cuts:
-            return None
-        low, high = cuts[2 * index], cuts[2 * index + 1]
-        total = counts[column]
-        weight = math.fmod((total - 1) * QUARTILES[index], 4) / 4
-        return low.score + (high.score - low.score) * weight
-
-    counts = {
-        column: n
-        for column, n in features.agg(
-            *[F.count(c).alias(c) for c in columns]
-        ).first().asDict().items()
-    }
+            return F.lit(None).cast("double")
+        low, high = cuts[2 * index].score, cuts[2 * index + 1].score
+        weight = ((n - 1) * QUARTILES[index] % 4) / F.lit(4.0)
+        return F.lit(low) + F.lit(high - low) * weight
+
     parts = []
     for c in columns:
         value = F.col(c).cast("double")
+        n = F.count(value)
         parts.append(
             F.struct(
                 F.lit(c).alias("feature"),
-                F.count(value).alias("n"),
+                n.alias("n"),
                 E.round_half_even(F.avg(value), PROFILE_PLACES).alias("mean"),
                 E.round_half_even(F.stddev_samp(value), PROFILE_PLACES).alias("std"),
                 F.min(value).alias("min"),
                 *[
-                    E.round_half_even(F.lit(quartile(c, i)).cast("double"), PROFILE_PLACES).alias(
-                        f"q{25 * q}"
-                    )
+                    E.round_half_even(quartile(c, i, n), PROFILE_PLACES).alias(f"q{25 * q}")
                     for i, q in enumerate(QUARTILES)
                 ],
                 F.max(value).alias("max"),

@@ -7,12 +7,14 @@ are declared, so opening a table starts no job.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
 from counterfoil.operators import experiment, features
+from counterfoil.sources.storage import small_table
 
 FILES: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -107,16 +109,16 @@ class Retail:
             )
         )
 
-    @property
+    @cached_property
     def promotions(self) -> DataFrame:
-        """One row per promoted part."""
+        """One row per promoted part, looked up once."""
         key = F.col("p_partkey")
         name = discount = F.lit(None)
         for promotion, (part, rate) in PROMOTIONS.items():
             name = F.when(key == part, promotion).otherwise(name)
             discount = F.when(key == part, rate).otherwise(discount)
         start = F.lit(REFERENCE_DATE).cast("date")
-        return (
+        return small_table(
             self.raw("part")
             .filter(key.isin([part for part, _ in PROMOTIONS.values()]))
             .select(
@@ -128,6 +130,16 @@ class Retail:
             )
         )
 
+    @property
+    def lines(self) -> DataFrame:
+        """The lines alone, for what needs neither customer nor date."""
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("po_id"),
+            F.col("l_partkey").alias("product_id"),
+            _paid_price().alias("price"),
+            _promotion().alias("promotion_id"),
+        )
+
     @property
     def transactions(self) -> DataFrame:
         """One row per line. Both sides are large and meet on the order key."""

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SMALL_ROWS = 10_000
 
@@ -44,8 +48,17 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a plan constant: no job, and a size the optimizer knows."""
+    columns = [
+        pa.array([row[i] for row in rows], type=to_arrow_type(f.dataType))
+        for i, f in enumerate(schema)
+    ]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
+
+
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A table of at most ``max_rows`` rows as a broadcast relation; a larger one unchanged.
+    """A table of at most ``max_rows`` rows as a broadcast constant; a larger one unchanged.
 
     The check counts real rows, which file sizes cannot do after a filter or a join. A table
     beyond the limit is left to Spark's own choice of join.
@@ -53,4 +66,4 @@ def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(local_table(df.sparkSession, rows, df.schema))
