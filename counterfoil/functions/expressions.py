@@ -22,7 +22,7 @@ def round_half_even(value: Column, places: int) -> Column:
 def to_units(value: Column, places: int = 4) -> Column:
     """A double as a whole number of 10^-places, so that sums do not depend on row order.
 
-    The decimal type lets the sum grow past 64 bits; a single value may not.
+    The decimal type lets the sum grow past 64 bits; a single value has 18 digits at most.
     """
     return F.rint(value * F.lit(float(10**places))).cast("bigint").cast(UNITS)
 
