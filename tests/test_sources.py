@@ -1,0 +1,115 @@
+import pytest
+from pyspark.sql import functions as F
+
+from counterfoil.functions import constants as C
+from counterfoil.operators import value
+from counterfoil.operators.learners import StratifiedTLearner
+from counterfoil.plans import pipeline
+from counterfoil.sources import catalog, sinks, storage
+from counterfoil.sources.binding import Retail
+
+
+@pytest.fixture(scope="module")
+def csv_folder(spark, small, tmp_path_factory):
+    """The six tables as CSV, derived from the test tables."""
+    folder = tmp_path_factory.mktemp("csv")
+    retail = Retail(spark, small)
+    tables = {name: getattr(retail, name) for name in catalog.SCHEMAS}
+    for name, df in tables.items():
+        df.coalesce(1).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return str(folder)
+
+
+def test_catalog_loads_typed_tables(spark, csv_folder, small):
+    tables = catalog.load_catalog(spark, csv_folder, views=True)
+    retail = Retail(spark, small)
+    for name, df in tables.items():
+        assert df.schema.simpleString() == catalog.T.StructType.fromDDL(
+            catalog.SCHEMAS[name]
+        ).simpleString()
+        assert df.count() == getattr(retail, name).count()
+    assert spark.sql("SELECT count(*) FROM transactions").first()[0] > 5000
+    assert tables["transactions"].filter("promotion_id = ''").count() == 0
+
+
+def test_missing_table_and_column(spark, csv_folder):
+    with pytest.raises(catalog.MissingInput, match="nowhere"):
+        catalog.read_table(spark, f"{csv_folder}/nowhere.csv", "a int")
+    with pytest.raises(FileNotFoundError, match="colour"):
+        catalog.read_table(spark, f"{csv_folder}/stores.csv", "store_id string, colour string")
+
+
+def test_columns_are_matched_by_name(spark, csv_folder):
+    df = catalog.read_table(spark, f"{csv_folder}/products.csv", "cogs double, product_id string")
+    assert df.columns == ["cogs", "product_id"] and df.filter("cogs is null").count() == 0
+
+
+def test_batch_scoring_over_csv_equals_the_bound_tables(spark, csv_folder, small, tmp_path):
+    tables = catalog.load_catalog(spark, csv_folder)
+    out = str(tmp_path / "list")
+    pipeline.run_scoring(
+        tables, out, "2001-01-01", ["PROM_001", "PROM_002"], StratifiedTLearner()
+    )
+    schema = "customer_id string, promotion_id string, customer_taxonomies string, " + (
+        "recency_days bigint, total_spend double, p_buy_treatment double, "
+        "p_buy_control double, uplift_score double, uplift_segment string, "
+        "expected_incremental_revenue double, expected_incremental_profit double, "
+        "recommended_action string"
+    )
+    written = sinks.read_list(spark, out, schema)
+    retail = Retail(spark, small)
+    bound = pipeline.score(
+        retail.features,
+        retail.campaign,
+        value.promotion_terms(retail.promotions, retail.products, ["PROM_001", "PROM_002"]),
+    ).rows.withColumn("customer_id", F.col("customer_id").cast("string"))
+    assert written.columns == value.TARGETING_COLUMNS
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, bound.collect()))
+
+
+def test_saved_list_is_read_not_recomputed(spark, tmp_path):
+    path, calls = str(tmp_path / "saved"), []
+
+    def compute():
+        calls.append(1)
+        return spark.range(3)
+
+    for _ in range(2):
+        assert sinks.saved_or_computed(spark, path, compute).count() == 3
+    assert calls == [1]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_export_holds_targets_only(spark, tmp_path, fmt):
+    rows = spark.createDataFrame(
+        [("a", C.TARGET), ("b", C.SKIP), ("c", C.DO_NOT_DISTURB)],
+        "customer_id string, recommended_action string",
+    )
+    path = sinks.export_targets(rows, str(tmp_path / "out"), fmt)
+    got = sinks.read_list(spark, path, rows.schema, fmt).collect()
+    assert [tuple(r) for r in got] == [("a", C.TARGET)]
+
+
+def test_written_list_keeps_its_order(spark, tmp_path):
+    path = sinks.write_list(
+        spark.range(1000).orderBy(F.desc("id")), str(tmp_path / "sorted"), "parquet"
+    )
+    assert [r.id for r in spark.read.parquet(path).collect()] == list(range(999, -1, -1))
+
+
+def test_small_table_is_checked(spark):
+    df = spark.range(10)
+    assert storage.small_table(df, 9) is df
+    assert sorted(r.id for r in storage.small_table(df, 10).collect()) == list(range(10))
+
+
+def test_store_cuts_the_lineage_to_a_scan(spark):
+    kept = storage.store(spark.range(100).groupBy(F.col("id") % 7).count(), "kept")
+    plan = kept.filter("count > 3")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan and "PushedFilters" in plan
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = storage.shared_folder(spark)
+    assert folder == (named.rstrip("/") if named else storage.shared_folder(spark))
