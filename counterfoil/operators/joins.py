@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
 from counterfoil.operators import features
+from counterfoil.sources.storage import small_table
 
 
 def star_join(
@@ -18,16 +19,17 @@ def star_join(
 ) -> DataFrame:
     """Every line with customer, promotion, product and store columns; no line is lost.
 
-    No hints: Spark broadcasts the dimensions whose statistics are under its threshold and
-    splits skewed partitions of the fact side for the others.
+    Most lines carry no promotion, one value of the join key. Promotions and stores are
+    therefore broadcast when counted to be few. Customers and products, and dimensions beyond
+    that count, are left to Spark: broadcast by statistics, or shuffled with skewed
+    partitions of the fact side split at run time.
     """
+    offers = small_table(
+        promotions.select("promotion_id", "discount", "start_date", "end_date")
+    )
     return (
         transactions.join(customers, "customer_id", "left")
-        .join(
-            promotions.select("promotion_id", "discount", "start_date", "end_date"),
-            "promotion_id",
-            "left",
-        )
+        .join(offers, "promotion_id", "left")
         .join(
             products.select(
                 "product_id", "product_taxonomies", F.col("price").alias("product_price")
@@ -35,7 +37,7 @@ def star_join(
             "product_id",
             "left",
         )
-        .join(stores, "store_id", "left")
+        .join(small_table(stores), "store_id", "left")
         .select(
             *transactions.columns,
             "customer_taxonomies",

@@ -12,9 +12,6 @@ from counterfoil.functions import expressions as E
 from counterfoil.operators import ranking
 from counterfoil.operators.value import EXACT_PLACES, Terms
 
-MONEY = "decimal(28,8)"
-
-
 def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms) -> DataFrame:
     """Audience, revenue, profit and spend of each policy, one row per policy.
 
@@ -22,28 +19,32 @@ def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms)
     everybody; the revenue share is null when that earns nothing.
     """
     discount = terms.price * terms.discount_rate
-    spend = E.to_units(terms.campaign_cost + discount * F.col("p_buy_treatment"), EXACT_PLACES)
     revenue = E.to_units(F.col("expected_incremental_revenue"))
     profit = E.to_units(F.col("expected_incremental_profit"))
+    p_treatment = E.to_units(F.col("p_buy_treatment"))
+
+    def total(units: Column, keep: Column) -> Column:
+        return E.from_units(F.coalesce(F.sum(F.when(keep, units)), F.lit(0)))
 
-    def total(units: Column, keep: Column, places: int) -> Column:
-        return E.from_units(F.coalesce(F.sum(F.when(keep, units)), F.lit(0)), places)
+    def spend(keep: Column) -> Column:
+        sent = F.count(F.when(keep, 1)) * terms.campaign_cost
+        return E.round_half_even(sent + total(p_treatment, keep) * discount, EXACT_PLACES)
 
     everybody = F.lit(True)
     parts = [
         F.struct(
             F.lit(name).alias("policy"),
             F.count(F.when(keep, 1)).alias("n_targeted"),
-            total(revenue, keep, 4).alias("revenue"),
-            total(profit, keep, 4).alias("profit"),
-            total(spend, keep, EXACT_PLACES).alias("spend"),
+            total(revenue, keep).alias("revenue"),
+            total(profit, keep).alias("profit"),
+            spend(keep).alias("spend"),
         )
         for name, keep in policies.items()
     ]
     each = rows.agg(
         F.array(*parts).alias("__all"),
-        total(revenue, everybody, 4).alias("uniform_revenue"),
-        total(spend, everybody, EXACT_PLACES).alias("uniform_spend"),
+        total(revenue, everybody).alias("uniform_revenue"),
+        spend(everybody).alias("uniform_spend"),
     ).select(F.inline("__all"), "uniform_revenue", "uniform_spend")
     return each.select(
         "policy",

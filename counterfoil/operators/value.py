@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
+from counterfoil.sources.storage import local_table
 
 # Decimals carried by what-if money: 4 (probability) + 2 (price) + 2 (rate).
 EXACT_PLACES = 8
@@ -171,8 +173,8 @@ class Scenario:
     campaign_cost: float = C.DEFAULT_CAMPAIGN_COST
 
 
-def scenario_money(scenario: Scenario) -> tuple[Column, Column, Column]:
-    """Revenue, profit and spend from the saved (rounded) probabilities; not rounded again."""
+def scenario_money(scenario: Scenario) -> tuple[Column, Column]:
+    """Revenue and profit from the saved (rounded) probabilities; not rounded again."""
     uplift, p_treatment = F.col("uplift_score"), F.col("p_buy_treatment")
     discount = scenario.price * scenario.discount_rate
     revenue = uplift * scenario.price - discount * p_treatment
@@ -181,7 +183,7 @@ def scenario_money(scenario: Scenario) -> tuple[Column, Column, Column]:
         - discount * p_treatment
         - scenario.campaign_cost
     )
-    return revenue, profit, scenario.campaign_cost + discount * p_treatment
+    return revenue, profit
 
 
 def what_if(rows: DataFrame, scenario: Scenario) -> DataFrame:
@@ -189,7 +191,7 @@ def what_if(rows: DataFrame, scenario: Scenario) -> DataFrame:
 
     Quadrants depend on probabilities only and stay as they are.
     """
-    revenue, profit, _ = scenario_money(scenario)
+    revenue, profit = scenario_money(scenario)
     return rows.withColumns(
         {
             "expected_incremental_revenue": revenue,
@@ -199,38 +201,79 @@ def what_if(rows: DataFrame, scenario: Scenario) -> DataFrame:
     )
 
 
+def _sum_of(units: Column, keep: Column | None = None) -> Column:
+    chosen = units if keep is None else F.when(keep, units)
+    return E.from_units(F.coalesce(F.sum(chosen), F.lit(0)), C.PROBABILITY_PLACES)
+
+
 def campaign_kpis(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
     """Uniform campaign against targeting, one row per scenario.
 
-    All scenarios are conditional sums of a single pass: no copy of the customers is made
-    per scenario, and only one row leaves each task.
+    Revenue, profit and spend are linear in uplift and probability. So one pass adds up these
+    two, over everybody and over each scenario's targets, and the money of every scenario
+    follows from the sums. No customer is copied per scenario; one row leaves each task.
     """
-    sums: list[Column] = []
+    uplift = E.to_units(F.col("uplift_score"), C.PROBABILITY_PLACES)
+    p_treatment = E.to_units(F.col("p_buy_treatment"), C.PROBABILITY_PLACES)
+    targets = []
     for s in scenarios:
-        revenue, profit, spend = scenario_money(s)
-        act = E.action(F.col("uplift_score"), profit)
-        parts = {
-            "n_target": F.count(F.when(act == C.TARGET, 1)),
-            "n_sleeping": F.count(F.when(act == C.DO_NOT_DISTURB, 1)),
-            "n_skip": F.count(F.when(act == C.SKIP, 1)),
-        }
-        for name, money in (("revenue", revenue), ("profit", profit), ("spend", spend)):
-            units = E.to_units(money, EXACT_PLACES)
-            parts[f"uniform_{name}"] = E.from_units(F.sum(units), EXACT_PLACES)
-            parts[f"optimized_{name}"] = E.from_units(
-                F.coalesce(F.sum(F.when(act == C.TARGET, units)), F.lit(0)), EXACT_PLACES
-            )
-        sums.append(
+        _, profit = scenario_money(s)
+        target = E.action(F.col("uplift_score"), profit) == C.TARGET
+        targets.append(
             F.struct(
-                F.lit(s.scenario_id).alias("scenario_id"),
-                F.lit(float(s.price)).alias("price"),
-                F.lit(float(s.discount_rate)).alias("discount_rate"),
-                F.lit(float(s.cogs)).alias("cogs"),
-                F.lit(float(s.campaign_cost)).alias("campaign_cost"),
-                *[column.alias(name) for name, column in parts.items()],
+                F.count(F.when(target, 1)).alias("n_target"),
+                _sum_of(uplift, target).alias("u_target"),
+                _sum_of(p_treatment, target).alias("p_target"),
             )
         )
-    each = rows.agg(F.array(*sums).alias("__all")).select(F.inline("__all"))
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        F.count(F.when(F.col("uplift_score") < 0, 1)).alias("n_sleeping"),
+        _sum_of(uplift).alias("u"),
+        _sum_of(p_treatment).alias("p"),
+        F.array(*targets).alias("targets"),
+    ).select("n_customers", "n_sleeping", "u", "p", F.posexplode("targets").alias("i", "t"))
+    parameters = local_table(
+        rows.sparkSession,
+        [
+            (
+                i,
+                s.scenario_id,
+                float(s.price),
+                float(s.discount_rate),
+                float(s.cogs),
+                float(s.campaign_cost),
+                float(s.price * s.discount_rate),
+                float(s.price - s.cogs),
+            )
+            for i, s in enumerate(scenarios)
+        ],
+        T.StructType.fromDDL(
+            "i int, scenario_id int, price double, discount_rate double, cogs double, "
+            "campaign_cost double, discount double, margin double"
+        ),
+    )
+
+    def money(n: str, u: str, p: str) -> tuple[Column, Column, Column]:
+        rebate = F.col(p) * F.col("discount")
+        sending = F.col(n) * F.col("campaign_cost")
+        amounts = (
+            F.col(u) * F.col("price") - rebate,
+            F.col(u) * F.col("margin") - rebate - sending,
+            sending + rebate,
+        )
+        return tuple(E.round_half_even(amount, EXACT_PLACES) for amount in amounts)
+
+    kinds = ("revenue", "profit", "spend")
+    uniform = money("n_customers", "u", "p")
+    optimized = money("t.n_target", "t.u_target", "t.p_target")
+    each = sums.join(F.broadcast(parameters), "i").select(
+        "*",
+        "t.n_target",
+        (F.col("n_customers") - F.col("t.n_target") - F.col("n_sleeping")).alias("n_skip"),
+        *[column.alias(f"uniform_{kind}") for kind, column in zip(kinds, uniform)],
+        *[column.alias(f"optimized_{kind}") for kind, column in zip(kinds, optimized)],
+    )
     saved = F.col("uniform_spend") - F.col("optimized_spend")
     return each.select(
         "scenario_id",
@@ -238,7 +281,7 @@ def campaign_kpis(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
         "discount_rate",
         "cogs",
         "campaign_cost",
-        (F.col("n_target") + F.col("n_sleeping") + F.col("n_skip")).alias("n_customers"),
+        "n_customers",
         "n_target",
         "n_sleeping",
         "n_skip",

@@ -293,11 +293,12 @@ marked AS (
                                   WHERE promotion_id = 'PROM_001') AS spend
   FROM chosen),
 sums AS (
-  SELECT policy, count(*) AS n_targeted,
-         CAST(sum(CAST(eir AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
-         CAST(sum(CAST(eip AS DECIMAL(18,4))) AS DOUBLE) AS profit,
-         CAST(sum(CAST(spend AS DECIMAL(18,8))) AS DOUBLE) AS spend
-  FROM marked GROUP BY policy),
+  SELECT p.policy, count(spend) AS n_targeted,
+         CAST(coalesce(sum(CAST(eir AS DECIMAL(18,4))), 0) AS DOUBLE) AS revenue,
+         CAST(coalesce(sum(CAST(eip AS DECIMAL(18,4))), 0) AS DOUBLE) AS profit,
+         CAST(coalesce(sum(CAST(spend AS DECIMAL(18,8))), 0) AS DOUBLE) AS spend
+  FROM (VALUES {policies}) p(policy) LEFT JOIN marked m ON m.policy = p.policy
+  GROUP BY p.policy),
 base AS (SELECT revenue AS r, spend AS s FROM sums WHERE policy = '{base}')
 SELECT policy, n_targeted, revenue, profit, spend,
        CASE WHEN r > 0 THEN (revenue / r - 1) * 100 END AS revenue_uplift_pct,
@@ -568,7 +569,7 @@ FROM ranked WHERE n_pop <= floor(0.3 * n_all)""",
 chosen AS (
   SELECT 'uniform' AS policy, * FROM ranked
   UNION ALL SELECT 'top30', * FROM ranked WHERE n_pop <= floor(0.3 * n_all)),
-{REPORT.format(base='uniform')}""",
+{REPORT.format(base='uniform', policies="('uniform'), ('top30')")}""",
     "category_buyers": f"""WITH {TRANSACTIONS},{CUSTOMERS},{PRODUCTS}
 SELECT * FROM cust WHERE customer_id IN (
   SELECT customer_id FROM tx JOIN prod USING (product_id)
@@ -581,5 +582,5 @@ chosen AS (
     WHERE product_taxonomies = 'PROMO' AND datetime < {REF})
   UNION ALL SELECT 'top30', * FROM ranked WHERE n_pop <= floor(0.3 * n_all)
   UNION ALL SELECT 'eip_positive', * FROM ranked WHERE recommended_action = 'TARGET'),
-{REPORT.format(base='all')}""",
+{REPORT.format(base='all', policies="('all'), ('category_buyers'), ('top30'), ('eip_positive')")}""",
 }

@@ -19,6 +19,8 @@ def build_session(
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # Looking up the calling line of every column expression costs more than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | {key.replace("__", "."): value for key, value in settings.items()}
     builder = SparkSession.builder.appName(app)
     if master:
