@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 
-UNITS = "decimal(18,0)"
-
 
 def round_half_even(value: Column, places: int) -> Column:
     """Round the binary double half to even; -0.0 becomes 0.0.
@@ -20,20 +18,48 @@ def round_half_even(value: Column, places: int) -> Column:
 
 
 def to_units(value: Column, places: int = 4) -> Column:
-    """A double as a whole number of 10^-places, so that sums do not depend on row order.
-
-    The decimal type lets the sum grow past 64 bits; a single value has 18 digits at most.
-    """
-    return F.rint(value * F.lit(float(10**places))).cast("bigint").cast(UNITS)
+    """A double as a whole number of 10^-places, so that sums do not depend on row order."""
+    return F.rint(value * F.lit(float(10**places))).cast("bigint")
 
 
 def from_units(units: Column, places: int = 4) -> Column:
     return units.cast("double") / F.lit(float(10**places))
 
 
-def exact_sum(value: Column, places: int = 4) -> Column:
-    """Order-independent sum of doubles that carry at most ``places`` decimals."""
-    return from_units(F.sum(to_units(value, places)), places)
+# Sums of whole numbers can outgrow 64 bits when one key holds much of the data, and decimal
+# sums cost a third of an aggregation. So the upper part and the lower 20 bits are added up
+# apart, as plain 64-bit sums, and put together once per group.
+LOW_BITS = 20
+
+
+def sum_units(units: Column, name: str) -> list[Column]:
+    """Exact sum as two columns, ``name_high`` and ``name_low``."""
+    low = F.lit((1 << LOW_BITS) - 1).cast("bigint")
+    return [
+        F.sum(F.shiftright(units, LOW_BITS)).alias(f"{name}_high"),
+        F.sum(units.bitwiseAND(low)).alias(f"{name}_low"),
+    ]
+
+
+def sum_parts(name: str) -> list[Column]:
+    """Add up sums of ``sum_units`` once more."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("high", "low")]
+
+
+def _whole(high: Column, low: Column) -> Column:
+    wide = "decimal(20,0)"
+    return high.cast(wide) * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low.cast(wide)
+
+
+def from_parts(name: str, places: int = 4) -> Column:
+    return from_units(_whole(F.col(f"{name}_high"), F.col(f"{name}_low")), places)
+
+
+def exact_sum(value: Column, places: int = 4, keep: Column | None = None) -> Column:
+    """Order-independent sum of doubles with at most ``places`` decimals, where ``keep``."""
+    units = to_units(value, places)
+    high, low = sum_units(units if keep is None else F.when(keep, units), "sum")
+    return from_units(_whole(high, low), places)
 
 
 def has_promotion(promotion_id: Column) -> Column:

@@ -37,14 +37,14 @@ def basket_totals(transactions: DataFrame, reference: str) -> DataFrame:
         .groupBy("customer_id", "po_id")
         .agg(
             F.max(moment).alias("last_purchase"),
-            F.sum(units).alias("revenue_units"),
-            F.sum(F.when(moment >= days_before(reference, C.MONETARY_DAYS), units)).alias(
-                "recent_revenue_units"
+            *E.sum_units(units, "revenue"),
+            *E.sum_units(
+                F.when(moment >= days_before(reference, C.MONETARY_DAYS), units), "recent"
             ),
             F.sum(F.col("qty").cast("bigint")).alias("items"),
             F.sum(E.has_promotion(F.col("promotion_id")).cast("bigint")).alias("promo_lines"),
             F.count(F.lit(1)).alias("lines"),
-            F.max(moment >= days_before(reference, C.FREQUENCY_DAYS)).alias("recent"),
+            F.max(moment >= days_before(reference, C.FREQUENCY_DAYS)).alias("visited"),
         )
     )
 
@@ -60,17 +60,17 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
         baskets.groupBy("customer_id")
         .agg(
             F.max("last_purchase").alias("last_purchase"),
-            F.sum("revenue_units").alias("revenue_units"),
-            F.sum("recent_revenue_units").alias("recent_revenue_units"),
+            *E.sum_parts("revenue"),
+            *E.sum_parts("recent"),
             F.count("po_id").alias("visits"),
-            F.sum((named & F.col("recent")).cast("bigint")).alias("recent_visits"),
+            F.sum((named & F.col("visited")).cast("bigint")).alias("recent_visits"),
             F.sum("items").alias("items"),
             F.sum("promo_lines").alias("promo_lines"),
             F.sum("lines").alias("lines"),
         )
     )
     zero = F.lit(0).cast("bigint")
-    spend = E.from_units(F.col("revenue_units"))
+    spend = E.from_parts("revenue")
     return customers.join(totals, "customer_id", "left").select(
         "customer_id",
         "customer_taxonomies",
@@ -81,7 +81,7 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
         .cast("bigint")
         .alias("recency_days"),
         F.coalesce("recent_visits", zero).alias("frequency_30d"),
-        F.coalesce(E.from_units(F.col("recent_revenue_units")), F.lit(0.0)).alias("monetary_90d"),
+        F.coalesce(E.from_parts("recent"), F.lit(0.0)).alias("monetary_90d"),
         F.coalesce(spend, F.lit(0.0)).alias("total_spend"),
         F.coalesce("visits", zero).alias("total_visits"),
         F.coalesce("items", zero).alias("total_items"),
@@ -122,7 +122,7 @@ def spend_by(
     ]
     if len(labels) > max_columns:
         raise ValueError(f"more than {max_columns} values in {label}")
-    units = E.to_units(F.col("price") * F.col("qty"))
+    revenue = F.col("price") * F.col("qty")
     spend = (
         transactions.filter(
             F.col("customer_id").isNotNull()
@@ -131,12 +131,11 @@ def spend_by(
         .join(dimension.select(key, label), key, "left")
         .groupBy("customer_id")
         .agg(
-            *[F.sum(F.when(F.col(label) == x, units)).alias(f"spend_{x}") for x in labels],
-            F.sum(units).alias("spend_total"),
+            *[E.exact_sum(revenue, keep=F.col(label) == x).alias(f"spend_{x}") for x in labels],
+            E.exact_sum(revenue).alias("spend_total"),
         )
     )
     columns = [f"spend_{x}" for x in labels] + ["spend_total"]
     return customers.select("customer_id").join(spend, "customer_id", "left").select(
-        "customer_id",
-        *[F.coalesce(E.from_units(F.col(f"`{c}`")), F.lit(0.0)).alias(c) for c in columns],
+        "customer_id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c) for c in columns]
     )

@@ -12,6 +12,9 @@ from counterfoil.functions import expressions as E
 from counterfoil.operators import ranking
 from counterfoil.operators.value import EXACT_PLACES, Terms
 
+# Running sums may pass 64 bits.
+WIDE = "decimal(19,0)"
+
 def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms) -> DataFrame:
     """Audience, revenue, profit and spend of each policy, one row per policy.
 
@@ -19,31 +22,28 @@ def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms)
     everybody; the revenue share is null when that earns nothing.
     """
     discount = terms.price * terms.discount_rate
-    revenue = E.to_units(F.col("expected_incremental_revenue"))
-    profit = E.to_units(F.col("expected_incremental_profit"))
-    p_treatment = E.to_units(F.col("p_buy_treatment"))
 
-    def total(units: Column, keep: Column) -> Column:
-        return E.from_units(F.coalesce(F.sum(F.when(keep, units)), F.lit(0)))
+    def total(column: str, keep: Column) -> Column:
+        return F.coalesce(E.exact_sum(F.col(column), keep=keep), F.lit(0.0))
 
     def spend(keep: Column) -> Column:
         sent = F.count(F.when(keep, 1)) * terms.campaign_cost
-        return E.round_half_even(sent + total(p_treatment, keep) * discount, EXACT_PLACES)
+        return E.round_half_even(sent + total("p_buy_treatment", keep) * discount, EXACT_PLACES)
 
     everybody = F.lit(True)
     parts = [
         F.struct(
             F.lit(name).alias("policy"),
             F.count(F.when(keep, 1)).alias("n_targeted"),
-            total(revenue, keep).alias("revenue"),
-            total(profit, keep).alias("profit"),
+            total("expected_incremental_revenue", keep).alias("revenue"),
+            total("expected_incremental_profit", keep).alias("profit"),
             spend(keep).alias("spend"),
         )
         for name, keep in policies.items()
     ]
     each = rows.agg(
         F.array(*parts).alias("__all"),
-        total(revenue, everybody).alias("uniform_revenue"),
+        total("expected_incremental_revenue", everybody).alias("uniform_revenue"),
         spend(everybody).alias("uniform_spend"),
     ).select(F.inline("__all"), "uniform_revenue", "uniform_spend")
     return each.select(
@@ -91,8 +91,8 @@ def profit_curve(rows: DataFrame, cells: int | None = None) -> DataFrame:
         "expected_incremental_profit",
         "customer_id",
         {
-            "revenue_units": E.to_units(revenue, EXACT_PLACES),
-            "profit_units": E.to_units(profit, EXACT_PLACES),
+            "revenue_units": E.to_units(revenue, EXACT_PLACES).cast(WIDE),
+            "profit_units": E.to_units(profit, EXACT_PLACES).cast(WIDE),
         },
         cells=cells,
         rows=total,
@@ -115,17 +115,18 @@ def best_cutoff(rows: DataFrame) -> DataFrame:
     cut lies after the last positive profit - or at the first customer, if there is none.
     That makes it one aggregation; the curve itself is not needed.
     """
-    units = E.to_units(F.col("expected_incremental_profit"), EXACT_PLACES)
+    profit = F.col("expected_incremental_profit")
+    units = E.to_units(profit, EXACT_PLACES)
     positive = units > 0
     sums = rows.agg(
         F.count(units).alias("n"),
         F.count(F.when(positive, 1)).alias("n_positive"),
-        F.sum(F.when(positive, units)).alias("gain"),
-        F.max(units).alias("best"),
+        E.exact_sum(profit, EXACT_PLACES, positive).alias("gain"),
+        E.from_units(F.max(units), EXACT_PLACES).alias("best"),
     ).filter(F.col("n") > 0)
     place = F.greatest(F.col("n_positive"), F.lit(1).cast("bigint"))
     return sums.select(
         place.alias("n_pop"),
         (place.cast("double") / F.col("n").cast("double") * 100).alias("pct_population"),
-        E.from_units(F.coalesce("gain", "best"), EXACT_PLACES).alias("max_profit"),
+        F.coalesce("gain", "best").alias("max_profit"),
     )

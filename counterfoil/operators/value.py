@@ -201,9 +201,8 @@ def what_if(rows: DataFrame, scenario: Scenario) -> DataFrame:
     )
 
 
-def _sum_of(units: Column, keep: Column | None = None) -> Column:
-    chosen = units if keep is None else F.when(keep, units)
-    return E.from_units(F.coalesce(F.sum(chosen), F.lit(0)), C.PROBABILITY_PLACES)
+def _sum_of(column: str, keep: Column | None = None) -> Column:
+    return F.coalesce(E.exact_sum(F.col(column), C.PROBABILITY_PLACES, keep), F.lit(0.0))
 
 
 def campaign_kpis(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
@@ -213,8 +212,6 @@ def campaign_kpis(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
     two, over everybody and over each scenario's targets, and the money of every scenario
     follows from the sums. No customer is copied per scenario; one row leaves each task.
     """
-    uplift = E.to_units(F.col("uplift_score"), C.PROBABILITY_PLACES)
-    p_treatment = E.to_units(F.col("p_buy_treatment"), C.PROBABILITY_PLACES)
     targets = []
     for s in scenarios:
         _, profit = scenario_money(s)
@@ -222,15 +219,15 @@ def campaign_kpis(rows: DataFrame, scenarios: Sequence[Scenario]) -> DataFrame:
         targets.append(
             F.struct(
                 F.count(F.when(target, 1)).alias("n_target"),
-                _sum_of(uplift, target).alias("u_target"),
-                _sum_of(p_treatment, target).alias("p_target"),
+                _sum_of("uplift_score", target).alias("u_target"),
+                _sum_of("p_buy_treatment", target).alias("p_target"),
             )
         )
     sums = rows.agg(
         F.count(F.lit(1)).alias("n_customers"),
         F.count(F.when(F.col("uplift_score") < 0, 1)).alias("n_sleeping"),
-        _sum_of(uplift).alias("u"),
-        _sum_of(p_treatment).alias("p"),
+        _sum_of("uplift_score").alias("u"),
+        _sum_of("p_buy_treatment").alias("p"),
         F.array(*targets).alias("targets"),
     ).select("n_customers", "n_sleeping", "u", "p", F.posexplode("targets").alias("i", "t"))
     parameters = local_table(

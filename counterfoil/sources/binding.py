@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import experiment, features
 from counterfoil.sources.storage import small_table
@@ -175,7 +176,7 @@ class Retail:
             self.raw("lineitem")
             .groupBy("l_orderkey")
             .agg(
-                F.sum(E.to_units(_paid_price() * F.col("l_quantity"))).alias("revenue_units"),
+                *E.sum_units(E.to_units(_paid_price() * F.col("l_quantity")), "revenue"),
                 F.sum(F.col("l_quantity").cast("bigint")).alias("items"),
                 F.sum(E.has_promotion(_promotion()).cast("bigint")).alias("promo_lines"),
                 F.count(F.lit(1)).alias("lines"),
@@ -183,6 +184,7 @@ class Retail:
         )
         ref = features.reference_timestamp(reference)
         date = F.col("o_orderdate")
+        paid_lately = date >= features.days_before(reference, C.MONETARY_DAYS)
         return (
             self.raw("orders")
             .filter(date < ref)
@@ -191,14 +193,14 @@ class Retail:
                 F.col("o_custkey").alias("customer_id"),
                 F.col("o_orderkey").alias("po_id"),
                 date.alias("last_purchase"),
-                "revenue_units",
-                F.when(date >= features.days_before(reference, 90), F.col("revenue_units")).alias(
-                    "recent_revenue_units"
-                ),
+                "revenue_high",
+                "revenue_low",
+                F.when(paid_lately, F.col("revenue_high")).alias("recent_high"),
+                F.when(paid_lately, F.col("revenue_low")).alias("recent_low"),
                 "items",
                 "promo_lines",
                 "lines",
-                (date >= features.days_before(reference, 30)).alias("recent"),
+                (date >= features.days_before(reference, C.FREQUENCY_DAYS)).alias("visited"),
             )
         )
 
