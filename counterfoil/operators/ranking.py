@@ -53,10 +53,9 @@ def _keyed(df: DataFrame, score: str, descending: bool) -> DataFrame:
 
 
 def _cell_count(df: DataFrame, rows: int) -> int:
-    spark = df.sparkSession
-    wanted = max(
-        math.ceil(rows / ROWS_PER_CELL), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    """Several cells per shuffle partition, so that hashing them spreads evenly."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(math.ceil(rows / ROWS_PER_CELL), 3 * partitions)
     return max(1, min(wanted, rows // MIN_ROWS_PER_CELL, MAX_CELLS))
 
 
@@ -258,9 +257,11 @@ def rank_cuts(
         )
         points = F.broadcast(local_table(df.sparkSession, targets, schema))
         on = [*groups, *CELL]
+        hit_cells = sorted({target[: len(on)] for target in targets})
+        hit = local_table(df.sparkSession, hit_cells, T.StructType(schema.fields[: len(on)]))
         inside = Window.partitionBy(*on).orderBy(KEY, id_column)
         hits = (
-            placed.join(points.select(*on).distinct(), on, "left_semi")
+            placed.join(F.broadcast(hit), on, "left_semi")
             .withColumn("__row", F.row_number().over(inside))
             .join(points, [*on, "__row"])
             .select(*groups, KEY, id_column, "__position")

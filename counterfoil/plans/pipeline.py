@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.operators import experiment, features, value
@@ -51,6 +52,13 @@ def score(
     return Scoring(people, scored, value.targeting_rows(scored, terms), list(terms))
 
 
+def held_out(people: DataFrame, campaign_id: str, learner: Learner | None = None) -> DataFrame:
+    """Test-fold rows scored by a model that saw only the training fold."""
+    rows = experiment.in_campaign(people).withColumn("fold", experiment.fold(campaign_id))
+    model = (learner or StratifiedTLearner()).fit(rows.filter(F.col("fold") == "train"))
+    return model.transform(rows.filter(F.col("fold") == "test"))
+
+
 def run_scoring(
     tables: Mapping[str, DataFrame],
     output_path: str,

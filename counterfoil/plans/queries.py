@@ -18,7 +18,7 @@ from counterfoil.operators import (
     reports,
     value,
 )
-from counterfoil.operators.learners import StratifiedTLearner, TreeTLearner
+from counterfoil.operators.learners import TreeTLearner
 from counterfoil.plans import pipeline
 from counterfoil.sources import catalog, sinks
 from counterfoil.sources.binding import (
@@ -386,9 +386,7 @@ def heldout_qini(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted on the training fold, evaluated on the test fold."""
     retail = Retail(spark, folder)
     people = store(experiment.population(retail.campaign, retail.features), "people")
-    rows = experiment.in_campaign(people).withColumn("fold", experiment.fold(CAMPAIGN_ID))
-    model = StratifiedTLearner().fit(rows.filter(F.col("fold") == "train"))
-    return evaluation.qini_curve(model.transform(rows.filter(F.col("fold") == "test")))
+    return evaluation.qini_curve(pipeline.held_out(people, CAMPAIGN_ID))
 
 
 @query
