@@ -90,7 +90,7 @@ def choose_cuts(
     cells = cells or _cell_count(keyed, rows)
     if cells < 2:
         return Cuts()
-    share = min(1.0, 2 * cells * SAMPLES_PER_CELL / rows)
+    share = min(1.0, cells * SAMPLES_PER_CELL / rows)
     drawn = keyed.select(KEY, id_column).sample(fraction=share, seed=7).collect()
     return cuts_from_sample(sorted((r[0], r[1]) for r in drawn), cells)
 

@@ -14,6 +14,8 @@ def build_session(
     """
     options = {
         "spark.sql.session.timeZone": "UTC",
+        # An overflow must stop the job, not turn into null.
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
