@@ -499,6 +499,8 @@ SELECT CASE WHEN draw < 35 THEN 'Persuadal' WHEN draw < 65 THEN 'Sure Thing'
        uplift_segment AS predicted_uplift_segment, count(*) AS n_customers
 FROM list JOIN truth USING (customer_id) GROUP BY ALL""",
     "export_targets": f"WITH {LIST} SELECT * FROM list WHERE recommended_action = 'TARGET'",
+    "batch_scoring": f"""WITH {LIST}
+SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM list""",
     "qini_curve": f"WITH {SCORED},{QINI.format(which='TRUE')}",
     "heldout_qini": f"""WITH {PEOPLE},{scored("fold = 'train'")},
 {QINI.format(which="fold = 'test'")}""",

@@ -18,7 +18,7 @@ from counterfoil.operators import (
     reports,
     value,
 )
-from counterfoil.operators.learners import TreeTLearner
+from counterfoil.operators.learners import StratifiedTLearner, TreeTLearner
 from counterfoil.plans import pipeline
 from counterfoil.sources import catalog, sinks
 from counterfoil.sources.binding import (
@@ -373,6 +373,23 @@ def export_targets(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_list(spark, path, saved.schema)
 
 
+@query
+def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole batch job over CSV: six files in, one sorted list out, read back."""
+    retail = Retail(spark, folder)
+    source, output = new_path(spark, "csv"), new_path(spark, "scored")
+    for name in catalog.SCHEMAS:
+        sinks.write_list(getattr(retail, name), f"{source}/{name}.csv")
+    scoring = pipeline.run_scoring(
+        catalog.load_catalog(spark, source),
+        output,
+        REFERENCE_DATE,
+        [PROMOTION_ID],
+        StratifiedTLearner(),
+    )
+    return sinks.read_list(spark, output, scoring.rows.schema)
+
+
 # --- evaluation and policies -------------------------------------------------------------
 
 
@@ -471,19 +488,22 @@ def policy_baselines(spark: SparkSession, folder: str) -> DataFrame:
 # --- tree models -------------------------------------------------------------------------
 
 
-def _tree_list(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+def _tree_scoring(spark: SparkSession, folder: str, kind: str) -> pipeline.Scoring:
     retail = Retail(spark, folder)
-    scoring = pipeline.score(
-        retail.features, retail.campaign, _terms(retail), TreeTLearner(kind)
-    )
-    return value.by_profit(scoring.rows)
+    return pipeline.score(retail.features, retail.campaign, _terms(retail), TreeTLearner(kind))
 
 
 @query
 def tlearner_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    return _tree_list(spark, folder, "boosted")
+    return value.by_profit(_tree_scoring(spark, folder, "boosted").rows)
 
 
 @query
 def tlearner_forest(spark: SparkSession, folder: str) -> DataFrame:
-    return _tree_list(spark, folder, "forest")
+    return value.by_profit(_tree_scoring(spark, folder, "forest").rows)
+
+
+@query
+def qini_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Model validation with trees: fit, predict the pilot, Qini curve."""
+    return evaluation.qini_curve(_tree_scoring(spark, folder, "forest").training)

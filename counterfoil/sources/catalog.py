@@ -36,7 +36,8 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
     """Read one table with a declared schema; no inference pass over the data.
 
     Columns are matched by name, so a missing column is reported and an extra or reordered
-    one does no harm. For CSV only the header line is looked at for that.
+    one does no harm. For CSV only the header line is looked at for that; formats that carry
+    types are cast to the declared ones.
     """
     declared = T.StructType.fromDDL(schema)
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
@@ -49,6 +50,11 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
     absent = [f.name for f in declared if f.name not in present.names]
     if absent:
         raise MissingInput(f"{path}: missing columns {absent}")
+    if fmt != "csv":
+        # Such files carry types; a cast to the same type disappears from the plan.
+        return reader.format(fmt).load(path).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared]
+        )
     by_name = {f.name: f for f in declared}
     in_file_order = T.StructType([by_name.get(f.name, f) for f in present])
     return reader.schema(in_file_order).format(fmt).load(path).select(*declared.names)

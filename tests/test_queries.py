@@ -7,7 +7,8 @@ import __spark_entry__ as registry
 from counterfoil.plans import queries
 from counterfoil.sources.binding import FILES, Retail
 
-ROWS_ONLY = {"tlearner_gbt", "tlearner_forest"}
+TREE_LISTS = ["tlearner_forest", "tlearner_gbt"]
+ROWS_ONLY = {*TREE_LISTS, "qini_forest"}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -45,7 +46,7 @@ def test_query_equals_sql(spark, medium, oracle, name):
     assert got and sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+@pytest.mark.parametrize("name", TREE_LISTS)
 def test_tree_lists_hold_every_customer(spark, small, name):
     rows = registry.queries()[name](spark, small).collect()
     assert len(rows) == len({r.customer_id for r in rows}) == 150
@@ -53,6 +54,19 @@ def test_tree_lists_hold_every_customer(spark, small, name):
     assert profits == sorted(profits, reverse=True)
 
 
+def test_tree_qini_equals_a_plain_sort(spark, small):
+    rows = sorted(registry.queries()["qini_forest"](spark, small).collect(), key=lambda r: r.n_pop)
+    ordered = sorted(rows, key=lambda r: (-r.score, r.customer_id))
+    assert [r.customer_id for r in rows] == [r.customer_id for r in ordered]
+    assert len({r.score for r in rows}) > 50
+    n_t = y_t = y_c = 0
+    for place, r in enumerate(rows, 1):
+        n_t, y_t, y_c = n_t + r.w, y_t + r.y * r.w, y_c + r.y * (1 - r.w)
+        n_c = place - n_t
+        assert r.qini == (y_t - y_c * (n_t / n_c) if n_c else y_t)
+    assert len(rows) == 150
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 150
 

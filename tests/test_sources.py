@@ -32,6 +32,22 @@ def test_catalog_loads_typed_tables(spark, csv_folder, small):
     assert tables["transactions"].filter("promotion_id = ''").count() == 0
 
 
+def test_catalog_of_parquet_with_numeric_ids(spark, small, tmp_path):
+    retail = Retail(spark, small)
+    for name in catalog.SCHEMAS:
+        getattr(retail, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = catalog.load_catalog(spark, str(tmp_path), fmt="parquet")
+    assert dict(tables["transactions"].dtypes)["customer_id"] == "string"
+    assert tables["transactions"].count() == retail.transactions.count()
+    late = tables["transactions"].filter("datetime >= timestamp_ntz'2001-01-01'")
+    assert "GreaterThanOrEqual(datetime" in late._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_small_table(spark):
+    empty = spark.range(3).filter("id > 5").withColumn("d", F.current_date())
+    assert storage.small_table(empty).count() == 0
+
+
 def test_missing_table_and_column(spark, csv_folder):
     with pytest.raises(catalog.MissingInput, match="nowhere"):
         catalog.read_table(spark, f"{csv_folder}/nowhere.csv", "a int")
