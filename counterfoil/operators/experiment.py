@@ -88,6 +88,7 @@ def response_label(
     """Add ``bought_after_promo``: 1 when the customer bought in [start, start + days).
 
     ``match`` says what must be bought: the promoted "product", its "category", or "any".
+    Promotion ids are unique.
     Purchases shrink to distinct pairs, with partial aggregation before the shuffle, before
     they meet the dispatch: a customer with most purchases leaves one row per task.
     """

@@ -73,10 +73,13 @@ def top_share_list(
 
     The share is cut off first, so only its customers are shuffled for the rank.
     """
-    chosen = rows.filter(top_uplift(rows, share, cells)).select(
+    cut = ranking.top_share(rows, "uplift_score", "customer_id", share, cells)
+    chosen = rows.filter(cut.covers("uplift_score", "customer_id")).select(
         "customer_id", "customer_taxonomies", "uplift_score"
     )
-    return ranking.running_totals(chosen, "uplift_score", "customer_id", cells=cells)
+    return ranking.running_totals(
+        chosen, "uplift_score", "customer_id", cells=cells, rows=cut.position
+    )
 
 
 def profit_curve(rows: DataFrame, cells: int | None = None) -> DataFrame:

@@ -48,6 +48,8 @@ def promotion_terms(
     found = {r["promotion_id"]: r for r in rows}
     if len(rows) != len(found) or set(found) != set(promotion_ids):
         raise ValueError(f"need exactly one product for each of {list(promotion_ids)}")
+    if any(not r["price"] for r in rows):
+        raise ValueError("a promoted product needs a price")
     return [
         Terms(p, found[p]["price"], found[p]["cogs"], found[p]["discount"], campaign_cost)
         for p in promotion_ids

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from counterfoil.operators import evaluation, reports
@@ -91,6 +92,16 @@ def test_auc_equals_all_pairs(spark, levels, cells):
         assert (r.n, r.positives) == (len(mine), len(pos))
 
 
+def test_auc_agrees_with_the_library_evaluator(spark):
+    df = spark.createDataFrame(pilot(600), SCHEMA)
+    evaluator = BinaryClassificationEvaluator(
+        rawPredictionCol="p_treatment", labelCol="bought_after_promo", numBins=0
+    )
+    want = evaluator.evaluate(df.filter("is_treatment = 1"))
+    got = evaluation.auc(df).filter("is_treatment = 1").first().auc
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_auc_of_one_class_is_null(spark):
     rows = [(i, 1, 1, 0.1 * i, 0.0, 0.0) for i in range(5)]
     assert evaluation.auc(spark.createDataFrame(rows, SCHEMA)).first().auc is None

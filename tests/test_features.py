@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from counterfoil.operators import features
+from counterfoil.sources.binding import Retail
 from counterfoil.sources.catalog import SCHEMAS
 
 REF = "2026-06-01"
@@ -100,6 +101,16 @@ def test_history_of_one_customer_is_not_gathered_in_one_task(spark):
     assert "hashpartitioning(customer_id" in plan and "po_id" in plan
 
 
+def test_row_order_and_partitioning_do_not_matter(spark, small):
+    retail = Retail(spark, small)
+    lines, people = retail.transactions, retail.customers
+    want = sorted(features.rfm_features(lines, people, "2001-01-01").collect())
+    for parts, key in ((1, F.rand(1)), (13, F.rand(2))):
+        mixed = lines.repartition(parts, key).sortWithinPartitions(F.rand(3))
+        assert sorted(features.rfm_features(mixed, people, "2001-01-01").collect()) == want
+    assert sorted(retail.features.collect()) == want
+
+
 def test_spend_by_keeps_unmatched_lines_in_the_total(spark):
     rows = spark.createDataFrame(
         [
