@@ -18,7 +18,8 @@ from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.sources.storage import local_table, shared_folder
 
-ROWS_PER_PARTITION = 100_000
+MIN_ROWS_PER_PARTITION = 20_000
+MAX_ROWS_PER_PARTITION = 1_000_000
 
 
 class ArmError(ValueError):
@@ -101,6 +102,13 @@ def check_arms(training: DataFrame) -> dict[int, int]:
     return {arm: sizes[arm][0] for arm in (0, 1)}
 
 
+def _partitions(rows: int, cores: int) -> int:
+    """Every tree level is a job over all partitions: few for few rows, two per core else."""
+    worthwhile = -(-rows // MIN_ROWS_PER_PARTITION)
+    needed = -(-rows // MAX_ROWS_PER_PARTITION)
+    return max(1, needed, min(worthwhile, 2 * cores))
+
+
 @dataclass(frozen=True)
 class TreeTLearner:
     """Two distributed tree models, "boosted" or "forest"."""
@@ -115,13 +123,10 @@ class TreeTLearner:
         raise ValueError(f"kind must be boosted or forest, not {self.kind!r}")
 
     def fit(self, training: DataFrame) -> TreeModel:
-        """Fit both arms at the same time; each is a Spark job sequence of its own.
-
-        Rows are spread by size: few partitions for few rows, since every tree level is a
-        job over all of them.
-        """
+        """Fit both arms at the same time; each is a Spark job sequence of its own."""
         estimator = self._estimator()
         sizes = check_arms(training)
+        cores = training.sparkSession.sparkContext.defaultParallelism
         shared_folder(training.sparkSession)
         assembler = VectorAssembler(inputCols=C.FEATURE_COLUMNS, outputCol="features")
 
@@ -129,7 +134,7 @@ class TreeTLearner:
             rows = training.filter(F.col("is_treatment") == arm).select(
                 *C.FEATURE_COLUMNS, "bought_after_promo"
             )
-            spread = rows.repartition(-(-sizes[arm] // ROWS_PER_PARTITION))
+            spread = rows.repartition(_partitions(sizes[arm], cores))
             return Pipeline(stages=[assembler, estimator]).fit(spread)
 
         with ThreadPoolExecutor(max_workers=2) as pool:

@@ -78,7 +78,7 @@ def scan_tables(spark: SparkSession, folder: str) -> DataFrame:
             "products": (retail.products, "product_id"),
             "stores": (retail.stores, "store_id"),
             "promotions": (retail.promotions, "promotion_id"),
-            "transactions": (retail.transactions, "po_id"),
+            "transactions": (retail.lines, "po_id"),
             "campaign": (retail.dispatch, "customer_id"),
         }
     )

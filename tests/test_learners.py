@@ -4,7 +4,12 @@ from pyspark.sql import functions as F
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import experiment
-from counterfoil.operators.learners import ArmError, StratifiedTLearner, TreeTLearner
+from counterfoil.operators.learners import (
+    ArmError,
+    StratifiedTLearner,
+    TreeTLearner,
+    _partitions,
+)
 from counterfoil.sources.storage import store
 
 # segment code -> (response when treated, response otherwise), percent
@@ -102,3 +107,12 @@ def test_learner_settings():
 def test_an_arm_that_cannot_be_fitted_is_named(people, case):
     with pytest.raises(ArmError, match="arm"):
         TreeTLearner("forest").fit(experiment.in_campaign(people).filter(case))
+
+
+@pytest.mark.parametrize(
+    ("rows", "cores", "partitions"),
+    [(0, 8, 1), (12_000, 8, 1), (300_000, 8, 15), (10**7, 8, 16), (10**9, 8, 1000),
+     (10**9, 4000, 8000)],
+)
+def test_training_rows_are_spread_by_size(rows, cores, partitions):
+    assert _partitions(rows, cores) == partitions
