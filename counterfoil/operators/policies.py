@@ -1,4 +1,7 @@
-"""Targeting policies and what they are worth, and the cumulative profit curve."""
+"""Targeting policies and what they are worth, and the cumulative profit curve.
+
+Each function takes the targeting rows of one promotion, so that customer ids are unique.
+"""
 
 from __future__ import annotations
 

@@ -95,8 +95,18 @@ def choose_cuts(
     return cuts_from_sample(sorted((r[0], r[1]) for r in drawn), cells)
 
 
+def _blocks(ids: list) -> tuple[int, list, list[list]]:
+    """Cut points in blocks of about the square root of their number, and the block heads.
+
+    A row is placed by comparing it with the heads and with one block.
+    """
+    size = math.isqrt(len(ids) - 1) + 1
+    blocks = [ids[i : i + size] for i in range(0, len(ids), size)]
+    return size, [block[0] for block in blocks], blocks
+
+
 def with_cells(keyed: DataFrame, id_column: str, cuts: Cuts) -> DataFrame:
-    """Add the cell of each row: a binary search on the key, then a count of lower id cuts."""
+    """Add the cell of each row: a binary search on the key, then the number of lower id cuts."""
     if len(cuts.splits) < 3:
         return keyed.withColumns({BUCKET: F.lit(0), SLICE: F.lit(0)})
     placed = Bucketizer(
@@ -105,16 +115,30 @@ def with_cells(keyed: DataFrame, id_column: str, cuts: Cuts) -> DataFrame:
     placed = placed.withColumn(BUCKET, F.col(BUCKET).cast("int"))
     if not cuts.ties:
         return placed.withColumn(SLICE, F.lit(0))
-    id_type = keyed.schema[id_column].dataType
+    ids = T.ArrayType(keyed.schema[id_column].dataType)
     schema = T.StructType(
-        [T.StructField(BUCKET, T.IntegerType()), T.StructField("__ids", T.ArrayType(id_type))]
+        [
+            T.StructField(BUCKET, T.IntegerType()),
+            T.StructField("__size", T.IntegerType()),
+            T.StructField("__heads", ids),
+            T.StructField("__blocks", T.ArrayType(ids)),
+        ]
     )
-    ties = local_table(keyed.sparkSession, list(cuts.ties.items()), schema)
-    lower = F.size(F.filter("__ids", lambda cut: cut < F.col(id_column)))
+    ties = local_table(
+        keyed.sparkSession,
+        [(bucket, *_blocks(cuts)) for bucket, cuts in cuts.ties.items()],
+        schema,
+    )
+
+    def lower(column: Column) -> Column:
+        return F.size(F.filter(column, lambda cut: cut < F.col(id_column)))
+
+    block = lower(F.col("__heads")) - 1
+    place = block * F.col("__size") + lower(F.get(F.col("__blocks"), block))
     return (
         placed.join(F.broadcast(ties), BUCKET, "left")
-        .withColumn(SLICE, F.coalesce(lower, F.lit(0)))
-        .drop("__ids")
+        .withColumn(SLICE, F.coalesce(place, F.lit(0)))
+        .drop("__size", "__heads", "__blocks")
     )
 
 

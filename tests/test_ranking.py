@@ -127,6 +127,15 @@ def test_tiles_equal_ntile(spark, n):
     assert sorted(want) == sorted(got)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 16, 17, 50])
+def test_slices_count_the_lower_cut_ids(spark, n):
+    ids = [3 * i for i in range(n)]
+    cuts = ranking.Cuts([-math.inf, 0.0, math.nextafter(0.0, 1.0), math.inf], {1: ids})
+    rows = spark.range(-1, 3 * n + 2).select("id", F.lit(0.0).alias(ranking.KEY))
+    for r in ranking.with_cells(rows, "id", cuts).collect():
+        assert (r[ranking.BUCKET], r[ranking.SLICE]) == (1, sum(i < r.id for i in ids))
+
+
 def test_share_position_is_decimal():
     assert ranking.share_position("0.29", 100) == 29
     assert ranking.share_position("0.3", 1501) == 450
