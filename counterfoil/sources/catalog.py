@@ -36,11 +36,13 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
     """Read one table with a declared schema; no inference pass over the data.
 
     Columns are matched by name, so a missing column is reported and an extra or reordered
-    one does no harm. For CSV only the header line is looked at for that; formats that carry
-    types are cast to the declared ones.
+    one does no harm. For CSV only the header line is looked at for that, and a value that
+    does not parse stops the job; formats that carry types are cast to the declared ones.
     """
     declared = T.StructType.fromDDL(schema)
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    reader = spark.read
+    if fmt == "csv":
+        reader = reader.option("header", True).option("mode", "FAILFAST")
     try:
         present = reader.format(fmt).load(path).schema
     except AnalysisException as error:

@@ -35,11 +35,14 @@ def export_targets(rows: DataFrame, path: str, fmt: str = "csv") -> str:
 def saved_or_computed(
     spark: SparkSession, path: str, compute: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The list saved at ``path``; computed and saved there first when it is absent."""
+    """The list saved at ``path``; computed and saved there first when it is absent.
+
+    A folder without data, as a write that died leaves it, counts as absent.
+    """
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     write_list(compute(), path, "parquet")
     return spark.read.parquet(path)

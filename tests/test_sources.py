@@ -1,3 +1,5 @@
+from datetime import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +34,25 @@ def test_catalog_loads_typed_tables(spark, csv_folder, small):
     assert tables["transactions"].filter("promotion_id = ''").count() == 0
 
 
+def test_csv_times_with_a_blank_and_empty_promotions(spark, tmp_path):
+    text = "datetime,promotion_id,qty,extra\n2026-06-03 14:00:00,,2,x\n2026-05-31T23:00:01,P,1,y\n"
+    (tmp_path / "t.csv").write_text(text)
+    df = catalog.read_table(
+        spark, str(tmp_path / "t.csv"), "datetime timestamp_ntz, qty int, promotion_id string"
+    )
+    assert [tuple(r) for r in df.orderBy("datetime").collect()] == [
+        (dt(2026, 5, 31, 23, 0, 1), 1, "P"),
+        (dt(2026, 6, 3, 14), 2, None),
+    ]
+
+
+def test_csv_value_that_does_not_parse_stops_the_job(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,qty\na,1\nb,two\n")
+    df = catalog.read_table(spark, str(tmp_path / "t.csv"), "id string, qty int")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        df.collect()
+
+
 def test_catalog_of_parquet_with_numeric_ids(spark, small, tmp_path):
     retail = Retail(spark, small)
     for name in catalog.SCHEMAS:
@@ -95,6 +116,12 @@ def test_saved_list_is_read_not_recomputed(spark, tmp_path):
     assert calls == [1]
 
 
+def test_a_write_that_died_is_computed_again(spark, tmp_path):
+    (tmp_path / "list" / "_temporary" / "0").mkdir(parents=True)
+    saved = sinks.saved_or_computed(spark, str(tmp_path / "list"), lambda: spark.range(3))
+    assert saved.count() == 3
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_export_holds_targets_only(spark, tmp_path, fmt):
     rows = spark.createDataFrame(
