@@ -1,4 +1,8 @@
-"""How good are the scores: Qini curve, uplift at k, AUC, precision, held-out evaluation."""
+"""How good are the scores: Qini curve, uplift at k, AUC, precision, RFM quartiles.
+
+Rankings break ties by customer id, so evaluate the log of one campaign at a time or name
+another id column that is unique.
+"""
 
 from __future__ import annotations
 
@@ -223,10 +227,10 @@ def rfm_quartiles(
     )
 
 
-def quartile_redemption(people: DataFrame) -> DataFrame:
+def quartile_redemption(pilot: DataFrame) -> DataFrame:
     """Redemption of the treated arm per RFM quartile."""
     return (
-        people.filter(F.col("is_treatment") == 1)
+        pilot.filter(F.col("is_treatment") == 1)
         .groupBy("rfm_quartile")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -236,9 +240,9 @@ def quartile_redemption(people: DataFrame) -> DataFrame:
     )
 
 
-def response_signal(people: DataFrame) -> DataFrame:
+def response_signal(pilot: DataFrame) -> DataFrame:
     """Two-proportion z of quartile 1 against quartile 4, treated arm."""
-    arm = people.filter(F.col("is_treatment") == 1)
+    arm = pilot.filter(F.col("is_treatment") == 1)
 
     def counts(q: int) -> list[Column]:
         here = F.col("rfm_quartile") == q

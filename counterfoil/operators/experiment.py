@@ -88,9 +88,9 @@ def response_label(
     """Add ``bought_after_promo``: 1 when the customer bought in [start, start + days).
 
     ``match`` says what must be bought: the promoted "product", its "category", or "any".
-    Promotion ids are unique.
-    Purchases shrink to distinct pairs, with partial aggregation before the shuffle, before
-    they meet the dispatch: a customer with most purchases leaves one row per task.
+    Promotion ids are unique. Purchases shrink to distinct pairs, with partial aggregation
+    before the shuffle, before they meet the dispatch: a customer with most purchases leaves
+    one row per task.
     """
     if match not in ("product", "category", "any"):
         raise ValueError(f"match must be product, category or any, not {match!r}")
@@ -160,23 +160,10 @@ def arms_from_fact(
 
 
 def training_set(campaign: DataFrame, features: DataFrame) -> DataFrame:
+    """The rows of the campaign log with the features of their customers."""
     return campaign.join(features, "customer_id")
 
 
-def population(campaign: DataFrame, features: DataFrame) -> DataFrame:
-    """All customers with features, and arm and label where the campaign reached them.
-
-    Both the training rows and the rows to score come from this one table, so the history
-    is aggregated once.
-    """
-    log = campaign.select("customer_id", "is_treatment", "bought_after_promo")
-    return features.join(log, "customer_id", "left")
-
-
-def in_campaign(people: DataFrame) -> DataFrame:
-    return people.filter(F.col("is_treatment").isNotNull())
-
-
 def arm_summary(training: DataFrame) -> DataFrame:
     """Size, buyers and response rate per arm, and the difference of the rates."""
     treated = F.col("is_treatment") == 1

@@ -18,6 +18,7 @@ from counterfoil.operators.value import EXACT_PLACES, Terms
 # Running sums may pass 64 bits.
 WIDE = "decimal(19,0)"
 
+
 def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms) -> DataFrame:
     """Audience, revenue, profit and spend of each policy, one row per policy.
 

@@ -109,8 +109,9 @@ def promotion_values(scored: DataFrame, terms: Sequence[Terms]) -> DataFrame:
 def label_scores(valued: DataFrame) -> DataFrame:
     """Round the scores, then derive quadrant and action from the *rounded* columns."""
     probability, money = C.PROBABILITY_PLACES, C.MONEY_PLACES
+    raw = ("p_treatment", "p_control", "uplift", "eir", "eip")
     rounded = valued.select(
-        *[c for c in valued.columns if c not in ("p_treatment", "p_control", "uplift", "eir", "eip")],
+        *[c for c in valued.columns if c not in raw],
         E.round_half_even(F.col("p_treatment"), probability).alias("p_buy_treatment"),
         E.round_half_even(F.col("p_control"), probability).alias("p_buy_control"),
         E.round_half_even(F.col("uplift"), probability).alias("uplift_score"),

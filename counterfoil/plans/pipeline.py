@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.operators import experiment, features, value
-from counterfoil.operators.learners import StratifiedTLearner, TreeTLearner
+from counterfoil.operators.learners import (
+    StratifiedModel,
+    StratifiedTLearner,
+    TreeModel,
+    TreeTLearner,
+)
 from counterfoil.sources import sinks
 from counterfoil.sources.storage import store
 
@@ -19,17 +25,24 @@ Learner = StratifiedTLearner | TreeTLearner
 
 @dataclass(frozen=True)
 class Scoring:
-    """Stored customers, their fitted probabilities, and the list for the promotions."""
+    """Stored customers and pilot rows, the fitted model, and the list for the promotions."""
 
     people: DataFrame
+    pilot: DataFrame
+    model: StratifiedModel | TreeModel
     scored: DataFrame
     rows: DataFrame
     terms: list[value.Terms]
 
-    @property
+    @cached_property
     def training(self) -> DataFrame:
-        """Scored rows of the campaign, for evaluation."""
-        return experiment.in_campaign(self.scored)
+        """The pilot rows with their fitted probabilities, for evaluation."""
+        return _kept(self.model.transform(self.pilot), self.model, "training")
+
+
+def _kept(scored: DataFrame, model: StratifiedModel | TreeModel, label: str) -> DataFrame:
+    """Tree predictions are stored, being the costly part of each later pass."""
+    return store(scored, label) if isinstance(model, TreeModel) else scored
 
 
 def score(
@@ -38,25 +51,26 @@ def score(
     terms: Sequence[value.Terms],
     learner: Learner | None = None,
 ) -> Scoring:
-    """Fit on the campaign, score everybody, value the scores.
+    """Fit on the campaign log, score every customer once, value the scores.
 
-    Features and campaign are stored once: training, scoring and every later report read
-    that narrow table instead of aggregating the transactions again. Tree predictions are
-    stored too, being the costly part of each later pass.
+    Features are stored, so the transactions are aggregated once; training, scoring and every
+    later report read narrow tables. A customer may be in the log several times, as after
+    several campaigns: that adds training rows, not rows to score.
     """
     learner = learner or StratifiedTLearner()
-    people = store(experiment.population(campaign, customer_features), "people")
-    scored = learner.fit(experiment.in_campaign(people)).transform(people)
-    if isinstance(learner, TreeTLearner):
-        scored = store(scored, "scored")
-    return Scoring(people, scored, value.targeting_rows(scored, terms), list(terms))
+    people = store(customer_features, "people")
+    pilot = store(experiment.training_set(campaign, people), "pilot")
+    model = learner.fit(pilot)
+    scored = _kept(model.transform(people), model, "scored")
+    rows = value.targeting_rows(scored, terms)
+    return Scoring(people, pilot, model, scored, rows, list(terms))
 
 
-def held_out(people: DataFrame, campaign_id: str, learner: Learner | None = None) -> DataFrame:
+def held_out(pilot: DataFrame, campaign_id: str, learner: Learner | None = None) -> DataFrame:
     """Test-fold rows scored by a model that saw only the training fold."""
-    rows = experiment.in_campaign(people).withColumn("fold", experiment.fold(campaign_id))
+    rows = pilot.withColumn("fold", experiment.fold(campaign_id))
     model = (learner or StratifiedTLearner()).fit(rows.filter(F.col("fold") == "train"))
-    return model.transform(rows.filter(F.col("fold") == "test"))
+    return _kept(model.transform(rows.filter(F.col("fold") == "test")), model, "held-out")
 
 
 def run_scoring(

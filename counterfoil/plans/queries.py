@@ -402,8 +402,8 @@ def qini_curve(spark: SparkSession, folder: str) -> DataFrame:
 def heldout_qini(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted on the training fold, evaluated on the test fold."""
     retail = Retail(spark, folder)
-    people = store(experiment.population(retail.campaign, retail.features), "people")
-    return evaluation.qini_curve(pipeline.held_out(people, CAMPAIGN_ID))
+    pilot = store(experiment.training_set(retail.campaign, retail.features), "pilot")
+    return evaluation.qini_curve(pipeline.held_out(pilot, CAMPAIGN_ID))
 
 
 @query
@@ -422,9 +422,12 @@ def precision_at_20(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ranked_people(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder)
-    people = store(experiment.population(retail.campaign, retail.features), "people")
-    return evaluation.rfm_quartiles(people)
+    return evaluation.rfm_quartiles(store(Retail(spark, folder).features, "people"))
+
+
+def _ranked_pilot(spark: SparkSession, folder: str) -> DataFrame:
+    campaign = Retail(spark, folder).campaign
+    return experiment.training_set(campaign, _ranked_people(spark, folder))
 
 
 @query
@@ -436,12 +439,12 @@ def rfm_quartiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quartile_redemption(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.quartile_redemption(_ranked_people(spark, folder))
+    return evaluation.quartile_redemption(_ranked_pilot(spark, folder))
 
 
 @query
 def response_signal(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.response_signal(_ranked_people(spark, folder))
+    return evaluation.response_signal(_ranked_pilot(spark, folder))
 
 
 @query

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
-from counterfoil.operators import experiment
 from counterfoil.operators.learners import (
     ArmError,
     StratifiedTLearner,
@@ -51,13 +50,17 @@ def people(spark):
     )
 
 
+def in_campaign(people):
+    return people.filter(F.col("is_treatment").isNotNull())
+
+
 def mean_uplift(scored):
     rows = scored.groupBy("customer_segment_code").agg(F.avg("uplift").alias("u")).collect()
     return {r.customer_segment_code: r.u for r in rows}
 
 
 def fitted(people, learner):
-    scored = store(learner.fit(experiment.in_campaign(people)).transform(people), "scored")
+    scored = store(learner.fit(in_campaign(people)).transform(people), "scored")
     assert scored.count() == 4000
     assert scored.filter("p_treatment < 0 or p_treatment > 1 or uplift is null").count() == 0
     return mean_uplift(scored)
@@ -106,7 +109,7 @@ def test_learner_settings():
 @pytest.mark.parametrize("case", ["is_treatment = 1", "is_treatment = 0 or bought_after_promo = 0"])
 def test_an_arm_that_cannot_be_fitted_is_named(people, case):
     with pytest.raises(ArmError, match="arm"):
-        TreeTLearner("forest").fit(experiment.in_campaign(people).filter(case))
+        TreeTLearner("forest").fit(in_campaign(people).filter(case))
 
 
 @pytest.mark.parametrize(

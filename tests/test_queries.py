@@ -95,11 +95,15 @@ def test_features_shuffle_each_input_once(spark, small, no_broadcast):
     assert "o_totalprice" not in text and "LessThan(o_orderdate" in text
 
 
-def test_population_adds_one_shuffle_per_campaign_table(spark, small, no_broadcast):
-    retail = Retail(spark, small)
-    joined = queries.experiment.population(retail.campaign, retail.features)
-    # the four of the features, the dispatch, the purchases in the window
-    assert plan(joined).count("Exchange hashpartitioning") == 6
+def test_labels_shuffle_the_log_and_the_purchases_once(spark, small, no_broadcast):
+    text = plan(Retail(spark, small).campaign)
+    assert text.count("Exchange hashpartitioning(customer_id") == 2
+    assert text.count("Exchange hashpartitioning") == 2
+    joined = plan(queries.experiment.training_set(
+        Retail(spark, small).campaign, Retail(spark, small).features
+    ))
+    # the two of the labels, the four of the features
+    assert joined.count("Exchange hashpartitioning") == 6
 
 
 def test_no_query_plans_a_cartesian_product_or_python(spark, small, no_broadcast):

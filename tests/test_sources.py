@@ -104,6 +104,16 @@ def test_batch_scoring_over_csv_equals_the_bound_tables(spark, csv_folder, small
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, bound.collect()))
 
 
+def test_customers_of_several_campaigns_are_scored_once(spark, small):
+    retail = Retail(spark, small)
+    terms = value.promotion_terms(retail.promotions, retail.products, ["PROM_001"])
+    again = retail.campaign.withColumn("campaign_id", F.lit("CAMP_02"))
+    once = pipeline.score(retail.features, retail.campaign, terms)
+    twice = pipeline.score(retail.features, retail.campaign.unionByName(again), terms)
+    assert twice.training.count() == 2 * once.training.count() == 300
+    assert twice.rows.count() == twice.rows.select("customer_id").distinct().count() == 150
+
+
 def test_saved_list_is_read_not_recomputed(spark, tmp_path):
     path, calls = str(tmp_path / "saved"), []
 
