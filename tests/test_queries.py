@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as registry
 from counterfoil.plans import queries
+from counterfoil.plans.oracle import SQL
 from counterfoil.sources.binding import FILES, Retail
 
 TREE_LISTS = ["tlearner_forest", "tlearner_gbt"]
@@ -28,15 +29,16 @@ def oracle(medium):
 
 
 def test_all_but_the_tree_models_have_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == ROWS_ONLY
+    assert set(queries.QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(queries.QUERIES) <= set(registry.queries()) and set(SQL) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, medium, oracle, name):
     df = registry.queries()[name](spark, medium)
     columns = sorted(df.columns)
     got = [tuple(repr(r[c]) for c in columns) for r in df.collect()]
-    cursor = oracle.execute(registry.oracle_sql()[name])
+    cursor = oracle.execute(SQL[name])
     types = {d[0]: str(d[1]) for d in cursor.description}
     names = [d[0] for d in cursor.description]
     want = [
