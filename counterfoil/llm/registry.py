@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import exact_dedup, mixing, topk, url_filter
+from counterfoil.llm import bpe, exact_dedup, mixing, topk, url_filter
 from counterfoil.llm.common import table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -27,6 +28,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def bpe_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
+    return bpe.Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), bpe_vocabulary()))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,6 +48,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op10_topk": op10_topk,
 }
