@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, exact_dedup, mixing, topk, url_filter
+from counterfoil.llm import bpe, dart_minhash, exact_dedup, mixing, topk, url_filter
 from counterfoil.llm.common import table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -41,6 +41,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
+    "op8_dart_minhash": op8_dart_minhash,
     "op10_topk": op10_topk,
 }
 
