@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, dart_minhash, exact_dedup, mixing, topk, url_filter
-from counterfoil.llm.common import table
+from counterfoil.llm import bpe, dart_minhash, exact_dedup, mixing, quality, topk, url_filter
+from counterfoil.llm.common import fold, table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
 URL_RULES = (
@@ -45,6 +45,16 @@ def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.classify(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        "quality",
+        learns=fold("doc_id", 5) != 0,
+    )
+    return judged.withColumn("held_out", fold("doc_id", 5) == 0)
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -55,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op8_dart_minhash": op8_dart_minhash,
+    "op9_quality": op9_quality,
     "op10_topk": op10_topk,
 }
 
