@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, dart_minhash, exact_dedup, mixing, quality, topk, url_filter
+from counterfoil.llm import bpe, dart_minhash, exact_dedup, language, mixing, quality, topk, url_filter
 from counterfoil.llm.common import fold, table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -28,6 +28,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = language.identify(docs, learns=fold("doc_id", 3) != 1)
+    return judged.withColumn("held_out", fold("doc_id", 3) == 1)
+
+
 def bpe_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
     return bpe.Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
@@ -62,6 +68,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op8_dart_minhash": op8_dart_minhash,
