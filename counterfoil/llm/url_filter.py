@@ -173,9 +173,9 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> C
     side = True
     while left[side]:
         number = len(levels)
-        # The first level lets through about as many others as it has keys; later ones half.
-        ratio = max(2.0, left[not side] / left[side]) if number == 0 else 2.0
-        hashes = max(1, round(math.log2(ratio)))
+        # A level lets one in 16 others through, or fewer if there are many more others than
+        # keys. Half would do with fewer bits in sum, but each level is a round of Spark jobs.
+        hashes = max(4, round(math.log2(max(1.0, left[not side] / left[side]))))
         bits = 64 * max(1, math.ceil(left[side] / shards * hashes * 1.4427 / 64) + 1)
         place = F.explode(
             F.array(
