@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, dart_minhash, exact_dedup, language, mixing, quality, topk, url_filter
+from counterfoil.llm import bpe, dart_minhash, exact_dedup, language, mixing, quality, topk, toxicity, url_filter
 from counterfoil.llm.common import fold, table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -47,6 +47,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.classify(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        learns=fold("doc_id", 5) != 0,
+    )
+    return judged.withColumn("held_out", fold("doc_id", 5) == 0)
+
+
 def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
+    "op7_toxicity": op7_toxicity,
     "op8_dart_minhash": op8_dart_minhash,
     "op9_quality": op9_quality,
     "op10_topk": op10_topk,
