@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, dart_minhash, exact_dedup, language, mixing, quality, topk, toxicity, url_filter
+from counterfoil.llm import (
+    bpe,
+    dart_minhash,
+    exact_dedup,
+    language,
+    mixing,
+    quality,
+    suffix_tree,
+    topk,
+    toxicity,
+    url_filter,
+)
 from counterfoil.llm.common import fold, table
 from counterfoil.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -28,6 +39,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), learns=fold("doc_id", 7) != 2)
+    return scored.withColumn("held_out", fold("doc_id", 7) == 2)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = language.identify(docs, learns=fold("doc_id", 3) != 1)
@@ -77,6 +93,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
