@@ -12,6 +12,8 @@ ends is ordered by itself. All steps are DataFrame functions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,35 +72,34 @@ def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame
     return sources.withColumn("target", target)
 
 
-def mix(
-    docs: DataFrame,
-    weights: DataFrame | None = None,
-    share: float = 1.5,
-    max_epochs: float = 2.0,
-    seed: int = 11,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-) -> DataFrame:
-    """One row per input row: id, size, source_size, target, repeats, taken.
-
-    ``weights`` has (source, weight), one row per source, null for the null source; without it
-    weights are 5, 2, 1 in turn. A null text has size 0 and empty texts may be taken or not,
-    they add no words. Documents with equal id, size and text share a place in the seeded
-    order and are taken one after the other. Null sources form one source. The result depends
-    on the rows and the seed only, not on their order or partitioning.
-    """
-    draw = F.md5(
+def drawn(id_column: str, text_column: str, seed: int) -> Column:
+    """The seeded place of a document among those of its source, as 32 hexadecimal digits."""
+    return F.md5(
         F.concat_ws(
             "|", F.lit(str(seed)), F.col(id_column).cast("string"), F.md5(F.col(text_column))
         )
     )
+
+
+def source_plan(
+    docs: DataFrame,
+    weights: DataFrame | None,
+    share: float,
+    max_epochs: float,
+    seed: int,
+    id_column: str,
+    text_column: str,
+    source_column: str,
+) -> DataFrame:
+    """One row per source: source_size, target, whole repetitions, and ``cutoff``.
+
+    A document gets one repetition more if its draw is not above the cutoff.
+    """
     rows = store(
         docs.select(
-            F.col(id_column).alias("id"),
             source_key(F.col(source_column)).alias("source"),
             word_count(F.col(text_column)).alias("size"),
-            draw.alias("draw"),
+            drawn(id_column, text_column, seed).alias("draw"),
         ).withColumn("cell", F.substring("draw", 1, CELL_DIGITS)),
         "mix-sizes",
     )
@@ -122,34 +123,97 @@ def mix(
     )
     # A source has at most 16 ** CELL_DIGITS cells, whatever its number of documents.
     to_here = F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell"))
-    ends = (
+    ends = store(
         cells.withColumn("before", to_here - F.col("cell_size"))
         .join(sources.select("source", "rest"), "source")
         .filter("rest >= before AND rest < before + cell_size")
-        .select("source", F.col("cell").alias("end_cell"), "before")
+        .select("source", "cell", "before", "rest"),
+        "mix-ends",
     )
-    plan = store(sources.join(ends, "source", "left"), "mix-plan")
-    joined = salted_join(rows, plan, "source")
-    # No cell holds the end: the fraction is the whole source, or the source has no words.
-    at_end = F.coalesce(F.col("cell") == F.col("end_cell"), F.lit(False))
+    # Only the cell in which the fraction ends is put in order.
     in_order = Window.partitionBy("source").orderBy("draw", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     # Half of the document lies before the end: nearer with it than without.
     middle = F.col("before") + F.sum("size").over(in_order) - F.col("size") / 2
-    crossing = joined.filter(at_end).withColumn("extra", (middle <= F.col("rest")).cast("bigint"))
-    others = joined.filter(~at_end).withColumn(
-        "extra", F.coalesce((F.col("cell") < F.col("end_cell")).cast("bigint"), F.lit(0))
+    last = (
+        rows.join(F.broadcast(ends) if _few(ends) else ends, ["source", "cell"])
+        .withColumn("taken", middle <= F.col("rest"))
+        .filter("taken")
+        .groupBy("source")
+        .agg(F.max("draw").alias("last"))
     )
-    return (
-        crossing.unionByName(others)
-        .withColumn("repeats", F.least(F.col("whole") + F.col("extra"), F.lit(int(max_epochs))))
-        .select(
-            F.col("id").alias(id_column),
-            "size",
-            "source_size",
-            "target",
-            F.col("repeats").cast("int").alias("repeats"),
-            (F.col("size") * F.col("repeats")).alias("taken"),
-        )
+    # Without an end the fraction is the whole source, up to rounding.
+    cutoff = F.coalesce("last", "cell", F.when(F.col("rest") > 0, "g").otherwise(""))
+    plan = (
+        sources.join(ends.select("source", "cell"), "source", "left")
+        .join(last, "source", "left")
+        .select("source", "source_size", "target", "whole", cutoff.alias("cutoff"))
+    )
+    return store(plan, "mix-plan")
+
+
+def _few(sources: DataFrame, most: int = 10_000) -> bool:
+    """Whether a table of one narrow row per source may be broadcast."""
+    return sources.count() <= most
+
+
+def with_repeats(
+    docs: DataFrame,
+    weights: DataFrame | None = None,
+    share: float = 1.5,
+    max_epochs: float = 2.0,
+    seed: int = 11,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """(row, draw, source_size, target, repeats) for every input row.
+
+    ``weights`` has (source, weight), one row per source, null for the null source; without it
+    weights are 5, 2, 1 in turn. A null text has size 0; empty texts may be taken or not, they
+    add no words. Documents with equal id and text are taken alike. Null sources form one
+    source. An empty table gives an empty result. The result depends on the rows and the seed
+    only, not on their order or partitioning.
+    """
+    plan = source_plan(
+        docs, weights, share, max_epochs, seed, id_column, text_column, source_column
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        source_key(F.col(source_column)).alias("source"),
+        drawn(id_column, text_column, seed).alias("draw"),
     )
+    # One row per source: few sources are broadcast, many are joined with hot ones dealt out.
+    joined = rows.join(F.broadcast(plan), "source") if _few(plan) else salted_join(rows, plan, "source")
+    repeats = F.col("whole") + (F.col("draw") <= F.col("cutoff")).cast("bigint")
+    return joined.select(
+        "row",
+        "source_size",
+        "target",
+        F.least(repeats, F.lit(math.ceil(max_epochs))).cast("int").alias("repeats"),
+    )
+
+
+def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
+    """One row per input row: id, size, source_size, target, repeats, taken (size * repeats).
+
+    Rows, nulls and ties are treated as ``with_repeats`` says.
+    """
+    told = with_repeats(docs, id_column=id_column, text_column=text_column, **how)
+    size = word_count(F.col(f"row.`{text_column}`"))
+    return told.select(
+        F.col(f"row.`{id_column}`").alias(id_column),
+        size.alias("size"),
+        "source_size",
+        "target",
+        "repeats",
+        (size * F.col("repeats")).alias("taken"),
+    )
+
+
+def mixture(docs: DataFrame, **how) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with all its columns."""
+    told = with_repeats(docs, **how).filter("repeats > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("repeats")))
+    return told.select("row", copies.alias("copy")).select("row.*")

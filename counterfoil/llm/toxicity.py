@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.llm.common import pieces, whole_text
 from counterfoil.sources.storage import store
@@ -371,22 +372,29 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, fl
     return float(w[0]), float(w[1])
 
 
-def evidence(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Replace the column text by the evidence in it."""
+def with_evidence(
+    docs: DataFrame, model: ToxicityModel, name: str = "evidence", text_column: str = "text"
+) -> DataFrame:
+    """Add the evidence in each text; all other columns stay as they are."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    others = [f for f in docs.schema if f.name != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         restorer = model.restorer()
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                found = [model.evidence(restorer, t) for t in piece["text"].to_pylist()]
-                columns = {f.name: piece[f.name] for f in others}
-                yield pa.RecordBatch.from_pydict(columns | {"evidence": pa.array(found, pa.float64())})
+            for piece in pieces(batch, text_column):
+                texts = piece[text_column].to_pylist()
+                found = [model.evidence(restorer, t) if t else 0.0 for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [*piece.columns, pa.array(found, pa.float64())], [*piece.schema.names, name]
+                )
+
+    return docs.mapInArrow(work, T.StructType([*docs.schema, T.StructField(name, T.DoubleType())]))
 
-    kinds = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in others], "evidence double"])
-    return docs.mapInArrow(work, kinds)
+
+def probability(model: ToxicityModel, evidence: str) -> Column:
+    z = F.lit(model.base) + F.lit(model.slope) * F.log1p(F.col(evidence))
+    return 1 / (1 + F.exp(-z))
 
 
 def fit(docs: DataFrame, sample: DataFrame, text_column: str = "text") -> ToxicityModel:
@@ -398,7 +406,7 @@ def fit(docs: DataFrame, sample: DataFrame, text_column: str = "text") -> Toxici
         model.base = 30.0 if toxic else (-30.0 if clean else 0.0)
         return model
     rows = (
-        evidence(sample, model)
+        with_evidence(sample, model)
         .groupBy(F.round("evidence", 1).alias("x"))
         .agg(F.sum("y").alias("y"), F.count("y").alias("n"))
         .toPandas()
@@ -429,9 +437,30 @@ def classify(
     sample = labelled_sample(docs, labels, label, learns, max_labelled, id_column, text_column)
     model = fit(docs, sample, text_column)
     rows = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"))
-    z = F.lit(model.base) + F.lit(model.slope) * F.log1p("evidence")
     return (
-        evidence(rows, model)
-        .select(F.col("id").alias(id_column), (1 / (1 + F.exp(-z))).alias("score"))
+        with_evidence(rows, model)
+        .select(F.col("id").alias(id_column), probability(model, "evidence").alias("score"))
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def reject(
+    docs: DataFrame,
+    labels: DataFrame,
+    learns: Column,
+    label: str = "toxic",
+    threshold: float = 0.5,
+    max_labelled: int = 20_000,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows that score below ``threshold``, with all their columns.
+
+    Learns and scores as ``classify`` does. Without both kinds of labels nothing is rejected.
+    """
+    sample = labelled_sample(docs, labels, label, learns, max_labelled, id_column, text_column)
+    model = fit(docs, sample, text_column)
+    if not model.weights:
+        return docs
+    judged = with_evidence(docs, model, "__evidence", text_column)
+    return judged.filter(probability(model, "__evidence") < threshold).drop("__evidence")
