@@ -29,7 +29,7 @@ MAX_LANGUAGES = 500
 #: Share of the labelled sample that fits the temperature only, one in so many.
 CALIBRATION = 10
 UNKNOWN = "und"
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.05, 0.05, 4
+ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.3, 0.05, 4
 
 
 def n_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
