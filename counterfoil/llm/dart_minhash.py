@@ -11,10 +11,12 @@ of n shingles so costs O(n + k log k) and not O(n k).
 
 Signatures are cut into bands; texts that share a band meet in a bucket. Within a bucket pairs
 are never all emitted: every text is compared, by its whole shingle multiset, with one hub of
-the bucket. Only texts outside the hub's component need more. The distance 1 - J is a metric,
-so such an outsider is compared only with members whose distance to the hub differs from its
-own by at most 1 - threshold; every other pair is apart for certain. So each pair that shares a
-band is either compared, or linked through others, or ruled out.
+the bucket, and what stays outside the hub's component is looked at again. A text can only be
+similar to another if enough of its cells occur in other texts at all, so the cells of the open
+buckets are counted: texts with too few shared cells are settled, the rest is compared with the
+most central member of the bucket, and of the pairs still open only those are emitted whose
+shared cells could make them similar. So each pair that shares a band is either compared, or
+linked through others, or ruled out.
 
 Equal texts are one node from the start, with a row count. All lists of links and classes stay
 in Spark.
@@ -27,8 +29,10 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.llm.common import joined_bytes, mix, pieces, salted_join, whole_text, word_spans
@@ -40,6 +44,8 @@ SIMILARITY = 0.8
 #: With 24 bands of 5, a pair at similarity 0.8 misses all bands once in 14,000.
 BANDS, BAND_ROWS = 24, 5
 SEED = 0x0DA27
+#: Bits of the filter of texts that have candidates: 4 MB, whatever the number of texts.
+FILTER_BITS = 1 << 25
 
 _U = np.uint64
 _BYTE_VALUES = np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -192,22 +198,78 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
     )
 
 
-def _compared(pairs: DataFrame, cells: DataFrame) -> DataFrame:
-    """Add ``similarity`` to pairs (a, b); many pairs may share an ``a``.
+def _held(nodes: DataFrame) -> Broadcast:
+    """A filter of ``FILTER_BITS`` bits that knows at least the given nodes."""
+    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    words = (
+        nodes.select(place.alias("place"))
+        .groupBy(F.expr("place div 64").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
+    )
+    found = np.zeros(FILTER_BITS // 64, np.int64)
+    rows = words.toArrow()
+    found[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return nodes.sparkSession.sparkContext.broadcast(found)
+
 
-    The larger multiset has at most ``len / threshold`` cells if the pair is a link, but the
-    distance of all pairs is wanted, so every pair is computed in full.
+def _cells_of(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, cells) of the given nodes, stored.
+
+    Most texts have no candidate at all. A filter of fixed size keeps their cells out of the
+    shuffle; if it were full, all would be shuffled and the result be the same.
     """
+    held = _held(nodes)
+
+    @F.pandas_udf("boolean")
+    def known(places: pd.Series) -> pd.Series:
+        at = places.to_numpy()
+        return pd.Series((held.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    return store(
+        sketches.select("node", "cells")
+        .filter(known(place))
+        .join(nodes, "node", "semi")
+        .groupBy("node")
+        .agg(F.first("cells").alias("cells")),
+        "cells",
+    )
+
+
+def _links_among(pairs: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs (a, b) whose whole multisets are similar; many pairs may share an ``a``."""
     b_side = cells.select(F.col("node").alias("b"), F.col("cells").alias("cells_b"))
     a_side = cells.select(F.col("node").alias("a"), F.col("cells").alias("cells_a"))
-    with_b = salted_join(pairs, b_side, "b")
-    both = salted_join(store(with_b, "pairs-half"), a_side, "a")
+    with_b = store(salted_join(pairs, b_side, "b"), "pairs-half")
+    both = salted_join(with_b, a_side, "a")
     common = F.size(F.array_intersect("cells_a", "cells_b"))
-    return both.select(
-        "a", "b", (common / (F.size("cells_a") + F.size("cells_b") - common)).alias("similarity")
+    union = F.size("cells_a") + F.size("cells_b") - common
+    return store(both.filter(common >= threshold * union).select("a", "b"), "links")
+
+
+def _sizes_fit(one: str, two: str, threshold: float) -> Column:
+    """Similar multisets have similar sizes."""
+    return F.least(one, two) >= threshold * F.greatest(one, two)
+
+
+def _with_hub(met: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs of a hub and a member whose sizes allow a link."""
+    return store(
+        met.filter((F.col("node") != F.col("hub")) & _sizes_fit("size", "hub_size", threshold))
+        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        .distinct(),
+        "hub-pairs",
     )
 
 
+def _shared_cells(cells: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shared): how many of a node's cells another of the nodes has too."""
+    one = cells.join(nodes, "node", "semi").select("node", F.explode("cells").alias("cell"))
+    one = store(one, "open-cells")
+    several = one.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return salted_join(one, several, "cell").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+
+
 def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Links (a, b) of nodes that join all pairs at ``threshold`` or more that share a band.
 
@@ -215,63 +277,65 @@ def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """
     buckets = store(
         sketches.filter(F.size("bands") > 0)
-        .select("node", F.explode("bands").alias("band"))
+        .select("node", F.size("cells").alias("size"), F.explode("bands").alias("band"))
         .distinct(),
         "buckets",
     )
     # The hub is the least node by an order that differs from band to band.
-    hubs = store(
+    mixed = F.col("node").bitwiseXOR(F.col("band"))
+    hubs = (
         buckets.groupBy("band")
-        .agg(
-            F.min(F.col("node").bitwiseXOR(F.col("band"))).alias("least"),
-            F.count(F.lit(1)).alias("members"),
-        )
+        .agg(F.min(mixed).alias("least"), F.count(F.lit(1)).alias("members"))
         .filter("members > 1")
-        .select("band", F.col("least").bitwiseXOR(F.col("band")).alias("hub"), "members"),
-        "hubs",
     )
-    met = store(salted_join(buckets, hubs, "band").filter("node != hub"), "met")
-    pairs = store(met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    cells = store(
-        sketches.select("node", "cells")
-        .join(nodes, "node", "semi")
-        .groupBy("node")
-        .agg(F.first("cells").alias("cells")),
-        "cells",
+    hubs = hubs.select("band", F.col("least").bitwiseXOR(F.col("band")).alias("hub"), "members")
+    sizes = buckets.select("band", F.col("node").alias("hub"), F.col("size").alias("hub_size"))
+    met = store(
+        salted_join(buckets, store(hubs.join(sizes, ["band", "hub"]), "hubs"), "band"), "met"
     )
-    judged = store(_compared(pairs, cells), "judged")
-    links = judged.filter(F.col("similarity") >= threshold).select("a", "b")
-    labels = store(components(links), "labels")
-
-    # What a hub could not settle: members outside its component, in buckets of three or more.
-    apart = judged.filter(F.col("similarity") < threshold)
-    apart = _labelled(_labelled(apart, labels, "a"), labels, "b").filter("label_a != label_b")
-    open_pairs = apart.select(F.col("a").alias("hub"), F.col("b").alias("node"))
-    outside = met.filter("members > 2").join(
-        store(open_pairs, "open-pairs"), ["hub", "node"], "semi"
+    pairs = _with_hub(met, threshold)
+    cells = _cells_of(sketches, met.select("node").distinct())
+    links = _links_among(pairs, cells, threshold)
+    labels = components(links)
+
+    # Buckets of three or more with members outside the hub's component are open.
+    told = _labelled(_labelled(met.filter("members > 2"), labels, "node"), labels, "hub")
+    told = store(told, "told")
+    bands = told.filter("label_node != label_hub").select("band").distinct()
+    members = store(told.join(bands, "band", "semi").select("band", "node", "size"), "open")
+    if members.isEmpty():
+        return links
+    shared = _shared_cells(cells, members.select("node").distinct())
+    members = store(
+        members.join(shared, "node").filter(F.col("shared") >= threshold * F.col("size")), "alive"
     )
-    distances = judged.select(
-        F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away")
+    # The member with the largest part of shared cells is the second hub.
+    central = members.groupBy("band").agg(
+        F.max_by(
+            F.struct(F.col("node").alias("hub"), F.col("size").alias("hub_size")),
+            F.struct(F.col("shared") / F.col("size"), F.col("size"), F.col("node")),
+        ).alias("best")
     )
-    outside = _labelled(store(outside, "outside").join(distances, ["hub", "node"]), labels, "node")
-    members = met.join(outside.select("band").distinct(), "band", "semi").join(
-        distances, ["hub", "node"]
+    central = store(central.select("band", "best.*"), "central")
+    met = store(salted_join(members, central, "band"), "met-again")
+    links = store(
+        links.unionAll(_links_among(_with_hub(met, threshold), cells, threshold)), "links"
     )
-    members = _labelled(members, labels, "node")
+    labels = components(links)
+    told = store(_labelled(_labelled(met, labels, "node"), labels, "hub"), "told")
+    outside = told.filter("label_node != label_hub").alias("o")
+    # With the sizes a and b, a link has at least (a + b) t / (1 + t) common cells.
+    enough = threshold / (1 + threshold)
     rest = (
-        outside.alias("o")
-        .join(members.alias("m"), F.col("o.band") == F.col("m.band"))
+        outside.join(told.alias("m"), F.col("o.band") == F.col("m.band"))
         .filter(
-            "o.label_node != m.label_node "
-            f"AND abs(o.away - m.away) <= {1 - threshold} + 1e-9"
+            "o.label_node != m.label_node AND m.node != m.hub AND "
+            f"least(o.shared, m.shared) >= {enough} * (o.size + m.size)"
         )
         .select(F.least("o.node", "m.node").alias("a"), F.greatest("o.node", "m.node").alias("b"))
         .distinct()
     )
-    rest = store(rest, "rest")
-    more = _compared(rest, cells).filter(F.col("similarity") >= threshold).select("a", "b")
-    return links.unionAll(more)
+    return links.unionAll(_links_among(store(rest, "rest"), cells, threshold))
 
 
 def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:

@@ -26,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     nodes = store(
         links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct(), "nodes"
     )
-    while True:
+    while not nodes.isEmpty():
         # Large star: neighbours above a node point at the least node around it.
         both = store(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
         least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("least"))
