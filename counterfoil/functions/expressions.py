@@ -17,12 +17,16 @@ def round_half_even(value: Column, places: int) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
-def to_units(value: Column, places: int = 4) -> Column:
+#: Decimals of line revenue: prices times quantities are added up to this precision.
+REVENUE_PLACES = 4
+
+
+def to_units(value: Column, places: int) -> Column:
     """A double as a whole number of 10^-places, so that sums do not depend on row order."""
     return F.rint(value * F.lit(float(10**places))).cast("bigint")
 
 
-def from_units(units: Column, places: int = 4) -> Column:
+def from_units(units: Column, places: int) -> Column:
     return units.cast("double") / F.lit(float(10**places))
 
 
@@ -51,12 +55,19 @@ def _whole(high: Column, low: Column) -> Column:
     return high.cast(wide) * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low.cast(wide)
 
 
-def from_parts(name: str, places: int = 4) -> Column:
-    return from_units(_whole(F.col(f"{name}_high"), F.col(f"{name}_low")), places)
+def from_columns(high: Column, low: Column, places: int) -> Column:
+    return from_units(_whole(high, low), places)
+
 
+def from_parts(name: str, places: int) -> Column:
+    return from_columns(F.col(f"{name}_high"), F.col(f"{name}_low"), places)
 
-def exact_sum(value: Column, places: int = 4, keep: Column | None = None) -> Column:
-    """Order-independent sum of doubles with at most ``places`` decimals, where ``keep``."""
+
+def exact_sum(value: Column, places: int, keep: Column | None = None) -> Column:
+    """Order-independent sum of doubles with at most ``places`` decimals, where ``keep``.
+
+    Finer values are rounded one by one, so ``places`` must be the precision of the input.
+    """
     units = to_units(value, places)
     high, low = sum_units(units if keep is None else F.when(keep, units), "sum")
     return from_units(_whole(high, low), places)

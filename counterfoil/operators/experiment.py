@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, time, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
-from counterfoil.sources.storage import small_table
 
 
 def assign_arms(
@@ -34,49 +31,6 @@ def _timestamp(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _within(moment: Column, start: Column, days: int) -> Column:
-    begin = start.cast("timestamp_ntz")
-    return (moment >= begin) & (moment < begin + F.expr(f"INTERVAL {days} DAYS"))
-
-
-BITS = 62
-
-
-def _bits_per_customer(
-    bought: DataFrame, starts: list[datetime], days: int
-) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """Per customer one bit for each start date with a purchase in [start, start + days).
-
-    Bits are merged by ``bit_or``, whose partial results are plain numbers: however many
-    purchases a customer has, one row leaves each task. Also returns the test of a start date.
-    """
-    moment = F.col("datetime")
-    masks = []
-    for first in range(0, len(starts), BITS):
-        flags = [
-            F.when(_within(moment, F.lit(start.date()), days), F.lit(1 << i).cast("bigint"))
-            .otherwise(F.lit(0).cast("bigint"))
-            for i, start in enumerate(starts[first : first + BITS])
-        ]
-        masks.append(reduce(Column.bitwiseOR, flags).alias(f"__mask{first // BITS}"))
-    names = [f"__mask{i}" for i in range(len(masks))]
-    hits = (
-        bought.select("customer_id", *masks)
-        .groupBy("customer_id")
-        .agg(*[F.bit_or(name).alias(name) for name in names])
-    )
-    number = F.create_map(
-        *[x for i, s in enumerate(starts) for x in (F.lit(s.date()), F.lit(i))]
-    )
-
-    def place(start_date: Column) -> Column:
-        index = F.try_element_at(number, start_date)
-        word = F.get(F.array(*names), F.floor(index / BITS).cast("int"))
-        return F.getbit(word, index % BITS)
-
-    return hits, place
-
-
 def response_label(
     dispatch: DataFrame,
     promotions: DataFrame,
@@ -88,50 +42,61 @@ def response_label(
     """Add ``bought_after_promo``: 1 when the customer bought in [start, start + days).
 
     ``match`` says what must be bought: the promoted "product", its "category", or "any".
-    Promotion ids are unique. Purchases shrink to distinct pairs, with partial aggregation
-    before the shuffle, before they meet the dispatch: a customer with most purchases leaves
-    one row per task.
+    Promotion ids are unique; a promotion without a start date is never answered. Purchases
+    of promoted things shrink to the days of each customer and thing, with partial
+    aggregation before the shuffle: at most one entry per calendar day of the window, however
+    many purchases or promotions there are. Only then do they meet the dispatch log, whose
+    rows neither multiply nor travel under the promotion.
     """
     if match not in ("product", "category", "any"):
         raise ValueError(f"match must be product, category or any, not {match!r}")
-    # Start dates are calendar days: few, whatever the number of promotions.
-    starts = sorted(
-        datetime.combine(row[0], time())
-        for row in promotions.select("start_date").distinct().collect()
-    )
-    if not starts:
+    if match == "category" and products is None:
+        raise ValueError("match='category' needs the products")
+    first, last = promotions.agg(F.min("start_date"), F.max("start_date")).first()
+    if first is None:
         return dispatch.withColumn("bought_after_promo", F.lit(0))
     moment = F.col("datetime")
     bought = transactions.filter(
         F.col("customer_id").isNotNull()
-        & (moment >= _timestamp(starts[0]))
-        & (moment < _timestamp(starts[-1] + timedelta(days=days)))
+        & (moment >= _timestamp(datetime.combine(first, time())))
+        & (moment < _timestamp(datetime.combine(last, time()) + timedelta(days=days)))
     )
-    offers = small_table(promotions.select("promotion_id", "product_id", "start_date"))
+    offers = promotions.filter(F.col("start_date").isNotNull())
+    key = ["customer_id"]
     if match == "any":
-        # One row per customer, so that the dispatch is shuffled by customer only, as the
-        # joins that follow need it.
-        hits, place = _bits_per_customer(bought, starts, days)
-        sent = dispatch.join(offers.drop("product_id"), "promotion_id", "left")
-        labelled = sent.join(hits, "customer_id", "left")
-        hit = place(F.col("start_date")).cast("int")
+        offers = offers.select("promotion_id", "start_date")
+    elif match == "product":
+        offers = offers.select("promotion_id", "start_date", F.col("product_id").alias("__thing"))
+        promoted = offers.select(F.col("__thing").alias("product_id")).distinct()
+        # A semi join goes below the join of lines and orders, to the lines.
+        bought = bought.join(promoted, "product_id", "left_semi").withColumn(
+            "__thing", F.col("product_id")
+        )
     else:
-        if match == "category":
-            categories = products.select("product_id", "product_taxonomies")
-            wanted = small_table(categories.join(offers, "product_id").drop("product_id"))
-            offers = categories.join(wanted, "product_taxonomies")
-        hits = (
-            bought.select("customer_id", "product_id", "datetime")
-            .join(offers, "product_id")
-            .filter(_within(moment, F.col("start_date"), days))
-            .select("customer_id", "promotion_id", F.lit(1).alias("__hit"))
-            .distinct()
+        things = products.select("product_id", F.col("product_taxonomies").alias("__thing"))
+        offers = offers.join(things, "product_id").select("promotion_id", "start_date", "__thing")
+        promoted = things.join(offers.select("__thing").distinct(), "__thing", "left_semi")
+        bought = bought.join(promoted.select("product_id"), "product_id", "left_semi").join(
+            promoted, "product_id"
         )
-        hit = F.col("__hit")
-        labelled = dispatch.join(hits, ["customer_id", "promotion_id"], "left")
-    return labelled.select(
-        *dispatch.columns, F.coalesce(hit, F.lit(0)).alias("bought_after_promo")
+    if match != "any":
+        key.append("__thing")
+    hits = (
+        bought.select(*key, F.to_date(moment).alias("__day"))
+        .groupBy(*key)
+        .agg(F.collect_set("__day").alias("__days"))
+    )
+    start = F.col("start_date")
+    answered = F.exists(
+        "__days", lambda day: (day >= start) & (day < F.date_add(start, days))
     )
+    labelled = dispatch.join(offers, "promotion_id", "left").join(hits, key, "left")
+    return labelled.select(
+        *[dispatch[c] for c in dispatch.columns if c not in ("promotion_id", "customer_id")],
+        "promotion_id",
+        "customer_id",
+        F.coalesce(answered.cast("int"), F.lit(0)).alias("bought_after_promo"),
+    ).select(*dispatch.columns, "bought_after_promo")
 
 
 def arms_from_fact(
@@ -242,11 +207,9 @@ def append_campaign(
     """The fact table plus one purchase line per campaign buyer.
 
     The treated pay the discounted price and carry the promotion; the default time is 14:00
-    on the third day. Orders get text ids, as the new ones are named after the customer.
+    on the third day. Orders get text ids, as the new ones are named after campaign and customer.
     """
-    offers = small_table(
-        products.select("product_id", "price").join(small_table(promotions), "product_id")
-    )
+    offers = products.select("product_id", "price").join(promotions, "product_id")
     treated = F.col("is_treatment") == 1
     reduced = E.round_half_even(F.col("price") - F.col("price") * F.col("discount"), 2)
     bought = (
@@ -263,7 +226,9 @@ def append_campaign(
             "customer_id",
             F.when(treated, F.col("promotion_id")).otherwise("").alias("promotion_id"),
             F.lit(store_id).alias("store_id"),
-            F.concat(F.lit("PO_CAMP_"), F.col("customer_id").cast("string")).alias("po_id"),
+            F.concat_ws("_", F.lit("PO"), "campaign_id", F.col("customer_id").cast("string")).alias(
+                "po_id"
+            ),
         )
     )
     history = transactions.withColumn("po_id", F.col("po_id").cast("string"))

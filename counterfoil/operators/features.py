@@ -29,7 +29,7 @@ def basket_totals(transactions: DataFrame, reference: str) -> DataFrame:
     spread over tasks.
     """
     moment = F.col("datetime")
-    units = E.to_units(F.col("price") * F.col("qty"))
+    units = E.to_units(F.col("price") * F.col("qty"), E.REVENUE_PLACES)
     return (
         transactions.filter(
             F.col("customer_id").isNotNull() & (moment < reference_timestamp(reference))
@@ -70,7 +70,7 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
         )
     )
     zero = F.lit(0).cast("bigint")
-    spend = E.from_parts("revenue")
+    spend = E.from_parts("revenue", E.REVENUE_PLACES)
     return customers.join(totals, "customer_id", "left").select(
         "customer_id",
         "customer_taxonomies",
@@ -81,7 +81,7 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
         .cast("bigint")
         .alias("recency_days"),
         F.coalesce("recent_visits", zero).alias("frequency_30d"),
-        F.coalesce(E.from_parts("recent"), F.lit(0.0)).alias("monetary_90d"),
+        F.coalesce(E.from_parts("recent", E.REVENUE_PLACES), F.lit(0.0)).alias("monetary_90d"),
         F.coalesce(spend, F.lit(0.0)).alias("total_spend"),
         F.coalesce("visits", zero).alias("total_visits"),
         F.coalesce("items", zero).alias("total_items"),
@@ -97,45 +97,50 @@ def rfm_features(transactions: DataFrame, customers: DataFrame, reference: str)
     return customer_features(basket_totals(transactions, reference), customers, reference)
 
 
-def spend_by(
-    transactions: DataFrame,
-    customers: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    label: str,
-    reference: str,
-    max_columns: int = 1000,
+def spend_parts(
+    transactions: DataFrame, dimension: DataFrame, key: str, label: str, reference: str
 ) -> DataFrame:
-    """Spend per customer and label of a dimension, one column per label, plus the total.
-
-    Lines whose key is not in the dimension count in the total only. The labels are read
-    from the dimension; more than ``max_columns`` of them is an error.
-    """
-    labels = [
-        row[0]
-        for row in dimension.select(label)
-        .filter(F.col(label).isNotNull())
-        .distinct()
-        .orderBy(label)
-        .limit(max_columns + 1)
-        .collect()
-    ]
-    if len(labels) > max_columns:
-        raise ValueError(f"more than {max_columns} values in {label}")
-    revenue = F.col("price") * F.col("qty")
-    spend = (
+    """Revenue per customer and label of a dimension, as exact parts; for ``spend_by``."""
+    revenue = E.to_units(F.col("price") * F.col("qty"), E.REVENUE_PLACES)
+    return (
         transactions.filter(
             F.col("customer_id").isNotNull()
             & (F.col("datetime") < reference_timestamp(reference))
         )
-        .join(dimension.select(key, label), key, "left")
-        .groupBy("customer_id")
-        .agg(
-            *[E.exact_sum(revenue, keep=F.col(label) == x).alias(f"spend_{x}") for x in labels],
-            E.exact_sum(revenue).alias("spend_total"),
-        )
+        .join(dimension.select(key, F.col(label).alias("label")), key, "left")
+        .groupBy("customer_id", "label")
+        .agg(*E.sum_units(revenue, "revenue"))
+    )
+
+
+TOTAL = "total"
+
+
+def spend_by(parts: DataFrame, customers: DataFrame, labels: DataFrame) -> DataFrame:
+    """Spend per customer, one column per label, plus the total.
+
+    ``parts`` has (customer_id, label, revenue_high, revenue_low); a null label counts in the
+    total only. ``labels`` has the labels that get a column, one row each.
+    """
+    names = [row[0] for row in labels.filter(labels[0].isNotNull()).collect()]
+    names = sorted(set(names))
+    # The total is one more label, told apart by a prefix.
+    tagged = F.concat(F.lit("="), F.col("label"))
+    both = parts.withColumn("label", F.explode(F.array(tagged, F.lit(TOTAL)))).filter(
+        F.col("label").isNotNull()
+    )
+    tags = [f"={n}" for n in names] + [TOTAL]
+    wide = both.groupBy("customer_id").pivot("label", tags).agg(*E.sum_parts("revenue"))
+    spend = wide.select(
+        "customer_id",
+        *[
+            E.from_columns(
+                F.col(f"`{tag}_revenue_high`"), F.col(f"`{tag}_revenue_low`"), E.REVENUE_PLACES
+            ).alias(f"spend_{tag.removeprefix('=')}")
+            for tag in tags
+        ],
     )
-    columns = [f"spend_{x}" for x in labels] + ["spend_total"]
+    columns = spend.columns[1:]
     return customers.select("customer_id").join(spend, "customer_id", "left").select(
         "customer_id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c) for c in columns]
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
 from counterfoil.operators import features
-from counterfoil.sources.storage import small_table
 
 
 def star_join(
@@ -19,17 +18,19 @@ def star_join(
 ) -> DataFrame:
     """Every line with customer, promotion, product and store columns; no line is lost.
 
-    Most lines carry no promotion, one value of the join key. Promotions and stores are
-    therefore broadcast when counted to be few. Customers and products, and dimensions beyond
-    that count, are left to Spark: broadcast by statistics, or shuffled with skewed
-    partitions of the fact side split at run time.
+    Whether a dimension is broadcast is left to Spark, which knows its bytes. Most lines carry
+    no promotion; they get a key of their order instead of sharing one, so that they spread
+    where the promotions are too many to be broadcast. Other skew is split at run time.
     """
-    offers = small_table(
-        promotions.select("promotion_id", "discount", "start_date", "end_date")
+    offers = promotions.select(
+        F.col("promotion_id").alias("__offer"), "discount", "start_date", "end_date"
     )
+    none = F.concat(F.lit("\0"), F.xxhash64("po_id").cast("string"))
+    named = E.has_promotion(F.col("promotion_id")) == 1
     return (
         transactions.join(customers, "customer_id", "left")
-        .join(offers, "promotion_id", "left")
+        .withColumn("__key", F.when(named, F.col("promotion_id")).otherwise(none))
+        .join(offers, F.col("__key") == F.col("__offer"), "left")
         .join(
             products.select(
                 "product_id", "product_taxonomies", F.col("price").alias("product_price")
@@ -37,7 +38,7 @@ def star_join(
             "product_id",
             "left",
         )
-        .join(small_table(stores), "store_id", "left")
+        .join(stores, "store_id", "left")
         .select(
             *transactions.columns,
             "customer_taxonomies",

@@ -18,8 +18,7 @@ from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.sources.storage import local_table, shared_folder
 
-MIN_ROWS_PER_PARTITION = 20_000
-MAX_ROWS_PER_PARTITION = 1_000_000
+ROWS_PER_PARTITION = 20_000
 
 
 class ArmError(ValueError):
@@ -102,11 +101,10 @@ def check_arms(training: DataFrame) -> dict[int, int]:
     return {arm: sizes[arm][0] for arm in (0, 1)}
 
 
-def _partitions(rows: int, cores: int) -> int:
-    """Every tree level is a job over all partitions: few for few rows, two per core else."""
-    worthwhile = -(-rows // MIN_ROWS_PER_PARTITION)
-    needed = -(-rows // MAX_ROWS_PER_PARTITION)
-    return max(1, needed, min(worthwhile, 2 * cores))
+def _partitions(rows: int) -> int:
+    """From the rows alone: bagging and split candidates are drawn per partition, so a count
+    that depended on the cluster would give another model on another cluster."""
+    return max(1, -(-rows // ROWS_PER_PARTITION))
 
 
 @dataclass(frozen=True)
@@ -126,16 +124,17 @@ class TreeTLearner:
         """Fit both arms at the same time; each is a Spark job sequence of its own."""
         estimator = self._estimator()
         sizes = check_arms(training)
-        cores = training.sparkSession.sparkContext.defaultParallelism
         shared_folder(training.sparkSession)
         assembler = VectorAssembler(inputCols=C.FEATURE_COLUMNS, outputCol="features")
 
         def fit_arm(arm: int) -> PipelineModel:
-            rows = training.filter(F.col("is_treatment") == arm).select(
-                *C.FEATURE_COLUMNS, "bought_after_promo"
+            columns = ["customer_id", *C.FEATURE_COLUMNS, "bought_after_promo"]
+            rows = training.filter(F.col("is_treatment") == arm).select(*columns)
+            # The same rows in the same order in each partition, wherever they come from.
+            spread = rows.repartition(_partitions(sizes[arm]), "customer_id")
+            return Pipeline(stages=[assembler, estimator]).fit(
+                spread.sortWithinPartitions(*columns)
             )
-            spread = rows.repartition(_partitions(sizes[arm], cores))
-            return Pipeline(stages=[assembler, estimator]).fit(spread)
 
         with ThreadPoolExecutor(max_workers=2) as pool:
             run = inheritable_thread_target(training.sparkSession)(fit_arm)

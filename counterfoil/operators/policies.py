@@ -28,7 +28,7 @@ def policy_report(rows: DataFrame, policies: Mapping[str, Column], terms: Terms)
     discount = terms.price * terms.discount_rate
 
     def total(column: str, keep: Column) -> Column:
-        return F.coalesce(E.exact_sum(F.col(column), keep=keep), F.lit(0.0))
+        return F.coalesce(E.exact_sum(F.col(column), EXACT_PLACES, keep), F.lit(0.0))
 
     def spend(keep: Column) -> Column:
         sent = F.count(F.when(keep, 1)) * terms.campaign_cost

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
 from counterfoil.operators import ranking
+from counterfoil.operators.value import EXACT_PLACES
 
 
 def value_counts(rows: DataFrame, column: str) -> DataFrame:
@@ -22,14 +23,14 @@ def segment_means(rows: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return rows.groupBy("customer_taxonomies").agg(
         n.alias("n_customers"),
-        E.ratio(E.exact_sum(F.col("uplift_score")), n).alias("mean_uplift"),
-        E.ratio(E.exact_sum(F.col("expected_incremental_profit")), n).alias("mean_profit"),
+        E.ratio(E.exact_sum(F.col("uplift_score"), EXACT_PLACES), n).alias("mean_uplift"),
+        E.ratio(E.exact_sum(F.col("expected_incremental_profit"), EXACT_PLACES), n).alias("mean_profit"),
     )
 
 
 def segment_profit(rows: DataFrame) -> DataFrame:
     return rows.groupBy("customer_taxonomies").agg(
-        E.exact_sum(F.col("expected_incremental_profit")).alias("total_profit")
+        E.exact_sum(F.col("expected_incremental_profit"), EXACT_PLACES).alias("total_profit")
     )
 
 
@@ -43,12 +44,7 @@ def quadrant_confusion(rows: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def first_rows(table: DataFrame, n: int = 5, id_column: str = "customer_id") -> DataFrame:
-    return table.orderBy(id_column).limit(n)
-
-
 QUARTILES = (1, 2, 3)
-PROFILE_PLACES = 4
 
 
 def feature_profile(
@@ -93,11 +89,11 @@ def feature_profile(
             F.struct(
                 F.lit(c).alias("feature"),
                 n.alias("n"),
-                E.round_half_even(F.avg(value), PROFILE_PLACES).alias("mean"),
-                E.round_half_even(F.stddev_samp(value), PROFILE_PLACES).alias("std"),
+                F.avg(value).alias("mean"),
+                F.stddev_samp(value).alias("std"),
                 F.min(value).alias("min"),
                 *[
-                    E.round_half_even(quartile(c, i, n), PROFILE_PLACES).alias(f"q{25 * q}")
+                    quartile(c, i, n).alias(f"q{25 * q}")
                     for i, q in enumerate(QUARTILES)
                 ],
                 F.max(value).alias("max"),

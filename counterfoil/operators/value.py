@@ -148,11 +148,17 @@ def targeting_rows(scored: DataFrame, terms: Sequence[Terms]) -> DataFrame:
     return label_scores(promotion_values(scored, terms)).select(*TARGETING_COLUMNS)
 
 
+def profit_order() -> list[Column]:
+    """By profit; the ids as last keys let the range sort split equal profits."""
+    return [
+        F.col("expected_incremental_profit").desc(),
+        F.col("customer_id"),
+        F.col("promotion_id"),
+    ]
+
+
 def by_profit(rows: DataFrame) -> DataFrame:
-    """Sorted by profit; the ids as last keys let the range sort split equal profits."""
-    return rows.orderBy(
-        F.col("expected_incremental_profit").desc(), "customer_id", "promotion_id"
-    )
+    return rows.orderBy(*profit_order())
 
 
 def top_by_profit(rows: DataFrame, n: int = 100) -> DataFrame:

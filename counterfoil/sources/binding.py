@@ -7,7 +7,6 @@ are declared, so opening a table starts no job.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import experiment, features
-from counterfoil.sources.storage import small_table
 
 FILES: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -110,16 +108,16 @@ class Retail:
             )
         )
 
-    @cached_property
+    @property
     def promotions(self) -> DataFrame:
-        """One row per promoted part, looked up once."""
+        """One row per promoted part."""
         key = F.col("p_partkey")
         name = discount = F.lit(None)
         for promotion, (part, rate) in PROMOTIONS.items():
             name = F.when(key == part, promotion).otherwise(name)
             discount = F.when(key == part, rate).otherwise(discount)
         start = F.lit(REFERENCE_DATE).cast("date")
-        return small_table(
+        return (
             self.raw("part")
             .filter(key.isin([part for part, _ in PROMOTIONS.values()]))
             .select(
@@ -131,16 +129,6 @@ class Retail:
             )
         )
 
-    @property
-    def lines(self) -> DataFrame:
-        """The lines alone, for what needs neither customer nor date."""
-        return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("po_id"),
-            F.col("l_partkey").alias("product_id"),
-            _paid_price().alias("price"),
-            _promotion().alias("promotion_id"),
-        )
-
     @property
     def transactions(self) -> DataFrame:
         """One row per line. Both sides are large and meet on the order key."""
@@ -166,17 +154,45 @@ class Retail:
             F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("datetime")
         )
 
-    def baskets(self, reference: str = REFERENCE_DATE) -> DataFrame:
+    def spend_parts(self, dimension: DataFrame, line_key: str, key: str, label: str) -> DataFrame:
+        """Revenue per customer and label, with the lines added up per order and label before
+        they meet the orders; for ``features.spend_by``."""
+        revenue = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
+        per_order = (
+            self.raw("lineitem")
+            .withColumnRenamed(line_key, key)
+            .join(dimension.select(key, F.col(label).alias("label")), key, "left")
+            .groupBy("l_orderkey", "label")
+            .agg(*E.sum_units(revenue, "revenue"))
+        )
+        return (
+            self.raw("orders")
+            .filter(F.col("o_orderdate") < features.reference_timestamp(REFERENCE_DATE))
+            .join(per_order, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("o_custkey").alias("customer_id"), "label")
+            .agg(*E.sum_parts("revenue"))
+        )
+
+    def baskets(
+        self, reference: str = REFERENCE_DATE, customers: DataFrame | None = None
+    ) -> DataFrame:
         """Basket totals, with the lines added up per order *before* they meet the orders.
 
         The shuffle carries one row per order and map task instead of one per line, an order
-        holding most lines shrinks to one row per task, and the join is one to one.
+        holding most lines shrinks to one row per task, and the join is one to one. Given
+        customers restrict the orders, and these the lines, before anything is added up.
         """
+        orders, lines = self.raw("orders"), self.raw("lineitem")
+        if customers is not None:
+            wanted = customers.select(F.col("customer_id").alias("o_custkey"))
+            orders = orders.join(wanted, "o_custkey", "left_semi")
+            keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+            lines = lines.join(keys, "l_orderkey", "left_semi")
+        units = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
         per_order = (
-            self.raw("lineitem")
-            .groupBy("l_orderkey")
+            lines.groupBy("l_orderkey")
             .agg(
-                *E.sum_units(E.to_units(_paid_price() * F.col("l_quantity")), "revenue"),
+                *E.sum_units(units, "revenue"),
                 F.sum(F.col("l_quantity").cast("bigint")).alias("items"),
                 F.sum(E.has_promotion(_promotion()).cast("bigint")).alias("promo_lines"),
                 F.count(F.lit(1)).alias("lines"),
@@ -186,8 +202,7 @@ class Retail:
         date = F.col("o_orderdate")
         paid_lately = date >= features.days_before(reference, C.MONETARY_DAYS)
         return (
-            self.raw("orders")
-            .filter(date < ref)
+            orders.filter(date < ref)
             .join(per_order, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.col("o_custkey").alias("customer_id"),
@@ -208,6 +223,13 @@ class Retail:
     def features(self) -> DataFrame:
         return features.customer_features(self.baskets(), self.customers, REFERENCE_DATE)
 
+    def features_of(self, customers: DataFrame) -> DataFrame:
+        """Features of some customers only."""
+        few = customers.select("customer_id")
+        return features.customer_features(
+            self.baskets(customers=few), customers, REFERENCE_DATE
+        )
+
     @property
     def dispatch(self) -> DataFrame:
         """The pilot campaign without its label: every customer, one promotion, hashed arms."""

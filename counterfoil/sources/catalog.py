@@ -68,15 +68,18 @@ def load_catalog(
     files: Mapping[str, str] | None = None,
     fmt: str = "csv",
     views: bool = False,
+    formats: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Load the six tables from ``data_dir``.
 
-    ``files`` maps a table to its file or folder name; by default ``<table>.<fmt>``. With
+    ``files`` maps a table to its file or folder name; by default ``<table>.<format>``.
+    ``formats`` names the formats of tables that differ from ``fmt``. With
     ``views`` each table is also registered as a temporary view for SQL.
     """
-    names = {table: f"{table}.{fmt}" for table in SCHEMAS} | dict(files or {})
+    kinds = dict.fromkeys(SCHEMAS, fmt) | dict(formats or {})
+    names = {table: f"{table}.{kinds[table]}" for table in SCHEMAS} | dict(files or {})
     tables = {
-        table: read_table(spark, f"{data_dir.rstrip('/')}/{names[table]}", schema, fmt)
+        table: read_table(spark, f"{data_dir.rstrip('/')}/{names[table]}", schema, kinds[table])
         for table, schema in SCHEMAS.items()
     }
     if views:
@@ -85,6 +88,11 @@ def load_catalog(
     return tables
 
 
+def load_truth(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """The true quadrant of each customer, where one is known."""
+    return read_table(spark, path, TRUTH_SCHEMA, fmt)
+
+
 def table_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows and key range of each (table, key column); keys are compared as given."""
     summary = None

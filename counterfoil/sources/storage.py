@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-SMALL_ROWS = 10_000
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session may go without: it gets a folder of its own. A cluster session
-    without the setting is refused, since no machine's own disk outlives its executor.
+    without the setting is refused, since no machine's own disk outlives its executor. A
+    ``file:`` folder is taken as a mount that all machines share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -31,9 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/counterfoil/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/counterfoil/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -57,13 +59,16 @@ def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
 
 
-def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A table of at most ``max_rows`` rows as a broadcast constant; a larger one unchanged.
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has stored. Tables read from there end with it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
-    The check counts real rows, which file sizes cannot do after a filter or a join. A table
-    beyond the limit is left to Spark's own choice of join.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(local_table(df.sparkSession, rows, df.schema))
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """For jobs: what is stored inside the block is deleted at its end."""
+    try:
+        yield
+    finally:
+        clear(spark)

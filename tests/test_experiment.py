@@ -4,7 +4,8 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from counterfoil.operators import experiment
+from counterfoil.operators import experiment, features
+from counterfoil.sources.binding import Retail
 from counterfoil.sources.catalog import SCHEMAS
 
 START = date(2026, 6, 1)
@@ -187,4 +188,72 @@ def test_append_campaign(spark, products):
     assert both.count() == 3 and set(new) == {"a", "b"}
     assert (new["a"].price, new["a"].promotion_id) == (7.99, "X")
     assert (new["b"].price, new["b"].promotion_id) == (9.99, "")
-    assert new["a"].datetime == dt(2026, 6, 3, 14) and new["b"].po_id == "PO_CAMP_b"
+    assert new["a"].datetime == dt(2026, 6, 3, 14) and new["b"].po_id == "PO_C_b"
+
+
+def test_purchases_of_two_campaigns_are_two_baskets(spark, products):
+    facts = bought(spark, [("a", "P1", "2026-05-01T00:00:00")])
+    log = spark.createDataFrame(
+        [("C1", "a", "X", 1, 1), ("C2", "a", "X", 1, 1)], SCHEMAS["campaign"]
+    )
+    both = experiment.append_campaign(
+        facts, log, offers(spark, [("X", "P1", START)]), products, "S2"
+    )
+    people = spark.createDataFrame([("a", "x")], SCHEMAS["customers"])
+    row = features.rfm_features(both, people, "2026-07-01").first()
+    assert (row.total_visits, row.frequency_30d) == (3, 2)
+
+
+def test_labels_with_many_promotions_and_a_hot_one(spark):
+    """One category, 12,000 promotions, half of the log on one of them."""
+    many = spark.range(12_000)
+    products = many.select(
+        F.concat(F.lit("P"), "id").alias("product_id"), F.lit("A").alias("product_taxonomies")
+    )
+    deals = many.select(
+        F.concat(F.lit("X"), "id").alias("promotion_id"),
+        F.concat(F.lit("P"), "id").alias("product_id"),
+        F.date_add(F.lit(START), (F.col("id") % 300).cast("int")).alias("start_date"),
+    )
+    log = spark.range(3_000).select(
+        F.lit("C").alias("campaign_id"),
+        F.col("id").cast("string").alias("customer_id"),
+        F.concat(F.lit("X"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))).alias(
+            "promotion_id"
+        ),
+    )
+    lines = spark.range(6_000).select(
+        (F.lit(START).cast("timestamp_ntz") + F.expr("make_dt_interval(cast(id % 320 as int))")).alias(
+            "datetime"
+        ),
+        F.concat(F.lit("P"), F.col("id") % 12_000).alias("product_id"),
+        (F.col("id") % 3_000).cast("string").alias("customer_id"),
+    )
+    got = experiment.response_label(log, deals, lines, products, days=7)
+    assert got.columns == [*log.columns, "bought_after_promo"]
+    rows = {int(r.customer_id): r.bought_after_promo for r in got.collect()}
+    for i in range(3_000):
+        start = 0 if i % 2 == 0 else i % 300
+        days = {i % 320, (i + 3_000) % 320}
+        assert rows[i] == int(any(start <= d < start + 7 for d in days))
+    assert len(rows) == 3_000 and 0 < sum(rows.values()) < 3_000
+
+
+def test_label_arguments_are_checked(spark, products):
+    log = sent(spark, [("a", "X")])
+    facts = bought(spark, [("a", "P1", "2026-06-02T00:00:00")])
+    with pytest.raises(ValueError, match="products"):
+        experiment.response_label(log, offers(spark, [("X", "P1", START)]), facts)
+    undated = offers(spark, [("X", "P1", START)]).withColumn(
+        "start_date", F.lit(None).cast("date")
+    )
+    assert labels(experiment.response_label(log, undated, facts, products)) == {("a", "X"): 0}
+
+
+def test_promoted_products_filter_the_lines_below_the_orders(spark, small):
+    retail = Retail(spark, small)
+    df = experiment.response_label(
+        retail.dispatch, retail.promotions, retail.transactions, match="product"
+    )
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join LeftSemi") > text.index("l_orderkey")

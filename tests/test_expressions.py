@@ -55,13 +55,13 @@ def test_exact_sum_does_not_depend_on_order(spark):
     sums = set()
     for order in (values, values[::-1]):
         df = spark.createDataFrame(list(enumerate(order)), schema).repartition(5)
-        sums.add(df.agg(E.exact_sum(F.col("v"))).first()[0])
+        sums.add(df.agg(E.exact_sum(F.col("v"), 4)).first()[0])
     assert sums == {1.0001}
 
 
 def test_exact_sum_passes_64_bits(spark):
     df = spark.range(40).select(F.lit(9e13).alias("v"))
-    assert df.agg(E.exact_sum(F.col("v"))).first()[0] == 40 * 9e13
+    assert df.agg(E.exact_sum(F.col("v"), 4)).first()[0] == 40 * 9e13
 
 
 def test_promotion_flag_codes_and_ratio(spark):

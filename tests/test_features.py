@@ -124,11 +124,40 @@ def test_spend_by_keeps_unmatched_lines_in_the_total(spark):
         [("P1", 1.0, 1.0, "A"), ("P2", 1.0, 1.0, "B b")], SCHEMAS["products"]
     )
     people = spark.createDataFrame([("c", "x"), ("d", "x")], SCHEMAS["customers"])
-    found = features.spend_by(
-        rows, people, products, "product_id", "product_taxonomies", REF
-    ).orderBy("customer_id")
+    parts = features.spend_parts(rows, products, "product_id", "product_taxonomies", REF)
+    labels = products.select("product_taxonomies")
+    found = features.spend_by(parts, people, labels).orderBy("customer_id")
     assert [tuple(r) for r in found.collect()] == [("c", 3.0, 2.0, 9.0), ("d", 0.0, 0.0, 0.0)]
-    with pytest.raises(ValueError):
-        features.spend_by(
-            rows, people, products, "product_id", "product_taxonomies", REF, max_columns=1
+
+
+def test_spend_by_more_labels_than_a_thousand(spark):
+    rows = spark.createDataFrame(
+        [line("c", "2026-05-01T00:00:00", 1.5, 2, product=f"P{i}") for i in range(0, 1200, 7)],
+        SCHEMAS["transactions"],
+    )
+    products = spark.createDataFrame(
+        [(f"P{i}", 1.0, 1.0, f"L{i:04}") for i in range(1200)], SCHEMAS["products"]
+    )
+    people = spark.createDataFrame([("c", "x")], SCHEMAS["customers"])
+    parts = features.spend_parts(rows, products, "product_id", "product_taxonomies", REF)
+    row = features.spend_by(parts, people, products.select("product_taxonomies")).first()
+    assert len(row) == 1202 and row.spend_total == 3.0 * 172
+    assert row.spend_L0007 == 3.0 and row.spend_L0008 == 0.0
+
+
+def test_pivots_shuffle_lines_once_and_orders_once(spark, small):
+    retail = Retail(spark, small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = retail.spend_parts(
+            retail.products, "l_partkey", "product_id", "product_taxonomies"
         )
+        text = parts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # raw lines by product, and products
+    assert text.count("Exchange hashpartitioning(product_id") == 2
+    # each further exchange carries partial sums
+    assert text.count("functions=[partial_sum") == 2 and "partial_sum(shiftright" in text

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
+from counterfoil.operators import learners
 from counterfoil.operators.learners import (
     ArmError,
     StratifiedTLearner,
@@ -113,9 +114,23 @@ def test_an_arm_that_cannot_be_fitted_is_named(people, case):
 
 
 @pytest.mark.parametrize(
-    ("rows", "cores", "partitions"),
-    [(0, 8, 1), (12_000, 8, 1), (300_000, 8, 15), (10**7, 8, 16), (10**9, 8, 1000),
-     (10**9, 4000, 8000)],
+    ("rows", "partitions"), [(0, 1), (12_000, 1), (300_000, 15), (10**9, 50_000)]
 )
-def test_training_rows_are_spread_by_size(rows, cores, partitions):
-    assert _partitions(rows, cores) == partitions
+def test_training_rows_are_spread_by_their_number(rows, partitions):
+    assert _partitions(rows) == partitions
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_predictions_do_not_depend_on_where_rows_come_from(people, monkeypatch, kind):
+    """Several partitions per arm; the input as one part, as four, as eight in other orders."""
+    monkeypatch.setattr(learners, "ROWS_PER_PARTITION", 400)
+    monkeypatch.setitem(C.BOOSTED_TREES, "maxIter", 5)
+    train = in_campaign(people)
+    found = []
+    for parts in (1, 4, 8):
+        rows = train.repartition(parts, F.rand(parts)).sortWithinPartitions(F.rand(9))
+        model = TreeTLearner(kind).fit(store(rows, "train"))
+        scored = model.transform(people).select("customer_id", "p_treatment", "p_control")
+        found.append({r[0]: r[1:] for r in scored.collect()})
+    for other in found[1:]:
+        assert all(other[i] == pytest.approx(p, abs=1e-12) for i, p in found[0].items())

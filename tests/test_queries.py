@@ -9,7 +9,7 @@ from counterfoil.plans.oracle import SQL
 from counterfoil.sources.binding import FILES, Retail
 
 TREE_LISTS = ["tlearner_forest", "tlearner_gbt"]
-ROWS_ONLY = {*TREE_LISTS, "qini_forest"}
+ROWS_ONLY = {*TREE_LISTS, "qini_forest", "qini_gbt"}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -17,6 +17,7 @@ TYPES = {
     "string": "VARCHAR",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -1,3 +1,5 @@
+import os
+
 from datetime import datetime as dt
 
 import pytest
@@ -64,11 +66,6 @@ def test_catalog_of_parquet_with_numeric_ids(spark, small, tmp_path):
     assert "GreaterThanOrEqual(datetime" in late._jdf.queryExecution().executedPlan().toString()
 
 
-def test_empty_small_table(spark):
-    empty = spark.range(3).filter("id > 5").withColumn("d", F.current_date())
-    assert storage.small_table(empty).count() == 0
-
-
 def test_missing_table_and_column(spark, csv_folder):
     with pytest.raises(catalog.MissingInput, match="nowhere"):
         catalog.read_table(spark, f"{csv_folder}/nowhere.csv", "a int")
@@ -143,17 +140,37 @@ def test_export_holds_targets_only(spark, tmp_path, fmt):
     assert [tuple(r) for r in got] == [("a", C.TARGET)]
 
 
-def test_written_list_keeps_its_order(spark, tmp_path):
-    path = sinks.write_list(
-        spark.range(1000).orderBy(F.desc("id")), str(tmp_path / "sorted"), "parquet"
+def test_lists_of_many_files_are_read_in_order(spark, tmp_path):
+    order = value.profit_order()
+    rows = spark.range(2000).select(
+        F.col("id").alias("customer_id"),
+        F.lit("P").alias("promotion_id"),
+        (F.col("id") * 7919 % 500).cast("double").alias("expected_incremental_profit"),
+        F.when(F.col("id") % 3 == 0, C.TARGET).otherwise(C.SKIP).alias("recommended_action"),
     )
-    assert [r.id for r in spark.read.parquet(path).collect()] == list(range(999, -1, -1))
-
-
-def test_small_table_is_checked(spark):
-    df = spark.range(10)
-    assert storage.small_table(df, 9) is df
-    assert sorted(r.id for r in storage.small_table(df, 10).collect()) == list(range(10))
+    want = [r.customer_id for r in rows.orderBy(*order).collect()]
+    path = str(tmp_path / "list")
+    ranged = rows.repartitionByRange(7, *order).sortWithinPartitions(*order)
+    saved = sinks.saved_or_computed(spark, path, lambda: ranged, order)
+    assert len(list((tmp_path / "list").glob("part-*.parquet"))) == 7
+    assert [r.customer_id for r in saved.collect()] == want
+    targets = sinks.export_targets(saved, str(tmp_path / "out"), order=order)
+    got = sinks.read_list(spark, targets, rows.schema, order=order).collect()
+    assert [r.customer_id for r in got] == [i for i in want if i % 3 == 0]
+
+
+def test_scratch_is_cleared_at_the_end(spark):
+    with storage.scratch(spark):
+        folder = os.path.dirname(storage.new_path(spark, "x")).removeprefix("file:")
+        assert storage.store(spark.range(3), "kept").count() == 3 and os.listdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_truth_table(spark, tmp_path):
+    rows = [("a", "High Value", C.PERSUADABLE), ("b", "Occasional", C.LOST_CAUSE)]
+    truth = spark.createDataFrame(rows, catalog.TRUTH_SCHEMA)
+    path = sinks.write_list(truth, str(tmp_path / "truth"))
+    assert sorted(map(tuple, catalog.load_truth(spark, path).collect())) == rows
 
 
 def test_store_cuts_the_lineage_to_a_scan(spark):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
-from counterfoil.operators import policies, value
+from counterfoil.operators import policies, reports, value
 from counterfoil.sources.storage import store
 
 TERMS = value.Terms("X", 100.0, 60.0, 0.2, 0.5)
@@ -125,3 +125,19 @@ def test_policies_agree_with_their_masks(rows):
 def test_top_share_list_is_ranked(rows):
     got = policies.top_share_list(rows, "0.4").collect()
     assert sorted((r.n_pop, r.customer_id) for r in got) == [(1, "a"), (2, "b")]
+
+
+def test_reports_of_a_scenario_agree(rows):
+    """What-if money has eight decimals; all reports add it up without rounding a row."""
+    scenario = value.Scenario(0, 33.33, 0.17, 12.34)
+    tried = value.what_if(rows, scenario)
+    kpis = value.campaign_kpis(rows, [scenario]).first()
+    terms = value.Terms("X", 33.33, 12.34, 0.17, scenario.campaign_cost)
+    keep = {"all": F.lit(True), "targets": F.col("recommended_action") == C.TARGET}
+    told = {r.policy: r for r in policies.policy_report(tried, keep, terms).collect()}
+    assert told["all"].profit == kpis.uniform_profit
+    assert told["all"].revenue == kpis.uniform_revenue
+    assert told["targets"].profit == kpis.optimized_profit
+    by_segment = {r[0]: r[1] for r in reports.segment_profit(tried).collect()}
+    assert sum(by_segment.values()) == pytest.approx(kpis.uniform_profit, abs=1e-9)
+    assert kpis.uniform_profit != round(kpis.uniform_profit, 4)
