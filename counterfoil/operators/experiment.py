@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
+from counterfoil.sources.storage import small_side
 
 
 def assign_arms(
@@ -90,6 +91,7 @@ def response_label(
     answered = F.exists(
         "__days", lambda day: (day >= start) & (day < F.date_add(start, days))
     )
+    offers = small_side(offers, bound=promotions)
     labelled = dispatch.join(offers, "promotion_id", "left").join(hits, key, "left")
     return labelled.select(
         *[dispatch[c] for c in dispatch.columns if c not in ("promotion_id", "customer_id")],
@@ -209,7 +211,8 @@ def append_campaign(
     The treated pay the discounted price and carry the promotion; the default time is 14:00
     on the third day. Orders get text ids, as the new ones are named after campaign and customer.
     """
-    offers = products.select("product_id", "price").join(promotions, "product_id")
+    offers = products.select("product_id", "price").join(small_side(promotions), "product_id")
+    offers = small_side(offers, bound=promotions)
     treated = F.col("is_treatment") == 1
     reduced = E.round_half_even(F.col("price") - F.col("price") * F.col("discount"), 2)
     bought = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions import expressions as E
 from counterfoil.operators import features
+from counterfoil.sources.storage import small_side
 
 
 def star_join(
@@ -18,7 +19,8 @@ def star_join(
 ) -> DataFrame:
     """Every line with customer, promotion, product and store columns; no line is lost.
 
-    Whether a dimension is broadcast is left to Spark, which knows its bytes. Most lines carry
+    Promotions and stores are broadcast if their estimated bytes are few, customers and products
+    are left to Spark. Most lines carry
     no promotion; they get a key of their order instead of sharing one, so that they spread
     where the promotions are too many to be broadcast. Other skew is split at run time.
     """
@@ -30,7 +32,7 @@ def star_join(
     return (
         transactions.join(customers, "customer_id", "left")
         .withColumn("__key", F.when(named, F.col("promotion_id")).otherwise(none))
-        .join(offers, F.col("__key") == F.col("__offer"), "left")
+        .join(small_side(offers), F.col("__key") == F.col("__offer"), "left")
         .join(
             products.select(
                 "product_id", "product_taxonomies", F.col("price").alias("product_price")
@@ -38,7 +40,7 @@ def star_join(
             "product_id",
             "left",
         )
-        .join(stores, "store_id", "left")
+        .join(small_side(stores), "store_id", "left")
         .select(
             *transactions.columns,
             "customer_taxonomies",

@@ -127,6 +127,7 @@ class Retail:
                 start.alias("start_date"),
                 F.date_add(start, CAMPAIGN_DAYS - 1).alias("end_date"),
             )
+            .limit(len(PROMOTIONS))  # part keys are unique; tells Spark how few these are
         )
 
     @property

@@ -59,6 +59,22 @@ def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
 
 
+#: Estimated bytes up to which a side is broadcast.
+SMALL_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if the optimizer's estimate of its bytes is small.
+
+    ``bound`` is a table with at least as many rows, whose estimate is nearer to the truth than
+    that of a join. The estimate comes from file sizes, limits and constants; no job runs. A
+    larger side is left to Spark.
+    """
+    plan = (bound if bound is not None else df)._jdf.queryExecution().optimizedPlan()
+    few = int(str(plan.stats().sizeInBytes())) <= SMALL_BYTES
+    return F.broadcast(df) if few else df
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what this application has stored. Tables read from there end with it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
