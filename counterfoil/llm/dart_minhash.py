@@ -306,8 +306,10 @@ def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     if members.isEmpty():
         return links
     shared = _shared_cells(cells, members.select("node").distinct())
+    # The small allowance keeps a pair at exactly the threshold, whatever the rounding.
     members = store(
-        members.join(shared, "node").filter(F.col("shared") >= threshold * F.col("size")), "alive"
+        members.join(shared, "node").filter(F.col("shared") + 1e-6 >= threshold * F.col("size")),
+        "alive",
     )
     # The member with the largest part of shared cells is the second hub.
     central = members.groupBy("band").agg(
@@ -330,7 +332,7 @@ def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         outside.join(told.alias("m"), F.col("o.band") == F.col("m.band"))
         .filter(
             "o.label_node != m.label_node AND m.node != m.hub AND "
-            f"least(o.shared, m.shared) >= {enough} * (o.size + m.size)"
+            f"least(o.shared, m.shared) + 1e-6 >= {enough} * (o.size + m.size)"
         )
         .select(F.least("o.node", "m.node").alias("a"), F.greatest("o.node", "m.node").alias("b"))
         .distinct()
