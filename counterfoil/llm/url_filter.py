@@ -7,14 +7,15 @@ mistake. The first level that does not know a key decides, so every key of the c
 true answer from a few bits per listed key.
 
 Bit positions are computed and or-ed together by Spark; the driver sees filter words only.
-Keys are spread over shards by hash so that no filter outgrows ``SHARD_BITS``. Shards are
-broadcast in blocks of at most ``BLOCK_BYTES``, and each block judges the rows of its shards.
+Keys are spread over shards by hash so that no filter outgrows ``SHARD_BITS``. Shards are built
+and broadcast in blocks of at most ``BLOCK_BYTES``, one after the other, and each block judges
+the rows of its shards; so the driver never holds more than one block.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,17 +91,9 @@ class Cascade:
     shards: int
     levels: tuple[Level, ...]
 
-    def shard_bytes(self) -> int:
-        return sum(level.bits // 8 for level in self.levels)
-
-    def only(self, shards: range) -> "Cascade":
-        return Cascade(
-            self.shards,
-            tuple(
-                Level(x.bits, x.hashes, {s: w for s, w in x.words.items() if s in shards})
-                for x in self.levels
-            ),
-        )
+    def size(self) -> int:
+        """Bytes of all filters."""
+        return sum(8 * len(words) for level in self.levels for words in level.words.values())
 
     def knows(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Whether a key is listed; right for every key of the universe."""
@@ -148,11 +141,14 @@ def hashes_of(key: Column) -> tuple[Column, Column]:
     return first, second
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> Cascade:
-    """A cascade that tells the ``listed`` keys from all other keys of ``universe``.
+def build_cascades(
+    listed: DataFrame, universe: DataFrame, key: str = "key"
+) -> Iterator[tuple[range, Cascade]]:
+    """Cascades that tell the ``listed`` keys from all other keys of ``universe``.
 
-    Both need the column ``key`` only; null keys and repeated keys are fine. A listed key that
-    the corpus does not have is encoded too. Empty lists and empty universes work.
+    Each is for a block of shards. Both tables need the column ``key`` only; null keys and
+    repeated keys are fine. A listed key that the corpus does not have is encoded too. Empty
+    lists and empty universes work.
     """
     column = F.col(f"`{key}`")
     first, second = hashes_of(F.col("key"))
@@ -165,18 +161,33 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> C
         .select(first.alias("first"), second.alias("second"), "listed")
     )
     keys = store(keys, "cascade-keys")
+    shards = max(1, math.ceil(16 * keys.filter("listed").count() / SHARD_BITS))
+    # Later levels encode a sixteenth and less: a shard has two times its first level at most.
+    per_block = max(1, BLOCK_BYTES // (SHARD_BITS // 4))
+    for start in range(0, shards, per_block):
+        block = range(start, min(start + per_block, shards))
+        mine = keys
+        if len(block) < shards:
+            mine = store(keys.filter(_in_block(F.col("first"), shards, block)), "cascade-block")
+        yield block, _cascade(mine, shards, len(block))
+
+
+def _in_block(first: Column, shards: int, block: range) -> Column:
+    return (first % shards).between(block[0], block[-1])
+
+
+def _cascade(keys: DataFrame, shards: int, here: int) -> Cascade:
+    """The levels for (first, second, listed), whose keys lie in ``here`` of all shards."""
     sums = {r[0]: r[1] for r in keys.groupBy("listed").count().collect()}
-    inside, outside = sums.get(True, 0), sums.get(False, 0)
-    shards = max(1, math.ceil(16 * inside / SHARD_BITS))
+    left = {True: sums.get(True, 0), False: sums.get(False, 0)}
     levels: list[Level] = []
-    left = {True: inside, False: outside}
     side = True
     while left[side]:
         number = len(levels)
         # A level lets one in 16 others through, or fewer if there are many more others than
         # keys. Half would do with fewer bits in sum, but each level is a round of Spark jobs.
         hashes = max(4, round(math.log2(max(1.0, left[not side] / left[side]))))
-        bits = 64 * max(1, math.ceil(left[side] / shards * hashes * 1.4427 / 64) + 1)
+        bits = 64 * max(1, math.ceil(left[side] / here * hashes * 1.4427 / 64) + 1)
         place = F.explode(
             F.array(
                 *[
@@ -197,13 +208,11 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> C
                 words[r.shard] = np.zeros(bits // 64, np.int64)
             words[r.shard][r.word] = r.bits
         levels.append(Level(bits, hashes, words))
-        cascade = Cascade(shards, (levels[-1],))
         # Of the other side only what passes this level goes on.
         other = keys.filter(F.col("listed") != side)
         mine = keys.filter(F.col("listed") == side)
-        keys = store(
-            mine.unionByName(other.filter(_passes(keys, cascade, number))), "cascade-keys"
-        )
+        passing = other.filter(_passes(keys, Cascade(shards, (levels[-1],)), number))
+        keys = store(mine.unionByName(passing), "cascade-keys")
         left[not side] = keys.filter(F.col("listed") != side).count()
         side = not side
         if len(levels) > 200:
@@ -241,18 +250,18 @@ def _member(held: Broadcast) -> Callable[..., Column]:
     return knows
 
 
-def with_membership(df: DataFrame, cascade: Cascade, key: Column, name: str) -> DataFrame:
+def with_membership(
+    df: DataFrame, cascades: Iterable[tuple[range, Cascade]], key: Column, name: str
+) -> DataFrame:
     """Add whether a key is listed; a null key is not. Rows are neither joined nor moved."""
     first, second = hashes_of(key)
-    per_block = max(1, BLOCK_BYTES // max(1, cascade.shard_bytes()))
     parts = []
-    for start in range(0, cascade.shards, per_block):
-        block = range(start, min(start + per_block, cascade.shards))
-        held = df.sparkSession.sparkContext.broadcast(cascade.only(block))
-        member = _member(held)(first, second)
+    for block, cascade in cascades:
+        member = _member(df.sparkSession.sparkContext.broadcast(cascade))(first, second)
         rows = df
         if len(block) < cascade.shards:
-            rows = df.filter((first % cascade.shards).between(block[0], block[-1]))
+            # A null key has the hash of nothing, and so a block as well.
+            rows = df.filter(_in_block(first, cascade.shards, block))
         parts.append(rows.withColumn(name, member & key.isNotNull()))
     whole = parts[0]
     for part in parts[1:]:
@@ -295,10 +304,8 @@ def filter_urls(
         _, verdict = longest_rule(rules, F.col("host"), F.col("path"))
         allowed = keys.filter(verdict == ALLOW).select("key")
         blocked = blocked.unionByName(listed.select("key").join(allowed, "key", "left_anti"))
-    cascade = build_cascade(blocked, keys)
-    judged = with_membership(
-        parts, cascade, key_of(F.col("host"), F.col("path")), "listed"
-    )
+    cascades = build_cascades(blocked, keys)
+    judged = with_membership(parts, cascades, key_of(F.col("host"), F.col("path")), "listed")
     rule, _ = longest_rule(rules, F.col("host"), F.col("path"))
     verdict = F.when(F.col("listed"), BLOCK).otherwise(ALLOW)
     return judged.select(
