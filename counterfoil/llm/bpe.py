@@ -15,6 +15,7 @@ import base64
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from counterfoil.llm.common import pieces, whole_text
 
 #: Pieces that a worker remembers, and the longest of them in characters.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 MEMO_LENGTH = 48
 
 
@@ -129,13 +130,21 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-@dataclass(frozen=True)
+@dataclass
 class Vocabulary:
     """Tokens by rank, and the pattern that cuts a text into pieces."""
 
     ranks: dict[bytes, int]
     pattern: str
 
+    @cached_property
+    def coder(self) -> "Coder":
+        """Made once per worker, and gone with the broadcast vocabulary."""
+        return Coder(self)
+
+    def __getstate__(self) -> dict:
+        return {"ranks": self.ranks, "pattern": self.pattern}
+
     @classmethod
     def read(cls, path: str, pattern: str) -> "Vocabulary":
         with open(path, "rb") as lines:
@@ -182,17 +191,6 @@ class Coder:
         return b"".join(map(self.token.__getitem__, memoryview(packed).cast("I").tolist()))
 
 
-_CODERS: dict[int, Coder] = {}
-
-
-def _coder(key: int, vocabulary: Vocabulary) -> Coder:
-    """The worker's coder for a broadcast vocabulary; the hash is built once per worker."""
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(vocabulary)
-    return _CODERS[key]
-
-
 def encode(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -207,7 +205,6 @@ def encode(
     are not read. A text of any length is encoded whole.
     """
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    key = held.id if hasattr(held, "id") else id(held)
     rows = docs.select(
         F.col(id_column).alias("id"), whole_text(text_column).alias("text")
     )
@@ -215,7 +212,7 @@ def encode(
     schema = f"id {id_type}, ids binary" + ", decoded binary" * with_text
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(key, held.value)
+        coder = held.value.coder
         for batch in batches:
             for piece in pieces(batch, "text"):
                 packed = [coder.encode(text) for text in piece["text"].to_pylist()]

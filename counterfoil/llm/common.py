@@ -67,8 +67,11 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return one.join(many.drop("__parts"), [key, "__salt"], how).drop("__salt")
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the column holds at most ``most`` bytes a piece, or one row."""
+def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the column holds at most ``most`` bytes a piece, or one row.
+
+    What a worker needs beside the batch is some tens of bytes for each byte of a piece.
+    """
     array = batch.column(column)
     ends = np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1]
     start = 0

@@ -67,7 +67,7 @@ def weighted(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, idf: np.nda
 def text_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """At most 256 texts or 1 MB at a time, so that dense counts stay small."""
     for batch in batches:
-        for piece in pieces(batch, column, 1 << 20):
+        for piece in pieces(batch, column):
             for start in range(0, len(piece), 256):
                 yield piece.slice(start, 256)
 

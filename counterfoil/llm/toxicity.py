@@ -60,7 +60,7 @@ ALPHABET = 64
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 WHOLE, START = "w", "p"
 PREFIXES = (3, 4, 5, 6)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 _SPACED = re.compile(r"(?:^|\s)\S\s\S\s\S(?:\s|$)")
 _STRETCHED = re.compile(r"(.)\1\1")
@@ -102,7 +102,7 @@ def corpus_trigrams(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ALPHABET**3, np.int64)
         for batch in batches:
-            for piece in pieces(batch, "text", 4 << 20):
+            for piece in pieces(batch, "text"):
                 total += count_trigrams(piece["text"].to_pylist())
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"triple": at.astype(np.int32), "n": total[at]})
@@ -313,7 +313,7 @@ def feature_weights(
     def work(batches: Iterator[pa.RecordBatch], only: dict[str, int] | None):
         restorer = Restorer(held_p.value)
         for batch in batches:
-            for piece in pieces(batch, "text", 4 << 20):
+            for piece in pieces(batch, "text"):
                 found = of_texts(piece["text"].to_pylist(), restorer, only)
                 yield pa.RecordBatch.from_pydict(
                     {
