@@ -162,7 +162,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text", 4 << 20):
+            for piece in pieces(batch, "text"):
                 texts = [b" ".join(t.lower().split()) for t in piece["text"].to_pylist()]
                 node = [
                     int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True)
@@ -396,14 +396,21 @@ def keep_one(
     Of rows with one id, which are one document, the largest by the other columns stays.
     """
     judged = near_duplicates(docs, threshold, id_column, text_column)
-    kept = judged.filter("kept").select(F.col(id_column).alias("__id")).distinct()
-    rows = docs.join(kept, F.expr(f"`{id_column}` <=> __id"), "left_semi")
+    ids = judged.filter("kept").groupBy(F.col(id_column).alias("__id"))
+    ids = store(ids.agg(F.count(F.lit(1)).alias("__rows")), "kept-ids")
+    same = F.expr(f"`{id_column}` <=> __id")
+    single = docs.join(ids.filter("__rows = 1"), same, "left_semi")
+    several = ids.filter("__rows > 1")
+    if several.isEmpty():
+        return single
     plain = [
         F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")
     ]
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return (
-        rows.groupBy(F.col(id_column).alias("__id"))
+    chosen = (
+        docs.join(several, same, "left_semi")
+        .groupBy(F.col(id_column).alias("__id"))
         .agg(F.max_by(whole, F.struct(*plain)).alias("__row"))
         .select("__row.*")
     )
+    return single.unionAll(chosen)
