@@ -305,12 +305,15 @@ def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     members = store(told.join(bands, "band", "semi").select("band", "node", "size"), "open")
     if members.isEmpty():
         return links
-    shared = _shared_cells(cells, members.select("node").distinct())
-    # The small allowance keeps a pair at exactly the threshold, whatever the rounding.
-    members = store(
-        members.join(shared, "node").filter(F.col("shared") + 1e-6 >= threshold * F.col("size")),
-        "alive",
-    )
+    # Twice: fewer texts alive leave fewer cells shared among them.
+    for _ in range(2):
+        shared = _shared_cells(cells, members.select("node").distinct())
+        # The small allowance keeps a pair at exactly the threshold, whatever the rounding.
+        enough_cells = F.col("shared") + 1e-6 >= threshold * F.col("size")
+        members = store(
+            members.select("band", "node", "size").join(shared, "node").filter(enough_cells),
+            "alive",
+        )
     # The member with the largest part of shared cells is the second hub.
     central = members.groupBy("band").agg(
         F.max_by(
@@ -324,14 +327,19 @@ def near_links(sketches: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         links.unionAll(_links_among(_with_hub(met, threshold), cells, threshold)), "links"
     )
     labels = components(links)
-    told = store(_labelled(_labelled(met, labels, "node"), labels, "hub"), "told")
+    own_bands = members.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
+    told = _labelled(_labelled(met, labels, "node"), labels, "hub").join(own_bands, "node")
+    told = store(told, "told")
     outside = told.filter("label_node != label_hub").alias("o")
     # With the sizes a and b, a link has at least (a + b) t / (1 + t) common cells.
     enough = threshold / (1 + threshold)
     rest = (
         outside.join(told.alias("m"), F.col("o.band") == F.col("m.band"))
         .filter(
-            "o.label_node != m.label_node AND m.node != m.hub AND "
+            "o.label_node != m.label_node AND m.node != m.hub "
+            # each pair once: in its first common band, and not again from the other side
+            "AND (m.label_node = m.label_hub OR o.node < m.node) "
+            "AND element_at(array_intersect(o.bands, m.bands), 1) = o.band AND "
             f"least(o.shared, m.shared) + 1e-6 >= {enough} * (o.size + m.size)"
         )
         .select(F.least("o.node", "m.node").alias("a"), F.greatest("o.node", "m.node").alias("b"))
