@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from counterfoil.llm.common import joined_bytes, mix, pieces, salted_join, whole_text, word_spans
 from counterfoil.llm.graph import components
@@ -152,6 +153,22 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def plain_words(text: bytes) -> bytes:
+    """The words after lower-casing A-Z, a blank between them."""
+    return b" ".join(text.lower().split())
+
+
+def content_key(words: bytes) -> int:
+    """64 bits of a cryptographic hash of the words of a text."""
+    return int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
+
+
+@F.pandas_udf(LongType())
+def node_of(texts: pd.Series) -> pd.Series:
+    """The node of each text (binary, no nulls), as in ``sketch``."""
+    return texts.map(lambda t: content_key(plain_words(bytes(t)))).astype("int64")
+
+
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """(id, node, cells, bands) per row: content key, shingle multiset, band keys.
 
@@ -163,11 +180,8 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
-                texts = [b" ".join(t.lower().split()) for t in piece["text"].to_pylist()]
-                node = [
-                    int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True)
-                    for t in texts
-                ]
+                texts = [plain_words(t) for t in piece["text"].to_pylist()]
+                node = [content_key(t) for t in texts]
                 data, begins = joined_bytes(pa.array(texts, pa.binary()))
                 starts, ends, row = word_spans(data, begins)
                 hashes, owner = shingle_hashes(word_hashes(data, starts, ends), row, len(texts))
@@ -355,6 +369,20 @@ def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return df.join(told, column, "left").withColumn(name, F.coalesce(name, column))
 
 
+def _labelled_nodes(
+    docs: DataFrame, threshold: float, id_column: str, text_column: str
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and (node, least_id, copies, label) of every node; both are stored."""
+    rows = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"))
+    sketches = store(sketch(rows), "sketches")
+    labels = components(near_links(sketches, threshold))
+    nodes = sketches.groupBy("node").agg(
+        F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")
+    )
+    nodes = _labelled(nodes, labels, "node").withColumnRenamed("label_node", "label")
+    return sketches, store(nodes, "node-labels")
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = SIMILARITY,
@@ -367,18 +395,10 @@ def near_duplicates(
     document id, and the row with that id is kept. Null counts as empty; texts without words
     are one class, linked with nothing else, and texts with equal words always share a class.
     A text of fewer than five words is one shingle. Rows with a null id are in the class of
-    their text and are kept only if the class has no other id; rows that repeat an id are
-    marked alike, and ``keep_one`` leaves one of them. Other columns are not read.
+    their text and are kept only if the class has no other id; rows of a class that repeat its
+    id are marked alike, and ``keep_one`` leaves one of them. Other columns are not read.
     """
-    rows = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"))
-    sketches = store(sketch(rows), "sketches")
-    labels = components(near_links(sketches, threshold))
-    nodes = sketches.groupBy("node").agg(
-        F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")
-    )
-    nodes = store(
-        _labelled(nodes, labels, "node").withColumnRenamed("label_node", "label"), "node-labels"
-    )
+    sketches, nodes = _labelled_nodes(docs, threshold, id_column, text_column)
     classes = nodes.groupBy("label").agg(
         F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size")
     )
@@ -399,16 +419,37 @@ def keep_one(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One document of each class, with all its columns.
+    """One row of each class, with all its columns.
 
-    Of rows with one id, which are one document, the largest by the other columns stays.
+    It has the smallest id of the class, null only if there is no other, and of several texts
+    with that id the one with the least content key. Of rows that are alike in both, the
+    largest by the other columns stays. Classes that share an id, or have none, keep one each.
     """
-    judged = near_duplicates(docs, threshold, id_column, text_column)
-    ids = judged.filter("kept").groupBy(F.col(id_column).alias("__id"))
-    ids = store(ids.agg(F.count(F.lit(1)).alias("__rows")), "kept-ids")
-    same = F.expr(f"`{id_column}` <=> __id")
-    single = docs.join(ids.filter("__rows = 1"), same, "left_semi")
-    several = ids.filter("__rows > 1")
+    sketches, nodes = _labelled_nodes(docs, threshold, id_column, text_column)
+    # A node is in one class only, so it names the class.
+    first = F.struct(F.col("least_id").isNull(), F.col("least_id"), F.col("node"))
+    kept = (
+        nodes.groupBy("label")
+        .agg(F.min_by(F.struct("node", "least_id"), first).alias("kept"))
+        .select(F.col("kept.node").alias("__node"), F.col("kept.least_id").alias("__id"))
+    )
+    copies = sketches.groupBy(F.col("node").alias("__node"), F.col("id").alias("__id"))
+    repeated = copies.agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    repeated = repeated.withColumnsRenamed({"__node": "__node_of", "__id": "__id_of"})
+    same = F.expr("__node = __node_of AND __id <=> __id_of")
+    kept = store(
+        kept.join(repeated, same, "left").select(
+            "__node", "__id", F.col("__rows").isNotNull().alias("__several")
+        ),
+        "kept-rows",
+    )
+    text = whole_text(text_column).cast("binary")
+    keyed = docs.withColumn("__node_of", node_of(text))
+    same = F.expr(f"__node_of = __node AND `{id_column}` <=> __id")
+    single = keyed.join(kept.filter("NOT __several"), same, "left_semi").select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )
+    several = kept.filter("__several")
     if several.isEmpty():
         return single
     plain = [
@@ -416,8 +457,8 @@ def keep_one(
     ]
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     chosen = (
-        docs.join(several, same, "left_semi")
-        .groupBy(F.col(id_column).alias("__id"))
+        keyed.join(several, same, "left_semi")
+        .groupBy("__node_of")
         .agg(F.max_by(whole, F.struct(*plain)).alias("__row"))
         .select("__row.*")
     )

@@ -193,6 +193,29 @@ def test_near_duplicates_of_odd_rows(hostile, nothing):
     assert dart_minhash.keep_one(nothing).count() == 0
 
 
+def test_one_row_of_each_class_stays_whatever_its_id(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in "abcdefg"]
+    a, b, c, d, e, f, g = texts
+    # Null ids: unrelated a and b, c twice, and copies of d, which has an id.
+    rows = [(None, a), (None, b), (None, c), (None, c.upper()), (None, d), (7, d), (None, d)]
+    # One id: two texts of different classes, and rows that repeat.
+    rows += [(8, e), (8, f), (8, f), (9, f), (10, g)]
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in rows]).repartition(3)
+    kept = collections.Counter(
+        (r.doc_id, r.text.lower()) for r in dart_minhash.keep_one(docs).collect()
+    )
+    assert kept == {(None, a): 1, (None, b): 1, (None, c): 1, (7, d): 1, (8, e): 1, (8, f): 1, (10, g): 1}
+    # A single row without an id brings back no other one.
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in [(None, a), (None, d), (7, d)]])
+    kept = [(r.doc_id, r.text) for r in dart_minhash.keep_one(docs).collect()]
+    assert collections.Counter(kept) == {(None, a): 1, (7, d): 1}
+    # Near copies under one id are one class.
+    near = a.replace("a29", "z")
+    docs = docs_of(spark, [(5, a, "en", "s"), (5, near, "en", "s"), (6, b, "en", "s")])
+    kept = sorted(r.doc_id for r in dart_minhash.keep_one(docs).collect())
+    assert kept == [5, 6]
+
+
 def test_members_beyond_the_hub_are_compared(spark):
     """A chain: neighbours are close, the ends are not, and one bucket may hold all of it."""
     text = words(200, 5)
