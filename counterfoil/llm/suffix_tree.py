@@ -1,19 +1,19 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Learning. Spark counts every word of the training texts. Words with at least one in
-``FREQUENT`` of all tokens, at most that many, are symbols of their own; the others share one
-symbol and are told apart by their counts. Contexts of one, two, ... symbols are candidates
-with at least one in ``CONTEXTS`` of all tokens; Spark counts what follows them over all
-training texts, and a context is retained if its next-symbol distribution diverges from that
-of its suffix by more than the description of its counts costs (half a ln n each). Counts of
-next symbols are discounted and the rest of the mass goes to the suffix, down to the root.
-
-These shares are relative to the corpus, so the tree's size is bounded whatever the number of
-tokens, and it is broadcast. The counts of rare words are not: they stay a table.
-
-Scoring. A token is scored in its longest retained suffix state. A rare word's share within the
-rare symbol needs its count: rare words go, one row per text and word, through a join with the
-count table. Words never seen have one share together, by Good and Turing's estimate.
+Learning. Spark counts every word of the training texts, and for contexts of one, two, ... words
+everything that follows them. Contexts seen ``LEAST_CONTEXT`` times are candidates; one is
+retained if its next-word distribution diverges from that of its suffix by more than the
+description of its counts costs (half a ln n each). Counts of next words are discounted and the
+rest of the mass goes to the suffix, down to the root. All counts of words, contexts and next
+words are tables; contexts and next words have 64-bit hashes as keys.
+
+Entries with at least one in ``HEAD`` of all tokens, at most that many an order, are broadcast
+too, with a filter of fixed size that knows the keys of all others. Both only save work: what is
+in neither is not in the tables, and what the filter knows is looked up there.
+
+Scoring. A token is scored in its longest retained suffix state. Tokens with a key that only the
+tables know go through a join with them, one row per text, token and key. Words never seen have
+one share together, by Good and Turing's estimate.
 """
 
 from __future__ import annotations
@@ -30,19 +30,29 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import pieces, whole_text
+from counterfoil.llm.common import (
+    joined_bytes,
+    mix,
+    pieces,
+    salted_join,
+    whole_text,
+    word_spans,
+)
+from counterfoil.llm.dart_minhash import word_hashes
 from counterfoil.sources.storage import store
 
 #: The end of a text as a token; no word holds a space.
 END = b" "
-FREQUENT = 1_000_000
-CONTEXTS = 10_000
-#: Next symbols kept per order: those with at least one in so many of all tokens, and two.
-NEXT = 2_000_000
+#: Entries with one in so many of all tokens are broadcast.
+HEAD = 1_000_000
+#: Occurrences that make words a candidate context.
+LEAST_CONTEXT = 2
+#: Bits of the filter of the keys that only the tables hold: 16 MB.
+FILTER_BITS = 1 << 27
 DEPTH = 2
 DISCOUNT = 0.5
 #: Words, or codes, that a task adds up before it hands them on.
-HELD_WORDS, HELD_CODES = 400_000, 3_000_000
+HELD_WORDS, HELD_CODES = 400_000, 1_000_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -81,25 +91,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Order:
-    """Contexts of one length: how to find them, and what follows."""
-
-    codes: np.ndarray  # ascending: (index of the suffix context, one symbol further back)
-    symbols: list[tuple[int, ...]]  # of each context, oldest first
-    rest: np.ndarray | None = None  # share left to the suffix; 1 if the context is not retained
-    next_codes: np.ndarray | None = None  # ascending: (context index, next symbol)
-    next_shares: np.ndarray | None = None
-    longer: list[tuple[int, ...]] = field(default_factory=list)  # candidates one symbol longer
-
-    def next_share(self, codes: np.ndarray) -> np.ndarray:
-        """The discounted share of (context index, next symbol), 0 where none was kept."""
-        held = find(self.next_codes, codes)
-        return np.where(held >= 0, self.next_shares[held], 0.0) if len(self.next_codes) else (
-            np.zeros(len(codes))
-        )
+    """What is broadcast of the contexts of one length: keys ascending, and their shares."""
+
+    codes: np.ndarray  # retained contexts
+    rest: np.ndarray  # share left to the suffix
+    next_codes: np.ndarray  # next words in retained contexts
+    next_shares: np.ndarray
 
 
 @dataclass
 class SuffixTree:
+    """What is broadcast of the tree."""
+
     symbol: dict[bytes, int]
     counts: np.ndarray  # per symbol, the last one that of all rare words
     tokens: int
@@ -112,16 +115,16 @@ class SuffixTree:
         """Number of symbols; the last is the rare one."""
         return len(self.counts)
 
-    def least_context(self) -> float:
-        """Occurrences that make symbols a candidate context."""
-        return max(2.0, self.tokens / CONTEXTS)
+    def unseen_share(self) -> float:
+        """The share of all words that never occurred."""
+        return (self.singles + 1) / (self.tokens + self.singles + 1)
 
     def root(self) -> np.ndarray:
-        return (self.counts + 0.5) / (self.tokens + 0.5 * self.size)
-
-    def unseen_share(self) -> float:
-        """Of the rare symbol, the part for words that never occurred."""
-        return (self.singles + 1) / (self.counts[-1] + self.singles + 1)
+        """The share of each symbol; that of the last is for a word that never occurred."""
+        unseen = self.unseen_share()
+        share = (1 - unseen) * self.counts / max(1, self.tokens)
+        share[-1] = 0
+        return np.where(share > 0, share, unseen)
 
     def sequence(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
         """Symbols of all texts in a row, where each begins, and the words."""
@@ -133,28 +136,19 @@ class SuffixTree:
         )
         return ids, begins, words
 
-    def states(self, ids: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
-        """For every order the context in front of each token, -1 if it is none."""
-        place = np.arange(len(ids)) - np.repeat(begins[:-1], np.diff(begins))
-        now, found = np.zeros(len(ids), np.int64), []
-        for back, order in enumerate(self.orders, 1):
-            older = np.full(len(ids), self.symbol[END], np.int64)
-            older[back:] = ids[:-back] if len(ids) > back else ids[:0]
-            # A text begins as if an end stood in front of it, and nothing before that.
-            older[place < back] = self.symbol[END]
-            code = now * self.size + older
-            now = find(order.codes, code)
-            now[(place < back - 1) | (code < 0)] = -1
-            found.append(now)
-        return found
-
     def log_shares(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log10 of each token's share after its context."""
+        """log10 of each symbol's share after its context, by what is broadcast alone."""
+        hashes = np.append(hashes_of(list(self.symbol)), np.uint64(0))[ids]
         share = self.root()[ids]
-        for order, state in zip(self.orders, self.states(ids, begins), strict=True):
+        for order, (context, code, there) in zip(
+            self.orders, keys(hashes, begins, len(self.orders)), strict=True
+        ):
+            state = np.where(there, find(order.codes, context), -1)
+            held = find(order.next_codes, code)
             at = np.flatnonzero(state >= 0)
-            own = order.next_share(state[at] * self.size + ids[at])
-            share[at] = own + order.rest[state[at]] * share[at]
+            own = np.zeros(len(at))
+            own[held[at] >= 0] = order.next_shares[held[at][held[at] >= 0]]
+            share[at] = np.where(own > 0, own, order.rest[state[at]] * share[at])
         return np.log10(share)
 
 
@@ -166,24 +160,100 @@ def find(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return np.where(sorted_codes[at] == codes, at, -1)
 
 
-def count_next(texts: DataFrame, tree: SuffixTree) -> DataFrame:
-    """(code, n): what follows each context of the highest order, over all texts."""
-    held = texts.sparkSession.sparkContext.broadcast(tree)
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of every word, also of the end."""
+    data, begins = joined_bytes(pa.array(words, pa.binary()))
+    return word_hashes(data, begins[:-1], begins[1:])
+
+
+END_HASH = hashes_of([END])[0]
+
+
+def text_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts in a row, and where each text begins."""
+    data, begins = joined_bytes(pa.array([t.lower() for t in texts], pa.binary()))
+    starts, ends, row = word_spans(data, begins)
+    lengths = np.bincount(row, minlength=len(texts)) + 1
+    cut = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    hashes = np.full(int(cut[-1]), END_HASH, np.uint64)
+    hashes[np.arange(len(row)) + row] = word_hashes(data, starts, ends)
+    return hashes, cut
+
+
+def keys(
+    hashes: np.ndarray, begins: np.ndarray, depth: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every order: context in front of each token, context with token, if there is one."""
+    place = np.arange(len(hashes)) - np.repeat(begins[:-1], np.diff(begins))
+    context = np.zeros(len(hashes), np.uint64)
+    for back in range(1, depth + 1):
+        older = np.full(len(hashes), END_HASH, np.uint64)
+        older[back:] = hashes[:-back] if len(hashes) > back else hashes[:0]
+        # A text begins as if an end stood in front of it, and nothing before that.
+        older[place < back] = END_HASH
+        context = mix(context * np.uint64(0x9E3779B97F4A7C15) + mix(older + np.uint64(back)))
+        code = mix(mix(context ^ np.uint64(0xD1B54A32D192ED03)) + hashes)
+        yield context.view(np.int64), code.view(np.int64), place >= back - 1
+
+
+def key_filter(codes: DataFrame) -> np.ndarray:
+    """A filter of ``FILTER_BITS`` bits that knows at least the column code."""
+    place = F.pmod("code", F.lit(FILTER_BITS))
+    words = (
+        codes.select(place.alias("place"))
+        .groupBy(F.expr("place div 64").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
+        .toArrow()
+    )
+    found = np.zeros(FILTER_BITS // 64, np.int64)
+    found[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return found
+
+
+def maybe(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """False for codes the filter was not made of."""
+    place = codes & (FILTER_BITS - 1)
+    return (known[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def count_next(texts: DataFrame, back: int, below: DataFrame) -> DataFrame:
+    """(code, context, below, n): what follows each context of ``back`` words, in all texts.
+
+    ``below`` is the code of the same word after the context's suffix. A context occurs as often
+    as its last word after the ones before it, which ``below`` counts: a filter leaves out most
+    of those seen less than ``LEAST_CONTEXT`` times.
+    """
+    often = key_filter(below.filter(F.col("n") >= LEAST_CONTEXT))
+    held = texts.sparkSession.sparkContext.broadcast(often)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            codes = np.concatenate(waiting) if waiting else np.zeros(0, np.int64)
+            code, context, below = (
+                np.concatenate(x) if x else np.zeros(0, np.int64)
+                for x in (zip(*waiting, strict=True) if waiting else ([], [], []))
+            )
             waiting.clear()
-            codes, n = np.unique(codes, return_counts=True)
-            return pa.RecordBatch.from_pydict({"code": codes, "n": n.astype(np.int64)})
+            code, first, n = np.unique(code, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "code": code,
+                    "context": context[first],
+                    "below": below[first],
+                    "n": n.astype(np.int64),
+                }
+            )
 
-        tree, waiting, size = held.value, [], 0
+        waiting, size = [], 0
         for batch in batches:
             for piece in pieces(batch, "text"):
-                ids, begins, _ = tree.sequence(piece["text"].to_pylist())
-                state = tree.states(ids, begins)[-1]
-                at = np.flatnonzero(state >= 0)
-                waiting.append(state[at] * tree.size + ids[at])
+                hashes, begins = text_hashes(piece["text"].to_pylist())
+                found = [(None, hashes.view(np.int64), None), *keys(hashes, begins, back)]
+                context, code, there = found[-1]
+                shorter = found[-2][1]
+                often = maybe(held.value, np.roll(shorter, 1))
+                often[begins[:-1]] = True
+                at = np.flatnonzero(there & often)
+                waiting.append((code[at], context[at], shorter[at]))
                 size += len(at)
                 if size > HELD_CODES:
                     size = 0
@@ -192,61 +262,74 @@ def count_next(texts: DataFrame, tree: SuffixTree) -> DataFrame:
 
     return (
         texts.select("text")
-        .mapInArrow(work, "code bigint, n bigint")
-        .groupBy("code")
+        .mapInArrow(work, "code bigint, context bigint, below bigint, n bigint")
+        .groupBy("code", "context", "below")
         .agg(F.sum("n").alias("n"))
     )
 
 
-def grow(texts: DataFrame, tree: SuffixTree, candidates: list[tuple[int, ...]]) -> Order:
-    """Add the order of the candidate contexts (symbols, oldest first) to the tree."""
-    index = {c: i for i, c in enumerate(tree.orders[-1].symbols)} if tree.orders else {(): 0}
-    coded = sorted(
-        (index[c[1:]] * tree.size + c[0], c) for c in candidates if c[1:] in index
+def grow(texts: DataFrame, back: int, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts (context, n, rest) retained, and (code, n, share, own) of what follows.
+
+    ``below`` has the code, count and share of next words in the state of the contexts' suffixes. All
+    next words of candidate contexts are returned; ``own`` tells if the context is retained.
+    """
+    counted = store(count_next(texts, back, below), "next-words")
+    under = below.select(F.col("code").alias("below"), F.col("share").alias("under"))
+    counted = store(salted_join(counted, under, "below").drop("below"), "next-shares")
+    n = F.col("n").cast("double")
+    contexts = (
+        counted.groupBy("context")
+        .agg(
+            F.sum("n").alias("total"),
+            F.count(F.lit(1)).alias("kinds"),
+            F.sum(n * F.log(n / F.col("under"))).alias("logs"),
+        )
+        .filter(F.col("total") >= LEAST_CONTEXT)
     )
-    order = Order(np.array([c for c, _ in coded], np.int64), [c for _, c in coded])
-    tree.orders.append(order)
-    empty = np.zeros(0, np.int64)
-    order.rest = np.ones(len(coded))
-    order.next_codes, order.next_shares = empty, empty.astype(float)
-    if not coded:
-        return order
-    counted = store(count_next(texts, tree), "next-symbols")
-    totals = np.zeros(len(coded))
-    by_context = counted.groupBy(F.expr(f"code div {tree.size}").alias("context"))
-    for r in by_context.agg(F.sum("n").alias("n")).collect():
-        totals[r.context] = r.n
-    least = max(2, math.ceil(tree.tokens / NEXT))
-    kept = counted.filter(F.col("n") >= least).toArrow().sort_by("code")
-    codes, n = kept["code"].to_numpy(), kept["n"].to_numpy().astype(float)
-    context, symbol = codes // tree.size, codes % tree.size
-    # Share of the next symbol in the suffix's state, through all shorter orders.
-    below = tree.root()[symbol]
-    for depth, shorter in enumerate(tree.orders[:-1], 1):
-        place = {c: i for i, c in enumerate(shorter.symbols)}
-        suffix = np.array([place[c[len(c) - depth :]] for c in order.symbols], np.int64)[context]
-        below = shorter.next_share(suffix * tree.size + symbol) + shorter.rest[suffix] * below
-    gain = np.bincount(
-        context, weights=n * np.log(n / totals[context] / below), minlength=len(coded)
+    gain = F.col("logs") - F.col("total") * F.log(F.col("total"))
+    contexts = store(
+        contexts.select(
+            "context",
+            "total",
+            (F.col("kinds") * DISCOUNT / F.col("total")).alias("rest"),
+            (gain > F.lit(0.5) * F.col("kinds") * F.log(F.col("total"))).alias("own"),
+        ),
+        "contexts",
     )
-    kinds = np.bincount(context, minlength=len(coded))
-    retained = gain > 0.5 * kinds * np.log(np.maximum(totals, 2))
-    use = retained[context]
-    order.next_codes = codes[use]
-    order.next_shares = (n[use] - DISCOUNT) / totals[context[use]]
-    order.rest = 1 - np.bincount(context[use], weights=order.next_shares, minlength=len(coded))
-    often = np.flatnonzero(n >= tree.least_context())
-    order.longer = [(*order.symbols[context[i]], int(symbol[i])) for i in often]
-    return order
+    told = salted_join(counted, contexts, "context")
+    share = (n - DISCOUNT) / F.col("total") + F.col("rest") * F.col("under")
+    share = F.when(F.col("own"), share).otherwise(F.col("under"))
+    nexts = store(told.select("code", "n", share.alias("share"), "own"), "tree")
+    kept = contexts.filter("own").select("context", F.col("total").alias("n"), "rest")
+    return kept, nexts
 
 
-def learn(texts: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
-    """The tree of the column text (binary), whose word counts are given."""
+def roots(counts: DataFrame, tree: SuffixTree) -> DataFrame:
+    """(code, n, share) of every word at the root."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = hashes_of(batch["word"].to_pylist()).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"code": code, "n": batch["n"]})
+
+    share = F.lit(1 - tree.unseen_share()) * F.col("n") / F.lit(float(max(1, tree.tokens)))
+    hashed = counts.select("word", "n").mapInArrow(work, "code bigint, n bigint")
+    return store(hashed.withColumn("share", share), "roots")
+
+
+def learn_tables(
+    texts: DataFrame, counts: DataFrame, depth: int
+) -> tuple[SuffixTree, DataFrame]:
+    """What is broadcast of the tree, and the table (code, value) of all the rest of it.
+
+    The value of a word or a next word is its share, that of a context what it leaves.
+    """
     sums = counts.agg(
         F.sum("n"), F.count("n"), F.sum((F.col("n") == 1).cast("bigint"))
     ).first()
     total, words, singles = (x or 0 for x in sums)
-    least = max(2, math.ceil(total / FREQUENT))
+    least = least_head(total)
     frequent = counts.filter(F.col("n") >= least).toArrow().sort_by(
         [("n", "descending"), ("word", "ascending")]
     )
@@ -256,12 +339,67 @@ def learn(texts: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree
         found[END] = ends.n if ends else 0
     numbers = np.array([*found.values(), 0], float)
     numbers[-1] = total - numbers.sum()
-    rare_singles = singles - sum(n == 1 for n in found.values())
-    tree = SuffixTree({w: i for i, w in enumerate(found)}, numbers, total, words, rare_singles)
-    candidates = [(i,) for i in np.flatnonzero(numbers >= tree.least_context()).tolist()]
-    for _ in range(depth):
-        candidates = grow(texts, tree, candidates).longer
-    return tree
+    tree = SuffixTree({w: i for i, w in enumerate(found)}, numbers, total, words, singles)
+    nexts = roots(counts, tree)
+    tail = nexts.filter(F.col("n") < least).select("code", F.col("share").alias("value"))
+    for back in range(1, depth + 1):
+        contexts, nexts = grow(texts, back, nexts)
+        own = nexts.filter("own").select("code", "n", F.col("share").alias("value"))
+        kept = contexts.select(F.col("context").alias("code"), "n", F.col("rest").alias("value"))
+        head = [df.filter(F.col("n") >= least).toArrow().sort_by("code") for df in (kept, own)]
+        tree.orders.append(Order(*(h[c].to_numpy() for h in head for c in ("code", "value"))))
+        tail = tail.unionAll(kept.unionAll(own).filter(F.col("n") < least).drop("n"))
+    return tree, tail
+
+
+def least_head(total: int) -> int:
+    """Occurrences that make an entry one of those that are broadcast."""
+    return max(2, math.ceil(total / HEAD))
+
+
+def learn(texts: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
+    """What is broadcast of the tree of the column text (binary), whose word counts are given."""
+    return learn_tables(texts, counts, depth)[0]
+
+
+def looked_up(
+    tree: SuffixTree, known: np.ndarray, ids: np.ndarray, hashes: np.ndarray, begins: np.ndarray
+) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """log10 of each token's share, 0 for the open ones; and for these what their share needs.
+
+    The needs are (slot, token, code, value): slot 0 is the word at the root, 2 k - 1 and 2 k a
+    context of k words and the token after it; the value is nan if only the tables know it.
+    """
+
+    def held(codes: np.ndarray, values: np.ndarray, at: np.ndarray, none: float) -> np.ndarray:
+        found = find(codes, at)
+        out = values[found] if len(values) else np.full(len(at), none)
+        return np.where(found >= 0, out, np.where(maybe(known, at), np.nan, none))
+
+    words = hashes.view(np.int64)
+    share = tree.root()[ids]
+    rare = np.flatnonzero(ids == tree.size - 1)
+    none = np.zeros(0)
+    share[rare] = held(none, none, words[rare], tree.unseen_share())
+    slots = [(words, share.copy())]
+    for order, (context, code, there) in zip(
+        tree.orders, keys(hashes, begins, len(tree.orders)), strict=True
+    ):
+        # A context that is not retained leaves all to its suffix, a word not seen has 0.
+        rest = np.where(there, held(order.codes, order.rest, context, 1.0), 1.0)
+        own = np.zeros(len(ids))
+        at = np.flatnonzero(rest != 1.0)
+        own[at] = held(order.next_codes, order.next_shares, code[at], 0.0)
+        slots += [(context, rest), (code, own)]
+        share = np.where(own > 0, own, rest * share)
+        share[np.isnan(own)] = np.nan
+    is_open = np.isnan(share)
+    needs = []
+    for slot, (code, value) in enumerate(slots):
+        default = 1.0 if slot % 2 else 0.0
+        at = np.flatnonzero(is_open & (np.isnan(value) | (value != default)))
+        needs.append((slot, at, code[at], value[at]))
+    return np.log10(np.where(is_open, 1.0, share)), needs
 
 
 def score(
@@ -283,15 +421,15 @@ def score(
     text = whole_text(text_column).cast("binary").alias("text")
     texts = docs.filter(learns).select(text)
     counts = store(word_counts(texts), "word-counts")
-    tree = learn(texts, counts, depth)
+    tree, tail = learn_tables(texts, counts, depth)
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(tree)
+    held = spark.sparkContext.broadcast((tree, key_filter(tail)))
     below = float(tree.tokens + tree.words + 1)
     rows = docs.select(F.col(id_column).alias("id"), text)
     id_type = rows.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = held.value
+        tree, tail_known = held.value
         rare = tree.size - 1
         base = np.log10((tree.counts + 1) / below)
         base[rare] = 0
@@ -300,8 +438,27 @@ def score(
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in pieces(batch, "text"):
-                ids, begins, words = tree.sequence(piece["text"].to_pylist())
+                texts = piece["text"].to_pylist()
+                ids, begins, words = tree.sequence(texts)
                 starts = begins[:-1]
+                hashes, _ = text_hashes(texts)
+                logs, needs = looked_up(tree, tail_known, ids, hashes, begins)
+                at = np.concatenate([x[1] for x in needs])
+                order = np.argsort(at, kind="stable")
+                slot = np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in needs])[order]
+                code = np.concatenate([x[2] for x in needs])[order]
+                value = np.concatenate([x[3] for x in needs])[order]
+                at = at[order]
+                needed = pa.StructArray.from_arrays(
+                    [
+                        pa.array(at, pa.int64()),
+                        pa.array(slot, pa.int32()),
+                        pa.array(code, pa.int64(), mask=~np.isnan(value)),
+                        pa.array(value, pa.float64(), mask=np.isnan(value)),
+                    ],
+                    ["at", "slot", "code", "value"],
+                )
+                need_cut = np.searchsorted(at, begins).astype(np.int32)
                 rest = [
                     Counter(w for w in text if w not in tree.symbol) if any_rare else {}
                     for text, any_rare in zip(
@@ -323,7 +480,8 @@ def score(
                         "n_tokens": np.diff(begins),
                         "n_known": np.add.reduceat(known[ids].astype(np.int64), starts),
                         "base": np.add.reduceat(base[ids], starts),
-                        "score": np.add.reduceat(tree.log_shares(ids, begins), starts),
+                        "score": np.add.reduceat(logs, starts),
+                        "needs": pa.ListArray.from_arrays(need_cut, needed),
                         "rare": pa.ListArray.from_arrays(cut, held_words),
                     }
                 )
@@ -333,32 +491,55 @@ def score(
         rows.mapInArrow(
             work,
             f"key bigint, id {id_type}, n_tokens bigint, n_known bigint, base double, "
-            "score double, rare array<struct<word: binary, n: int>>",
+            "score double, needs array<struct<at: bigint, slot: int, code: bigint, "
+            "value: double>>, rare array<struct<word: binary, n: int>>",
         ),
         "scored",
     )
-    unseen = tree.unseen_share()
-    rare_total = max(1.0, float(tree.counts[-1]))
     rare = scored.select("key", F.explode("rare").alias("r")).select("key", "r.word", "r.n")
-    least = max(2, math.ceil(tree.tokens / FREQUENT))
-    rare_counts = counts.filter(F.col("n") < least).withColumnRenamed("n", "c")
+    rare_counts = counts.filter(F.col("n") < least_head(tree.tokens)).withColumnRenamed("n", "c")
     c = F.coalesce(F.col("c"), F.lit(0)).cast("double")
-    share = F.when(c > 0, F.lit(1 - unseen) * c / rare_total).otherwise(F.lit(unseen))
     more = (
         rare.join(rare_counts, "word", "left")
         .groupBy("key")
         .agg(
             F.sum(F.when(c > 0, F.col("n")).otherwise(0)).cast("bigint").alias("known_more"),
             F.sum(F.col("n") * F.log10((c + 1) / F.lit(below))).alias("base_more"),
-            F.sum(F.col("n") * F.log10(share)).alias("score_more"),
         )
     )
     zero = F.lit(0.0)
-    return scored.drop("rare").join(more, "key", "left").select(
-        F.col("id").alias(id_column),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("score_more", zero)).alias("score"),
+    return (
+        scored.drop("rare", "needs")
+        .join(more, "key", "left")
+        .join(_open_scores(scored, tail, tree), "key", "left")
+        .select(
+            F.col("id").alias(id_column),
+            "n_tokens",
+            (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
+            F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
+            (F.col("base") + F.coalesce("base_more", zero)).alias("base_score"),
+            (F.col("score") + F.coalesce("score_more", zero)).alias("score"),
+        )
+    )
+
+
+def _open_scores(scored: DataFrame, tail: DataFrame, tree: SuffixTree) -> DataFrame:
+    """(key, score_more): log10 of the shares of the tokens that need the tables."""
+    needs = scored.select("key", F.explode("needs").alias("r")).select("key", "r.*")
+    told = needs.filter("code IS NOT NULL").drop("value").join(tail, "code", "left")
+    columns = ["key", "at", "slot", "value"]
+    told = told.select(*columns).unionAll(needs.filter("code IS NULL").select(*columns))
+    depth = len(tree.orders)
+    slots = [
+        F.max(F.when(F.col("slot") == i, F.col("value"))).alias(f"s{i}") for i in range(2 * depth + 1)
+    ]
+    share = F.coalesce("s0", F.lit(tree.unseen_share()))
+    for k in range(1, depth + 1):
+        # A next word is in the table only if its context is retained.
+        share = F.coalesce(f"s{2 * k}", F.coalesce(f"s{2 * k - 1}", F.lit(1.0)) * share)
+    return (
+        told.groupBy("key", "at")
+        .agg(*slots)
+        .groupBy("key")
+        .agg(F.sum(F.log10(share)).alias("score_more"))
     )

@@ -506,6 +506,71 @@ def test_suffix_tree_is_a_distribution(spark):
         assert abs(total - 1) < 1e-9
 
 
+def suffix_tree_by_hand(texts, learned, depth):
+    """log10 of the share of every text, from whole counts of all contexts."""
+    count = [collections.Counter() for _ in range(depth + 1)]
+    total = [collections.Counter() for _ in range(depth + 1)]
+    tokens = lambda t: t.lower().split() + [" "]
+
+    def contexts(words, i):
+        return [tuple([" ", *words][i + 1 - k : i + 1]) for k in range(min(depth, i + 1) + 1)]
+
+    for t in learned:
+        for i, w in enumerate(tokens(t)):
+            for k, s in enumerate(contexts(tokens(t), i)):
+                count[k][s, w] += 1
+                total[k][s] += 1
+    n, singles = total[0][()], sum(c == 1 for c in count[0].values())
+    unseen = (singles + 1) / (n + singles + 1)
+    follows = collections.defaultdict(list)
+    for k in range(1, depth + 1):
+        for (s, w), c in count[k].items():
+            follows[s].append((w, c))
+    retained = set()
+
+    def share(s, w):
+        if not s:
+            c = count[0][(), w]
+            return (1 - unseen) * c / n if c else unseen
+        under = share(s[1:], w)
+        if s not in retained:
+            return under
+        c, t = count[len(s)][s, w], total[len(s)][s]
+        return max(c - 0.5, 0) / t + len(follows[s]) * 0.5 / t * under
+
+    for s in sorted(follows, key=len):
+        t = total[len(s)][s]
+        gain = sum(c * math.log(c / t / share(s[1:], w)) for w, c in follows[s])
+        if t >= 2 and gain > 0.5 * len(follows[s]) * math.log(t):
+            retained.add(s)
+    return [
+        sum(math.log10(share(contexts(tokens(t), i)[-1], w)) for i, w in enumerate(tokens(t)))
+        for t in texts
+    ], retained
+
+
+@pytest.mark.parametrize(("depth", "head"), [(2, 1_000_000), (2, 30), (3, 30), (3, 1)])
+def test_suffix_tree_keeps_rare_words_contexts_and_next_words(spark, monkeypatch, depth, head):
+    draw = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(1500)]
+    # Pairs and triples that are far below one in 10,000 when the corpus is large.
+    phrases = [draw.choices(vocabulary, k=4) for _ in range(300)]
+    texts = [
+        " ".join(w for _ in range(6) for w in [*draw.choice(phrases), draw.choice(vocabulary)])
+        for _ in range(400)
+    ]
+    texts += ["", "never seen v1 v2 words"]
+    learned = [t for i, t in enumerate(texts[:-1]) if i % 4]
+    want, retained = suffix_tree_by_hand(texts, learned, depth)
+    assert {len(s) for s in retained} == set(range(1, depth + 1))
+    assert len(retained) > 1000
+    monkeypatch.setattr(suffix_tree, "HEAD", head)
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(3)
+    learns = (F.col("doc_id") % 4 != 0) & (F.col("doc_id") < len(texts) - 1)
+    got = {r.doc_id: r.score for r in suffix_tree.score(docs, learns, depth).collect()}
+    assert [round(got[i], 6) for i in range(len(texts))] == [round(x, 6) for x in want]
+
+
 # Classifiers
 
 
