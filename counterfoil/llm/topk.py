@@ -43,7 +43,7 @@ def best_of_group(
     order = np.argsort(-bounds, axis=1, kind="stable")
     out_q, out_v, out_s = [], [], []
     for q in range(len(queries)):
-        best_s, best_i = np.empty(0), np.empty(0, np.int64)
+        best_s, best_i = np.empty(0, vectors.dtype), np.empty(0, np.int64)
         for b in order[q]:
             if len(best_s) == k and bounds[q, b] < best_s[-1]:
                 break

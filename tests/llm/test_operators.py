@@ -456,6 +456,13 @@ def test_top_k(spark, monkeypatch):
     assert [r.rank for r in sorted(few)] == [1, 2]
 
 
+def test_scores_beyond_exact_doubles_stay_whole():
+    vectors = np.array([[(1 << 53) + 2, 0], [(1 << 53) + 3, 0], [1, 0]], np.int64)
+    ids = np.arange(3)
+    _, found, scores = topk.best_of_group(ids, vectors, ids[2:], vectors[2:], 1)
+    assert (found.tolist(), scores.tolist()) == ([1], [(1 << 53) + 3])
+
+
 # Suffix tree
 
 
