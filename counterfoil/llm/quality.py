@@ -228,9 +228,8 @@ def fit(train: DataFrame, width: float = 1.0) -> QualityModel | float:
     model = QualityModel(
         np.array([r.mean for r in moments]), scale, np.zeros(FOURIER + 1), width, *[np.zeros(1)] * 2
     )
-    gram, target = normal_equations(
-        train.repartition(max(1, -(-rows // ROWS_PER_TASK)), F.xxhash64("stats")), model
-    )
+    # Dealt in turn, not by a key: copies of a text spread like all other rows.
+    gram, target = normal_equations(train.repartition(max(1, -(-rows // ROWS_PER_TASK))), model)
     penalty = RIDGE * rows * np.eye(FOURIER + 1)
     penalty[-1, -1] = 0  # not of the constant
     model = QualityModel(

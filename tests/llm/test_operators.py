@@ -640,6 +640,21 @@ def test_quality(spark, hostile, nothing, labels):
     assert {r.score for r in none} == {0.5}
 
 
+def test_copies_of_a_labelled_text_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ROWS_PER_TASK", 100)
+    seen, whole = [], quality.normal_equations
+
+    def watched(train, model):
+        per_task = train.groupBy(F.spark_partition_id()).count().collect()
+        seen.extend(r["count"] for r in per_task)
+        return whole(train, model)
+
+    monkeypatch.setattr(quality, "normal_equations", watched)
+    rows = [([float(i % 7 if i > 500 else 3)] * 18, i % 2) for i in range(1000)]
+    quality.fit(spark.createDataFrame(rows, "stats array<double>, y int"))
+    assert sum(seen) == 1000 and max(seen) < 200
+
+
 def test_pooling_gives_ascending_means():
     count, positive = np.array([2.0, 4, 1, 3]), np.array([1.0, 1, 1, 2])
     assert quality.pool_violators(count, positive) == pytest.approx([1 / 3, 1 / 3, 0.75, 0.75])
