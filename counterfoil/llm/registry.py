@@ -17,6 +17,7 @@ from counterfoil.llm import (
     mixing,
     quality,
     suffix_tree,
+    token_counts,
     topk,
     toxicity,
     url_filter,
@@ -91,6 +92,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def count_model(name: str = "byte_bpe_50k.json") -> token_counts.Model:
+    return token_counts.Model.read(public_tokenizers.path(name))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), count_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -102,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_dart_minhash": op8_dart_minhash,
     "op9_quality": op9_quality,
     "op10_topk": op10_topk,
+    "op12_token_counts": op12_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
