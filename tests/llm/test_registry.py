@@ -16,7 +16,7 @@ from counterfoil.llm.registry import QUERIES, SQL, bpe_vocabulary
 
 from test_operators import brute_classes, lowered, reference_coder
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 @pytest.fixture(scope="module")
