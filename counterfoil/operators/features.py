@@ -69,13 +69,20 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
             F.sum("lines").alias("lines"),
         )
     )
+    return customers.join(totals, "customer_id", "left").select(
+        "customer_id", *finished(reference_timestamp(reference))
+    )
+
+
+def finished(reference: Column) -> list[Column]:
+    """The feature columns after the id, from the sums of a customer's history before
+    ``reference``; all sums are null without history."""
     zero = F.lit(0).cast("bigint")
     spend = E.from_parts("revenue", E.REVENUE_PLACES)
-    return customers.join(totals, "customer_id", "left").select(
-        "customer_id",
-        "customer_taxonomies",
+    return [
+        F.col("customer_taxonomies"),
         F.coalesce(
-            E.elapsed_days(F.col("last_purchase"), reference_timestamp(reference)),
+            E.elapsed_days(F.col("last_purchase"), reference),
             F.lit(C.RECENCY_WITHOUT_HISTORY),
         )
         .cast("bigint")
@@ -90,7 +97,7 @@ def customer_features(baskets: DataFrame, customers: DataFrame, reference: str)
             "promo_ratio"
         ),
         E.segment_code(F.col("customer_taxonomies")).alias("customer_segment_code"),
-    )
+    ]
 
 
 def rfm_features(transactions: DataFrame, customers: DataFrame, reference: str) -> DataFrame:

@@ -6,6 +6,8 @@ parameters - and not the way the operators run.
 
 from __future__ import annotations
 
+import re
+
 REF = "TIMESTAMP '2001-01-01'"
 SUBDAY_REF = "TIMESTAMP '2024-01-25'"
 
@@ -249,6 +251,39 @@ SELECT d.*, CASE WHEN EXISTS (
 FROM disp d"""
 
 
+EARLIER = "TIMESTAMP '2000-07-01'"
+
+
+def both_dates() -> str:
+    """Features as of the starts of two campaigns, as ``dated``."""
+    earlier = re.sub(r"\b(hist|totals|feat)\b", r"\1_0", features(EARLIER))
+    return f"""{features()},{earlier},
+dated AS (
+  SELECT *, CAST({EARLIER} AS DATE) AS reference_date FROM feat_0
+  UNION ALL SELECT *, CAST({REF} AS DATE) FROM feat)"""
+
+
+SHIPMENTS = TRANSACTIONS.replace("o_orderdate AS datetime", "l_shipdate AS datetime")
+
+LOGS = f"""
+logs AS (
+  SELECT 'CAMP_00' AS campaign_id, customer_id, 'PROM_002' AS promotion_id,
+         CASE WHEN {percent('CAMP_00', 'customer_id')} < 80 THEN 1 ELSE 0 END AS is_treatment,
+         CAST({EARLIER} AS DATE) AS reference_date
+  FROM cust
+  UNION ALL
+  SELECT 'CAMP_01', customer_id, 'PROM_001',
+         CASE WHEN {percent('CAMP_01', 'customer_id')} < 80 THEN 1 ELSE 0 END,
+         CAST({REF} AS DATE)
+  FROM cust),
+labelled AS (
+  SELECT l.*, CASE WHEN EXISTS (
+           SELECT 1 FROM orders WHERE o_custkey = l.customer_id
+             AND o_orderdate >= l.reference_date
+             AND o_orderdate < l.reference_date + INTERVAL 90 DAY)
+         THEN 1 ELSE 0 END AS bought_after_promo
+  FROM logs l)"""
+
 QINI = """
 ranked AS (
   SELECT customer_id, CAST(bought_after_promo AS BIGINT) AS y,
@@ -630,4 +665,9 @@ chosen AS (
   UNION ALL SELECT 'top30', * FROM ranked WHERE n_pop <= floor(0.3 * n_all)
   UNION ALL SELECT 'eip_positive', * FROM ranked WHERE recommended_action = 'TARGET'),
 {REPORT.format(base='all', policies="('all'), ('category_buyers'), ('top30'), ('eip_positive')")}""",
+    "features_as_of": f"WITH {TRANSACTIONS},{CUSTOMERS},{both_dates()} SELECT * FROM dated",
+    "features_as_of_lines": f"WITH {SHIPMENTS},{CUSTOMERS},{both_dates()} SELECT * FROM dated",
+    "training_set_as_of": f"""WITH {TRANSACTIONS},{CUSTOMERS},{both_dates()},{LOGS}
+SELECT l.campaign_id, l.promotion_id, l.is_treatment, l.bought_after_promo, d.*
+FROM labelled l JOIN dated d USING (customer_id, reference_date)""",
 }

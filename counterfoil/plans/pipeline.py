@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, datetime, time
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
-from counterfoil.operators import experiment, features, value
+from counterfoil.operators import asof, experiment, features, value
 from counterfoil.operators.learners import (
     StratifiedModel,
     StratifiedTLearner,
@@ -57,9 +58,34 @@ def score(
     later report read narrow tables. A customer may be in the log several times, as after
     several campaigns: that adds training rows, not rows to score.
     """
-    learner = learner or StratifiedTLearner()
     people = store(customer_features, "people")
-    pilot = store(experiment.training_set(campaign, people), "pilot")
+    return _fitted(people, experiment.training_set(campaign, people), terms, learner)
+
+
+def score_as_of(
+    buckets: DataFrame,
+    customers: DataFrame,
+    dated: DataFrame,
+    reference: date,
+    terms: Sequence[value.Terms],
+    learner: Learner | None = None,
+) -> Scoring:
+    """As ``score``, but every row of the log is taken as of its own ``reference_date``.
+
+    The customer days are read once: the customers as of the reference date are one more date.
+    """
+    everyone = customers.select("customer_id", F.lit(reference).alias(asof.DATE))
+    asked = dated.select("customer_id", asof.DATE).unionByName(everyone)
+    features_at = store(asof.features_as_of(buckets, asked, customers), "features-as-of")
+    people = features_at.filter(F.col(asof.DATE) == F.lit(reference)).drop(asof.DATE)
+    return _fitted(people, asof.training_set(dated, features_at).drop(asof.DATE), terms, learner)
+
+
+def _fitted(
+    people: DataFrame, pilot: DataFrame, terms: Sequence[value.Terms], learner: Learner | None
+) -> Scoring:
+    learner = learner or StratifiedTLearner()
+    pilot = store(pilot, "pilot")
     model = learner.fit(pilot)
     scored = _kept(model.transform(people), model, "scored")
     rows = value.targeting_rows(scored, terms)
@@ -81,15 +107,33 @@ def run_scoring(
     learner: Learner | None = None,
     campaign_cost: float = C.DEFAULT_CAMPAIGN_COST,
     fmt: str = "csv",
+    as_of: str = "reference",
 ) -> Scoring:
-    """The batch job over a loaded catalog: writes the sorted list to ``output_path``."""
-    scoring = score(
-        features.rfm_features(tables["transactions"], tables["customers"], reference),
-        tables["campaign"],
-        value.promotion_terms(
-            tables["promotions"], tables["products"], promotion_ids, campaign_cost
-        ),
-        learner or TreeTLearner("boosted"),
+    """The batch job over a loaded catalog: writes the sorted list to ``output_path``.
+
+    ``as_of`` says what the rows of the log know when the models are fitted: the history before
+    the "reference" date, or before the "start" of each row's own promotion. With several campaigns
+    in the log only the latter keeps earlier ones from seeing what came after them; rows whose
+    promotion has no start then train nothing.
+    """
+    if as_of not in ("reference", "start"):
+        raise ValueError(f"as_of must be reference or start, not {as_of!r}")
+    learner = learner or TreeTLearner("boosted")
+    transactions, customers = tables["transactions"], tables["customers"]
+    terms = value.promotion_terms(
+        tables["promotions"], tables["products"], promotion_ids, campaign_cost
     )
+    if as_of == "reference":
+        people = features.rfm_features(transactions, customers, reference)
+        scoring = score(people, tables["campaign"], terms, learner)
+    else:
+        moment = datetime.fromisoformat(reference)
+        if moment != datetime.combine(moment.date(), time()):
+            raise ValueError("as_of='start' needs a reference date at midnight")
+        dated = asof.with_start(tables["campaign"], tables["promotions"])
+        latest = tables["promotions"].agg(F.max("start_date")).first()[0]
+        before = max(moment.date(), latest or moment.date())
+        buckets = asof.day_buckets(asof.basket_days(transactions, before))
+        scoring = score_as_of(buckets, customers, dated, moment.date(), terms, learner)
     sinks.write_list(value.by_profit(scoring.rows), output_path, fmt)
     return scoring

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import (
+    asof,
     evaluation,
     experiment,
     features,
@@ -146,6 +148,36 @@ def store_pivot(spark: SparkSession, folder: str) -> DataFrame:
     return features.spend_by(parts, retail.customers, stores.select(label).distinct())
 
 
+@query
+def features_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer as of the start of each of two campaigns, from one scan."""
+    retail = Retail(spark, folder)
+    buckets = retail.day_buckets(date.fromisoformat(REFERENCE_DATE))
+    return asof.features_as_of(buckets, retail.several_campaigns, retail.customers)
+
+
+@query
+def features_as_of_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from lines dated by their shipment: the lines of a basket lie on several days."""
+    retail = Retail(spark, folder)
+    days = asof.basket_days(retail.shipments, date.fromisoformat(REFERENCE_DATE))
+    return asof.features_as_of(asof.day_buckets(days), retail.several_campaigns, retail.customers)
+
+
+@query
+def training_set_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of two campaigns, each row with its own label and the features before its start."""
+    retail = Retail(spark, folder)
+    labelled = experiment.response_label(
+        retail.several_campaigns,
+        retail.dated_promotions,
+        retail.visits,
+        days=CAMPAIGN_DAYS,
+        match="any",
+    )
+    return asof.training_set(labelled, features_as_of(spark, folder))
+
+
 @query
 def feature_profile(spark: SparkSession, folder: str) -> DataFrame:
     stored = store(Retail(spark, folder).features, "features")

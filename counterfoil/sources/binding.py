@@ -7,13 +7,15 @@ are declared, so opening a table starts no job.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
-from counterfoil.operators import experiment, features
+from counterfoil.operators import asof, experiment, features
 
 FILES: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -54,6 +56,11 @@ SEGMENTS = {
     "FURNITURE": "Price Sensitive",
     "HOUSEHOLD": "Occasional",
 }
+# campaign -> (promotion, start); an earlier campaign in the same log
+CAMPAIGNS = {
+    "CAMP_00": ("PROM_002", "2000-07-01"),
+    CAMPAIGN_ID: (PROMOTION_ID, REFERENCE_DATE),
+}
 # promotion -> (product key, discount)
 PROMOTIONS = {
     "PROM_001": (1, 0.20),
@@ -148,6 +155,22 @@ class Retail:
             )
         )
 
+    @property
+    def shipments(self) -> DataFrame:
+        """One row per line at the time it was shipped; the lines of an order part."""
+        return (
+            self.raw("lineitem")
+            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(
+                F.col("l_shipdate").alias("datetime"),
+                _paid_price().alias("price"),
+                F.col("l_quantity").cast("int").alias("qty"),
+                F.col("o_custkey").alias("customer_id"),
+                _promotion().alias("promotion_id"),
+                F.col("l_orderkey").alias("po_id"),
+            )
+        )
+
     @property
     def visits(self) -> DataFrame:
         """Who bought when; needs the order heads only."""
@@ -174,6 +197,15 @@ class Retail:
             .agg(*E.sum_parts("revenue"))
         )
 
+    def _per_order(self, lines: DataFrame) -> DataFrame:
+        units = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
+        return lines.groupBy("l_orderkey").agg(
+            *E.sum_units(units, "revenue"),
+            F.sum(F.col("l_quantity").cast("bigint")).alias("items"),
+            F.sum(E.has_promotion(_promotion()).cast("bigint")).alias("promo_lines"),
+            F.count(F.lit(1)).alias("lines"),
+        )
+
     def baskets(
         self, reference: str = REFERENCE_DATE, customers: DataFrame | None = None
     ) -> DataFrame:
@@ -189,16 +221,7 @@ class Retail:
             orders = orders.join(wanted, "o_custkey", "left_semi")
             keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
             lines = lines.join(keys, "l_orderkey", "left_semi")
-        units = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
-        per_order = (
-            lines.groupBy("l_orderkey")
-            .agg(
-                *E.sum_units(units, "revenue"),
-                F.sum(F.col("l_quantity").cast("bigint")).alias("items"),
-                F.sum(E.has_promotion(_promotion()).cast("bigint")).alias("promo_lines"),
-                F.count(F.lit(1)).alias("lines"),
-            )
-        )
+        per_order = self._per_order(lines)
         ref = features.reference_timestamp(reference)
         date = F.col("o_orderdate")
         paid_lately = date >= features.days_before(reference, C.MONETARY_DAYS)
@@ -220,6 +243,23 @@ class Retail:
             )
         )
 
+    def day_buckets(self, before: date) -> DataFrame:
+        """Customer days up to a date; an order lies on one day, so no basket is chained."""
+        orders = self.raw("orders").filter(
+            F.col("o_orderdate") < features.reference_timestamp(before.isoformat())
+        )
+        baskets = orders.join(
+            self._per_order(self.raw("lineitem")), F.col("l_orderkey") == F.col("o_orderkey")
+        ).select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderkey").alias("po_id"),
+            F.col("o_orderdate").alias("last_purchase"),
+            *asof.SUMS,
+        )
+        return asof.day_buckets(
+            asof.single_day_baskets(baskets.filter(F.col("customer_id").isNotNull()))
+        )
+
     @property
     def features(self) -> DataFrame:
         return features.customer_features(self.baskets(), self.customers, REFERENCE_DATE)
@@ -248,6 +288,30 @@ class Retail:
             self.dispatch, self.promotions, self.visits, days=CAMPAIGN_DAYS, match="any"
         )
 
+    @property
+    def several_campaigns(self) -> DataFrame:
+        """The logs of all ``CAMPAIGNS`` without labels, each row with its campaign's start."""
+        logs = [
+            experiment.assign_arms(self.customers, campaign).select(
+                F.lit(campaign).alias("campaign_id"),
+                "customer_id",
+                F.lit(promotion).alias("promotion_id"),
+                "is_treatment",
+            )
+            for campaign, (promotion, _) in CAMPAIGNS.items()
+        ]
+        return asof.with_start(reduce(DataFrame.unionByName, logs), self.dated_promotions)
+
+    @property
+    def dated_promotions(self) -> DataFrame:
+        """The promotions with the starts of ``CAMPAIGNS``."""
+        start = F.col("start_date")
+        for promotion, first in CAMPAIGNS.values():
+            start = F.when(F.col("promotion_id") == promotion, F.lit(first).cast("date")).otherwise(
+                start
+            )
+        return self.promotions.withColumn("start_date", start)
+
     @property
     def purchases_subday(self) -> DataFrame:
         """Purchase events: transactions that carry a time of day."""
