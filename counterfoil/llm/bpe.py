@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -191,6 +192,59 @@ class Coder:
         return b"".join(map(self.token.__getitem__, memoryview(packed).cast("I").tolist()))
 
 
+def _coded(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_column: str,
+    text_column: str,
+    schema: str,
+    columns: Callable[[Coder, list[bytes]], dict[str, pa.Array]],
+) -> DataFrame:
+    """Id and what ``columns`` makes of the packed ids of a piece of the table, by ``schema``."""
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = docs.select(
+        F.col(id_column).alias("id"), whole_text(text_column).alias("text")
+    )
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = held.value.coder
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                packed = [coder.encode(text) for text in piece["text"].to_pylist()]
+                yield pa.RecordBatch.from_pydict({"id": piece["id"]} | columns(coder, packed))
+
+    return rows.mapInArrow(code, f"id {id_type}, {schema}").withColumnRenamed("id", id_column)
+
+
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_text: bool = True,
+) -> DataFrame:
+    """One row per input row: id, ``ids`` and, decoded from them, ``decoded``.
+
+    ``ids`` is binary: little-endian unsigned 32-bit token ids. ``decoded`` is the text's bytes
+    again. Null and empty texts have no ids. Rows that repeat are encoded each; other columns
+    are not read. A text of any length is encoded whole. No rows give no rows.
+    """
+
+    def columns(coder: Coder, packed: list[bytes]) -> dict[str, pa.Array]:
+        out = {"ids": pa.array(packed, pa.binary())}
+        if with_text:
+            out["decoded"] = pa.array(map(coder.decode, packed), pa.binary())
+        return out
+
+    schema = "ids binary" + ", decoded binary" * with_text
+    return _coded(docs, vocabulary, id_column, text_column, schema, columns)
+
+
+def decode(self, packed: bytes) -> bytes:
+        return b"".join(map(self.token.__getitem__, memoryview(packed).cast("I").tolist()))
+
+
 def encode(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -240,8 +294,32 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids")
     return encoded.withColumn("text", F.decode(texts(F.col(ids_column)), "UTF-8"))
 
 
+def encode_digests(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Number of tokens and SHA-256 of what ``encode`` gives for each row: ``n_tokens``,
+    ``ids_sha256`` and ``decoded_sha256``.
+
+    Ids and decoded texts are hashed where they are made, so only narrow rows leave the worker;
+    nulls, empty texts and repeated rows are as in ``encode``.
+    """
+
+    def columns(coder: Coder, packed: list[bytes]) -> dict[str, pa.Array]:
+        return {
+            "n_tokens": pa.array([len(ids) // 4 for ids in packed], pa.int64()),
+            "ids_sha256": pa.array([sha256(ids).hexdigest() for ids in packed]),
+            "decoded_sha256": pa.array([sha256(coder.decode(ids)).hexdigest() for ids in packed]),
+        }
+
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _coded(docs, vocabulary, id_column, text_column, schema, columns)
+
+
 def digests(encoded: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Token count and digests of ids and decoded bytes, from what ``encode`` returns."""
+    """The same from a table that ``encode`` has returned."""
     return encoded.select(
         id_column,
         (F.length("ids") / 4).cast("bigint").alias("n_tokens"),

@@ -59,7 +59,7 @@ def bpe_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), bpe_vocabulary()))
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), bpe_vocabulary())
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

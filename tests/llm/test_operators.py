@@ -345,6 +345,9 @@ def test_encode_table(hostile, nothing, vocabulary):
     texts = bpe.decode(bpe.encode(hostile, vocabulary, with_text=False), vocabulary).collect()
     assert sorted(r.text for r in texts) == sorted(t or "" for _, t, _, _ in HOSTILE)
     assert bpe.encode(nothing, vocabulary).count() == 0
+    told = bpe.encode_digests(hostile, vocabulary).collect()
+    assert sorted(map(repr, told)) == sorted(map(repr, bpe.digests(bpe.encode(hostile, vocabulary)).collect()))
+    assert bpe.encode_digests(nothing, vocabulary).count() == 0
 
 
 def test_vocabulary_without_all_bytes_is_refused(tmp_path):
