@@ -42,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     vocabulary = bpe.Vocabulary.read(path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.encode(docs, vocabulary))
+    return bpe.encode_digests(docs, vocabulary)
 
 
 STAGES = [
