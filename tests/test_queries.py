@@ -9,7 +9,13 @@ from counterfoil.plans.oracle import SQL
 from counterfoil.sources.binding import FILES, Retail
 
 TREE_LISTS = ["tlearner_forest", "tlearner_gbt"]
-ROWS_ONLY = {*TREE_LISTS, "qini_forest", "qini_gbt"}
+ROWS_ONLY = {
+    *TREE_LISTS,
+    "qini_forest",
+    "qini_gbt",
+    "crossfit_qini_forest",
+    "crossfit_qini_gbt",
+}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
