@@ -75,6 +75,63 @@ def qini_curve(
     )
 
 
+def qini_curves(
+    scored: DataFrame,
+    groups: Sequence[str],
+    y: str = "bought_after_promo",
+    w: str = "is_treatment",
+    score: str = "uplift",
+    id_column: str = "customer_id",
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """One Qini curve per group, such as (campaign, promotion), all in one pass.
+
+    Groups may be many and some of them large, see ``ranking.grouped_totals``; ids are unique
+    within a group. The columns are those of ``qini_curve`` after the group's.
+    """
+    rows = scored.select(
+        *groups,
+        id_column,
+        F.col(y).cast("bigint").alias("y"),
+        F.col(w).cast("bigint").alias("w"),
+        F.col(score).alias("score"),
+    ).filter(F.col("score").isNotNull())
+    sums = {
+        "n_t": F.col("w"),
+        "y_t": F.col("y") * F.col("w"),
+        "y_c": F.col("y") * (1 - F.col("w")),
+    }
+    ranked = ranking.grouped_totals(rows, "score", id_column, groups, sums, hot_rows=hot_rows)
+    names = [f"__of{i}" for i in range(len(groups))]
+    ends = rows.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__{c}") for c, v in sums.items()]
+    )
+    ends = ends.select(
+        *[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)],
+        F.col("__n").cast("double").alias("__n"),
+        (
+            F.col("__y_t")
+            - F.col("__y_c") * E.ratio(F.col("__n_t"), F.col("__n") - F.col("__n_t"))
+        ).alias("__slope"),
+    )
+    n_c = F.col("n_pop") - F.col("n_t")
+    gain = F.col("y_t") - F.col("y_c") * E.ratio(F.col("n_t"), n_c)
+    return ranked.join(ends, ranking.same_groups(groups, names)).select(
+        *groups,
+        id_column,
+        "y",
+        "w",
+        "score",
+        "n_pop",
+        "n_t",
+        n_c.alias("n_c"),
+        "y_t",
+        "y_c",
+        F.coalesce(gain, F.col("y_t").cast("double")).alias("qini"),
+        (F.col("n_pop").cast("double") / F.col("__n") * F.col("__slope")).alias("random"),
+    )
+
+
 def _arm_counts(keep: Column) -> list[Column]:
     y, treated = F.col("bought_after_promo"), F.col("is_treatment") == 1
     return [

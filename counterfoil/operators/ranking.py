@@ -200,6 +200,160 @@ def running_totals(
     )
 
 
+#: Of a group's rows from which it may be cut into cells, and groups that are cut at most.
+HOT_GROUP_ROWS = 200_000
+MOST_HOT_GROUPS = 1000
+
+
+def hot_groups(
+    keyed: DataFrame, groups: Sequence[str], rows: int, hot_rows: int | None = None
+) -> list[tuple]:
+    """(group columns..., rows) of the groups to cut: those with ``hot_rows`` rows and more than a
+    ``MOST_HOT_GROUPS``-th of all, so there are never more than that."""
+    least = max(HOT_GROUP_ROWS if hot_rows is None else hot_rows, rows // MOST_HOT_GROUPS + 1)
+    counted = keyed.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"))
+    return [tuple(r) for r in counted.filter(F.col("__rows") >= least).collect()]
+
+
+def group_cuts(
+    keyed: DataFrame, id_column: str, groups: Sequence[str], hot: list[tuple], per_cell: int
+) -> DataFrame:
+    """For each hot group the (key, id) pairs that cut it into cells, in blocks for a quick
+    search. The pairs come from a sample and only decide how even the cells are."""
+    spark = keyed.sparkSession
+    names = [f"__g{i}" for i in range(len(groups))]
+    types = [keyed.schema[g].dataType for g in groups]
+    fields = [T.StructField(n, t) for n, t in zip(names, types, strict=True)]
+    cells = {row[:-1]: -(-row[-1] // per_cell) for row in hot}
+    numbered = T.StructType([*fields, T.StructField("__number", T.IntegerType())])
+    table = local_table(spark, [(*key, i) for i, key in enumerate(cells)], numbered)
+    share = min(1.0, SAMPLES_PER_CELL * sum(cells.values()) / sum(row[-1] for row in hot))
+    drawn = (
+        keyed.sample(fraction=share, seed=7)
+        .join(F.broadcast(table), same_groups(groups, names))
+        .select("__number", KEY, id_column)
+        .collect()
+    )
+    samples: list[list] = [[] for _ in cells]
+    for number, key, id_ in drawn:
+        samples[number].append((key, id_))
+    rows = []
+    for sample, (group, count) in zip(samples, cells.items(), strict=True):
+        sample.sort()
+        cuts = sorted({sample[len(sample) * i // count] for i in range(1, count)} if sample else set())
+        if cuts:
+            rows.append((*group, *_blocks(cuts)))
+    pair = T.StructType(
+        [T.StructField("k", T.DoubleType()), T.StructField("i", keyed.schema[id_column].dataType)]
+    )
+    schema = T.StructType(
+        [
+            *fields,
+            T.StructField("__size", T.IntegerType()),
+            T.StructField("__heads", T.ArrayType(pair)),
+            T.StructField("__blocks", T.ArrayType(T.ArrayType(pair))),
+        ]
+    )
+    as_pair = lambda cut: {"k": cut[0], "i": cut[1]}
+    return local_table(
+        spark,
+        [
+            (*r[:-2], list(map(as_pair, r[-2])), [list(map(as_pair, b)) for b in r[-1]])
+            for r in rows
+        ],
+        schema,
+    )
+
+
+def same_groups(groups: Sequence[str], names: Sequence[str]) -> Column:
+    """Equal groups, null being one like any other."""
+    out = F.lit(True)
+    for group, name in zip(groups, names, strict=True):
+        out = out & F.col(group).eqNullSafe(F.col(name))
+    return out
+
+
+def grouped_totals(
+    df: DataFrame,
+    score: str,
+    id_column: str,
+    groups: Sequence[str],
+    sums: Mapping[str, Column] | None = None,
+    descending: bool = True,
+    rank: str = "n_pop",
+    hot_rows: int | None = None,
+    per_cell: int | None = None,
+) -> DataFrame:
+    """``running_totals`` where groups are many and some hold much of the data.
+
+    A small group is one partition of an ordinary window. A hot one (``hot_rows`` rows and a
+    thousandth of all) is cut into cells by (score, id), each a partition of that window; what lies
+    before a cell comes from a table of the hot groups' cells alone, so neither the number of
+    groups nor the largest one decides what a task or a broadcast holds. Null is a group like any
+    other. ``df`` is read four times if there are hot groups: pass a stored table or a scan.
+    """
+    sums, groups = dict(sums or {}), list(groups)
+    keyed = _keyed(df, score, descending)
+    for name, value in sums.items():
+        keyed = keyed.withColumn(f"__{name}", value)
+    rows = keyed.count()
+    hot = hot_groups(keyed, groups, rows, hot_rows)
+    if per_cell is None:
+        even = rows // (3 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        most = sum(row[-1] for row in hot) // MAX_CELLS + 1
+        per_cell = max(most, min(ROWS_PER_CELL, max(even, MIN_ROWS_PER_CELL)))
+    names = [f"__g{i}" for i in range(len(groups))]
+    if hot:
+        cuts = group_cuts(keyed, id_column, groups, hot, per_cell)
+        here = F.struct(F.col(KEY).alias("k"), F.col(id_column).alias("i"))
+
+        def lower(column: Column) -> Column:
+            return F.size(F.filter(column, lambda cut: cut < here))
+
+        block = lower(F.col("__heads")) - 1
+        place = block * F.col("__size") + lower(F.get(F.col("__blocks"), block))
+        joined = keyed.join(F.broadcast(cuts), same_groups(groups, names), "left")
+        cell = F.when(F.col("__heads").isNull() | (block < 0), 0).otherwise(place)
+        keyed = joined.withColumn(SLICE, cell).withColumn("__cut", F.col("__heads").isNotNull())
+        keyed = keyed.drop(*names, "__size", "__heads", "__blocks")
+    else:
+        keyed = keyed.withColumns({SLICE: F.lit(0), "__cut": F.lit(False)})
+    inside = Window.partitionBy(*groups, SLICE).orderBy(KEY, id_column)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = keyed.select(
+        "*",
+        F.row_number().over(inside).alias("__row"),
+        *[F.sum(f"__{name}").over(so_far).alias(f"__run_{name}") for name in sums],
+    )
+    totals = (
+        keyed.filter("__cut")
+        .groupBy(*groups, SLICE)
+        .agg(
+            F.count(F.lit(1)).alias("__rows"),
+            *[F.sum(f"__{name}").alias(f"__sum_{name}") for name in sums],
+        )
+    )
+    earlier = Window.partitionBy(*groups).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)],
+        F.col(SLICE).alias("__slice_of"),
+        *[F.sum(c).over(earlier).alias(c) for c in totals.columns if c not in (*groups, SLICE)],
+    )
+    here = same_groups([*groups, SLICE], [*names, "__slice_of"])
+    out = local.join(F.broadcast(offsets), here, "left") if hot else local.withColumns(
+        {c: F.lit(None).cast("bigint") for c in ("__rows", *[f"__sum_{name}" for name in sums])}
+    )
+    zero = F.lit(0).cast("bigint")
+    return out.select(
+        *df.columns,
+        (F.coalesce("__rows", zero) + F.col("__row")).alias(rank),
+        *[
+            (F.coalesce(F.col(f"__sum_{name}"), zero) + F.col(f"__run_{name}")).alias(name)
+            for name in sums
+        ],
+    )
+
+
 @dataclass(frozen=True)
 class Cut:
     """The row at a rank position of a group; position 0 lies before every row."""

@@ -714,4 +714,48 @@ FROM exact""",
     "model_table_check": f"""WITH {CUSTOMERS}
 SELECT customer_id, TRUE AS same_p_treatment, TRUE AS same_p_control, TRUE AS same_uplift
 FROM cust""",
+    "grouped_ranks": """
+WITH lines AS (
+  SELECT CASE WHEN l_discount > CAST(0.065 AS DOUBLE) THEN 'discounted'
+              ELSE CAST(l_partkey AS VARCHAR) END AS offer,
+         l_orderkey * 100 + l_linenumber AS line_id, l_extendedprice AS revenue
+  FROM lineitem)
+SELECT *, row_number() OVER o AS place,
+       CAST(sum(CAST(round_even(revenue * 100, 0) AS BIGINT)) OVER o AS BIGINT) AS running_cents
+FROM lines
+WINDOW o AS (PARTITION BY offer ORDER BY revenue DESC, line_id ROWS UNBOUNDED PRECEDING)""",
+    "qini_curves": f"""WITH {TRANSACTIONS},{CUSTOMERS},{both_dates()},{LOGS},
+pilot AS (
+  SELECT l.campaign_id, l.is_treatment, l.bought_after_promo, d.*, {BAND} AS band
+  FROM labelled l JOIN dated d USING (customer_id, reference_date)),
+rates AS (
+  SELECT customer_segment_code AS code, band, is_treatment AS arm,
+         CAST(sum(bought_after_promo) + 1 AS DOUBLE) / (count(*) + 2) AS rate
+  FROM pilot GROUP BY ALL),
+scored AS (
+  SELECT p.*, coalesce(t.rate, CAST(0.5 AS DOUBLE)) - coalesce(c.rate, CAST(0.5 AS DOUBLE))
+           AS uplift
+  FROM pilot p
+  LEFT JOIN rates t ON t.code = p.customer_segment_code AND t.band = p.band AND t.arm = 1
+  LEFT JOIN rates c ON c.code = p.customer_segment_code AND c.band = p.band AND c.arm = 0),
+ranked AS (
+  SELECT campaign_id, customer_taxonomies, customer_id, CAST(bought_after_promo AS BIGINT) AS y,
+         CAST(is_treatment AS BIGINT) AS w, uplift AS score,
+         row_number() OVER o AS n_pop,
+         CAST(sum(is_treatment) OVER o AS BIGINT) AS n_t,
+         CAST(sum(bought_after_promo * is_treatment) OVER o AS BIGINT) AS y_t,
+         CAST(sum(bought_after_promo * (1 - is_treatment)) OVER o AS BIGINT) AS y_c
+  FROM scored
+  WINDOW o AS (PARTITION BY campaign_id, customer_taxonomies
+               ORDER BY uplift DESC, customer_id ROWS UNBOUNDED PRECEDING)),
+ends AS (
+  SELECT campaign_id, customer_taxonomies, CAST(count(*) AS DOUBLE) AS n,
+         CAST(sum(w) AS DOUBLE) AS t, CAST(sum(y * w) AS DOUBLE) AS yt,
+         CAST(sum(y * (1 - w)) AS DOUBLE) AS yc
+  FROM ranked GROUP BY ALL)
+SELECT campaign_id, customer_taxonomies, customer_id, y, w, score, n_pop, n_t, n_pop - n_t AS n_c,
+       y_t, y_c,
+       coalesce(y_t - y_c * (CAST(n_t AS DOUBLE) / nullif(n_pop - n_t, 0)), y_t) AS qini,
+       n_pop / n * (yt - yc * (t / nullif(n - t, 0))) AS random
+FROM ranked JOIN ends USING (campaign_id, customer_taxonomies)""",
 }

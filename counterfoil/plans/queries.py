@@ -20,6 +20,7 @@ from counterfoil.operators import (
     features,
     joins,
     policies,
+    ranking,
     reports,
     trees,
     value,
@@ -53,6 +54,9 @@ BASELINE_CATEGORY = "PROMO"
 PROFILE_PLACES = 4
 WHATIF_DISCOUNT = 0.17
 CROSSFIT_FOLDS = 5
+GROUP_DISCOUNT = 0.065
+# Groups of so many rows are cut into cells.
+GROUP_ROWS = 5_000
 TREE_FOLDS = 2
 # arm, tree, node, feature, threshold, left, right, value, weight, link: two small ensembles.
 SMALL_ENSEMBLE = [
@@ -516,6 +520,33 @@ def qini_curve(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.qini_curve(_scoring(spark, folder).training)
 
 
+@query
+def grouped_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line's rank by revenue within its product, with running revenue; lines above the
+    discount limit, about a third of all, are one group of their own."""
+    lines = Retail(spark, folder).raw("lineitem").select(
+        F.when(F.col("l_discount") > GROUP_DISCOUNT, "discounted")
+        .otherwise(F.col("l_partkey").cast("string"))
+        .alias("offer"),
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line_id"),
+        F.col("l_extendedprice").alias("revenue"),
+    )
+    units = {"running_cents": E.to_units(F.col("revenue"), 2)}
+    return ranking.grouped_totals(
+        lines, "revenue", "line_id", ["offer"], units, rank="place", hot_rows=GROUP_ROWS
+    )
+
+
+@query
+def qini_curves(spark: SparkSession, folder: str) -> DataFrame:
+    """A Qini curve per campaign and customer segment, with scores fitted on both campaigns."""
+    rows = store(training_set_as_of(spark, folder), "pilot")
+    scored = store(StratifiedTLearner().fit(rows).transform(rows), "scored")
+    return evaluation.qini_curves(
+        scored, ["campaign_id", "customer_taxonomies"], hot_rows=GROUP_ROWS // 10
+    )
+
+
 @query
 def heldout_qini(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted on the training fold, evaluated on the test fold."""
