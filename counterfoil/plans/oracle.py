@@ -6,6 +6,7 @@ parameters - and not the way the operators run.
 
 from __future__ import annotations
 
+import math
 import re
 
 REF = "TIMESTAMP '2001-01-01'"
@@ -305,6 +306,75 @@ probs AS (
     AND c.f = p.fold),
 scored AS (SELECT *, p_treatment - p_control AS uplift FROM probs)"""
 
+NEAREST = """
+pts AS (
+  SELECT *, CAST(round_even(recency_days * CAST(0.1 AS DOUBLE), 0) AS BIGINT) AS x0,
+         CAST(round_even(frequency_30d * CAST(3 AS DOUBLE), 0) AS BIGINT) AS x1,
+         CAST(round_even(monetary_90d * CAST(0.00005 AS DOUBLE), 0) AS BIGINT) AS x2
+  FROM feat JOIN camp USING (customer_id)),
+near AS (
+  SELECT t.customer_id, c.customer_id AS control_id, c.bought_after_promo AS control_bought,
+         (t.x0 - c.x0) * (t.x0 - c.x0) + (t.x1 - c.x1) * (t.x1 - c.x1)
+           + (t.x2 - c.x2) * (t.x2 - c.x2) AS square
+  FROM pts t JOIN pts c ON t.customer_segment_code = c.customer_segment_code
+    AND t.is_treatment = 1 AND c.is_treatment = 0),
+best AS (
+  SELECT * FROM near WHERE square <= 16
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY square, control_id) = 1),
+matches AS (
+  SELECT t.customer_id, b.control_id, b.square, t.bought_after_promo AS bought, b.control_bought
+  FROM pts t LEFT JOIN best b USING (customer_id) WHERE t.is_treatment = 1)"""
+
+
+def poisson(replicates: int) -> str:
+    """``drawn``: (customer_id, r, w), a count per customer and replicate, and ``own`` for r = -1
+    with all counts 1."""
+    steps, total = [], 0.0
+    for k in range(12):
+        total += math.exp(-1) / math.factorial(k)
+        steps.append(math.floor(2**32 * total))
+    count = " + ".join(f"(u >= {s})::BIGINT" for s in steps)
+    return f"""
+drawn AS (
+  SELECT customer_id, r, {count} AS w FROM (
+    SELECT customer_id, r, CAST('0x' || substr(sha256('CAMP_01:' || CAST(r // 8 AS VARCHAR) || ':'
+             || CAST(customer_id AS VARCHAR)), 8 * (r % 8) + 1, 8) AS BIGINT) AS u
+    FROM cust, (SELECT range AS r FROM range({replicates}))) z
+  UNION ALL SELECT customer_id, -1, 1 FROM cust)"""
+
+
+def intervals(group: str, values: dict[str, str]) -> str:
+    """One row per group from ``sums`` (group, r, n_t, y_t, n_c, y_c)."""
+    lists = ", ".join(
+        f"list_sort(list({v}) FILTER (WHERE r >= 0 AND {v} IS NOT NULL)) AS {v}_l,"
+        f" any_value({v}) FILTER (WHERE r = -1) AS {v}"
+        for v in values
+    )
+    exprs = ", ".join(f"{e} AS {v}" for v, e in values.items())
+    cut = "CAST(floor(len({0}_l) * CAST(0.025 AS DOUBLE)) AS BIGINT)"
+    told = ", ".join(
+        f"{v}, {v}_l[{cut.format(v)} + 1] AS {v}_low, {v}_l[len({v}_l) - {cut.format(v)}] AS {v}_high"
+        for v in values
+    )
+    return f"""
+each AS (SELECT *, {exprs} FROM sums),
+listed AS (
+  SELECT {group}, {lists},
+         any_value(n_t) FILTER (WHERE r = -1) AS n_treated,
+         any_value(y_t) FILTER (WHERE r = -1) AS buyers_treated,
+         any_value(n_c) FILTER (WHERE r = -1) AS n_control,
+         any_value(y_c) FILTER (WHERE r = -1) AS buyers_control
+  FROM each GROUP BY {group})
+SELECT {group}, n_treated, buyers_treated, n_control, buyers_control, {told} FROM listed"""
+
+
+SUMS = """CAST(sum(w * is_treatment) AS BIGINT) AS n_t,
+         CAST(sum(w * is_treatment * bought_after_promo) AS BIGINT) AS y_t,
+         CAST(sum(w * (1 - is_treatment)) AS BIGINT) AS n_c,
+         CAST(sum(w * (1 - is_treatment) * bought_after_promo) AS BIGINT) AS y_c"""
+RATE_T = "CAST(y_t AS DOUBLE) / nullif(n_t, 0)"
+RATE_C = "CAST(y_c AS DOUBLE) / nullif(n_c, 0)"
+
 QINI = """
 ranked AS (
   SELECT customer_id, CAST(bought_after_promo AS BIGINT) AS y,
@@ -758,4 +828,32 @@ SELECT campaign_id, customer_taxonomies, customer_id, y, w, score, n_pop, n_t, n
        coalesce(y_t - y_c * (CAST(n_t AS DOUBLE) / nullif(n_pop - n_t, 0)), y_t) AS qini,
        n_pop / n * (yt - yc * (t / nullif(n - t, 0))) AS random
 FROM ranked JOIN ends USING (campaign_id, customer_taxonomies)""",
+    "nearest_controls": f"WITH {PEOPLE},{NEAREST} SELECT * FROM matches",
+    "nearest_effect": f"""WITH {PEOPLE},{NEAREST}
+SELECT count(control_id) AS n_matched, count(*) - count(control_id) AS n_unmatched,
+       count(DISTINCT control_id) AS n_controls,
+       CAST(coalesce(sum(bought) FILTER (WHERE control_id IS NOT NULL), 0) AS BIGINT) AS buyers,
+       CAST(coalesce(sum(control_bought), 0) AS BIGINT) AS control_buyers,
+       CAST(sum(bought - control_bought) AS DOUBLE) / nullif(count(control_id), 0)
+         AS matched_effect
+FROM matches""",
+    "uplift_intervals": f"""WITH {PEOPLE},{CROSSFIT},{poisson(20)},
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY uplift DESC, customer_id) AS place, count(*) OVER () AS n
+  FROM scored),
+sums AS (
+  SELECT share, r, {SUMS}
+  FROM placed JOIN drawn USING (customer_id),
+       (SELECT unnest([0.1, 0.2, 0.3, 0.5]::DOUBLE[]) AS share)
+  WHERE place <= floor(CAST(share AS DECIMAL(3, 1)) * n) GROUP BY ALL),
+{intervals('share', {
+    'uplift': f'{RATE_T} - {RATE_C}',
+    'qini': 'coalesce(y_t - y_c * (CAST(n_t AS DOUBLE) / nullif(n_c, 0)), y_t)',
+})}""",
+    "quartile_intervals": f"""WITH {PEOPLE},{QUARTILES},{poisson(20)},
+sums AS (
+  SELECT rfm_quartile, r, {SUMS} FROM quart JOIN drawn USING (customer_id) GROUP BY ALL),
+{intervals('rfm_quartile', {
+    'rate_treated': RATE_T, 'rate_control': RATE_C, 'effect': f'{RATE_T} - {RATE_C}',
+})}""",
 }

@@ -14,11 +14,13 @@ from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import (
     asof,
+    bootstrap,
     crossfit,
     evaluation,
     experiment,
     features,
     joins,
+    matching,
     policies,
     ranking,
     reports,
@@ -54,6 +56,7 @@ BASELINE_CATEGORY = "PROMO"
 PROFILE_PLACES = 4
 WHATIF_DISCOUNT = 0.17
 CROSSFIT_FOLDS = 5
+BOOTSTRAP_REPLICATES = 20
 GROUP_DISCOUNT = 0.065
 # Groups of so many rows are cut into cells.
 GROUP_ROWS = 5_000
@@ -300,6 +303,21 @@ def matched_controls(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.nearest_controls(_pilot(spark, folder))
+
+
+@query
+def nearest_controls(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest control of the same segment for every treated customer, within the caliper."""
+    return _nearest(spark, folder)
+
+
+@query
+def nearest_effect(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.nearest_effect(_nearest(spark, folder))
+
+
 @query
 def append_campaign(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
@@ -560,6 +578,20 @@ def uplift_at_k(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.uplift_at_k(_scoring(spark, folder).training, UPLIFT_SHARES)
 
 
+@query
+def uplift_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Uplift and Qini value of the top shares, out of fold, with bootstrap intervals."""
+    scored = store(crossfit.crossfit(_pilot(spark, folder), CAMPAIGN_ID, CROSSFIT_FOLDS), "crossfit")
+    return bootstrap.uplift_intervals(scored, UPLIFT_SHARES, CAMPAIGN_ID, BOOTSTRAP_REPLICATES)
+
+
+@query
+def quartile_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Response rates of the RFM quartiles and their effects, with bootstrap intervals."""
+    pilot = _ranked_pilot(spark, folder)
+    return bootstrap.rate_intervals(pilot, "rfm_quartile", CAMPAIGN_ID, BOOTSTRAP_REPLICATES)
+
+
 @query
 def auc(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.auc(_scoring(spark, folder).training)
