@@ -198,24 +198,23 @@ def matched_controls(training: DataFrame) -> DataFrame:
     )
 
 
-def append_campaign(
-    transactions: DataFrame,
+def campaign_purchases(
     campaign: DataFrame,
     promotions: DataFrame,
     products: DataFrame,
     store_id,
     hours_after_start: int = 62,
 ) -> DataFrame:
-    """The fact table plus one purchase line per campaign buyer.
+    """One purchase line per campaign buyer.
 
     The treated pay the discounted price and carry the promotion; the default time is 14:00
-    on the third day. Orders get text ids, as the new ones are named after campaign and customer.
+    on the third day. Orders are named after campaign and customer.
     """
     offers = products.select("product_id", "price").join(small_side(promotions), "product_id")
     offers = small_side(offers, bound=promotions)
     treated = F.col("is_treatment") == 1
     reduced = E.round_half_even(F.col("price") - F.col("price") * F.col("discount"), 2)
-    bought = (
+    return (
         campaign.filter(F.col("bought_after_promo") == 1)
         .join(offers, "promotion_id")
         .select(
@@ -234,5 +233,30 @@ def append_campaign(
             ),
         )
     )
-    history = transactions.withColumn("po_id", F.col("po_id").cast("string"))
-    return history.unionByName(bought)
+
+
+def append_campaign(
+    transactions: DataFrame,
+    campaign: DataFrame,
+    promotions: DataFrame,
+    products: DataFrame,
+    store_id,
+    hours_after_start: int = 62,
+) -> DataFrame:
+    """The fact table plus the campaign's purchases. Orders get text ids, as the new ones have."""
+    bought = campaign_purchases(campaign, promotions, products, store_id, hours_after_start)
+    return transactions.withColumn("po_id", F.col("po_id").cast("string")).unionByName(bought)
+
+
+def upsert_lines(transactions: DataFrame, lines: DataFrame, key: str = "po_id") -> DataFrame:
+    """The fact table with all lines of the orders in ``lines`` replaced by those.
+
+    An order that is new is added, one that is there is replaced as a whole, so giving the same
+    lines twice changes nothing. The fact table is only filtered: where the new orders' keys are
+    few by the optimizer's estimate they are broadcast and it is not shuffled. Null is no key:
+    lines without one match nothing and are added each time.
+    """
+    kept = lines.withColumn(key, F.col(key).cast("string"))
+    history = transactions.withColumn(key, F.col(key).cast("string"))
+    keys = kept.select(key).filter(F.col(key).isNotNull()).distinct()
+    return history.join(small_side(keys, bound=lines), key, "left_anti").unionByName(kept)

@@ -375,6 +375,55 @@ SUMS = """CAST(sum(w * is_treatment) AS BIGINT) AS n_t,
 RATE_T = "CAST(y_t AS DOUBLE) / nullif(n_t, 0)"
 RATE_C = "CAST(y_c AS DOUBLE) / nullif(n_c, 0)"
 
+QUARTER = VALUED.replace("discount AS rate", "discount * CAST(0.25 AS DOUBLE) AS rate").replace(
+    "CAST(0.5 AS DOUBLE) AS cost", "CAST(0.125 AS DOUBLE) AS cost"
+)
+
+# All choices at every price at which some customer's could change, instead of a search.
+BUDGET = """
+opts AS (
+  SELECT customer_id, promotion_id, CAST(round_even(eip * 100, 0) AS BIGINT) AS p,
+         CAST(round_even((cost + price * rate * p_treatment) * 100, 0) AS BIGINT) AS s
+  FROM (SELECT v.*, t.price, t.rate, t.cost FROM valued v JOIN terms t USING (promotion_id))),
+good AS (
+  SELECT * FROM opts WHERE p > 0
+  UNION ALL SELECT customer_id, NULL, 0, 0 FROM (SELECT DISTINCT customer_id FROM opts)),
+prices AS (
+  SELECT DISTINCT unnest([m, m + 1]) AS m FROM (
+    SELECT DISTINCT (a.p - b.p) * 1048576 // (a.s - b.s) AS m
+    FROM good a JOIN good b ON a.customer_id = b.customer_id AND a.s > b.s AND a.p > b.p)
+  UNION SELECT 0),
+wide AS (SELECT DISTINCT unnest([m - 1, m]) AS m FROM prices),
+kinds AS (SELECT customer_id, list((p, s, promotion_id) ORDER BY promotion_id) AS k
+          FROM good GROUP BY 1),
+sizes AS (SELECT k, count(*) AS n FROM kinds GROUP BY 1),
+taken AS (
+  SELECT k, m, list_sort(list_transform(k, lambda o: struct_pack(
+             w := -(o[1] * 1048576 - o[2] * m), c := o[2], i := coalesce(o[3], ''), p := o[1])))[1]
+           AS o
+  FROM sizes, wide WHERE m >= 0),
+spends AS (SELECT m, sum(n * o.c) AS spent FROM taken JOIN sizes USING (k) GROUP BY m),
+budget AS (SELECT spent * 30 // 100 AS b FROM spends WHERE m = 0),
+found AS (
+  SELECT min(m) AS m FROM spends, budget WHERE spent <= b AND m IN (SELECT m FROM prices)),
+picked AS (
+  SELECT customer_id, o.i AS promotion_id, o.p AS profit, o.c AS spend
+  FROM kinds JOIN taken USING (k) JOIN found USING (m)),
+dearer AS (
+  SELECT customer_id, o.i AS promotion_id, o.p AS profit, o.c AS spend
+  FROM kinds JOIN taken USING (k) JOIN found ON taken.m = found.m - 1),
+margin AS (
+  SELECT d.*, sum(d.spend - p.spend) OVER (ORDER BY customer_id) AS upto
+  FROM dearer d JOIN picked p USING (customer_id) WHERE d.spend > p.spend),
+upgraded AS (
+  SELECT * FROM margin
+  WHERE upto <= (SELECT b FROM budget) - (SELECT sum(spend) FROM picked)),
+allocated AS (
+  SELECT customer_id, coalesce(u.promotion_id, p.promotion_id) AS promotion_id,
+         coalesce(u.profit, p.profit) AS profit, coalesce(u.spend, p.spend) AS spend
+  FROM picked p LEFT JOIN upgraded u USING (customer_id)
+  WHERE coalesce(u.promotion_id, p.promotion_id) <> '')"""
+
 QINI = """
 ranked AS (
   SELECT customer_id, CAST(bought_after_promo AS BIGINT) AS y,
@@ -856,4 +905,17 @@ sums AS (
 {intervals('rfm_quartile', {
     'rate_treated': RATE_T, 'rate_control': RATE_C, 'effect': f'{RATE_T} - {RATE_C}',
 })}""",
+    "budget_allocation": f"""WITH {SCORED},{PRODUCTS},{PROMOTIONS},{QUARTER},{BUDGET}
+SELECT * FROM allocated""",
+    "budget_summary": f"""WITH {SCORED},{PRODUCTS},{PROMOTIONS},{QUARTER},{BUDGET}
+SELECT promotion_id, count(*) AS n_customers, CAST(sum(profit) AS BIGINT) AS profit_cents,
+       CAST(sum(spend) AS BIGINT) AS spend_cents
+FROM allocated GROUP BY 1""",
+    "checked_catalog": f"""WITH {SUBDAY},{PROMOTIONS}
+SELECT 'transactions' AS table_name, count(*) FILTER (WHERE day(datetime) NOT IN (13, 14)) AS n_rows,
+       count(*) FILTER (WHERE day(datetime) IN (13, 14)) AS n_rejected
+FROM tx
+UNION ALL SELECT 'promotions', count(*), 0 FROM promo""",
 }
+SQL["append_campaign_twice"] = SQL["append_campaign"]
+SQL["published_list"] = SQL["targeting_list"]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from counterfoil.functions import constants as C
 from counterfoil.functions import expressions as E
 from counterfoil.operators import (
+    allocation,
     asof,
     bootstrap,
     crossfit,
@@ -29,7 +30,7 @@ from counterfoil.operators import (
 )
 from counterfoil.operators.learners import StratifiedTLearner, TreeTLearner
 from counterfoil.plans import pipeline
-from counterfoil.sources import catalog, sinks
+from counterfoil.sources import catalog, publish, sinks
 from counterfoil.sources.binding import (
     CAMPAIGN_DAYS,
     CAMPAIGN_ID,
@@ -56,6 +57,8 @@ BASELINE_CATEGORY = "PROMO"
 PROFILE_PLACES = 4
 WHATIF_DISCOUNT = 0.17
 CROSSFIT_FOLDS = 5
+BUDGET_PERCENT = 30
+BAD_DAY = 13
 BOOTSTRAP_REPLICATES = 20
 GROUP_DISCOUNT = 0.065
 # Groups of so many rows are cut into cells.
@@ -330,6 +333,18 @@ def append_campaign(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def append_campaign_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The campaign's purchases put in twice by their order ids: they are there once."""
+    retail = Retail(spark, folder)
+    bought = experiment.campaign_purchases(
+        retail.campaign, retail.promotions, retail.products, CAMPAIGN_STORE
+    )
+    bought = store(bought, "purchases")
+    once = experiment.upsert_lines(retail.transactions, bought)
+    return experiment.upsert_lines(once, bought)
+
+
 # --- scoring and reports -----------------------------------------------------------------
 
 
@@ -510,6 +525,49 @@ def export_saved_targets(spark: SparkSession, folder: str) -> DataFrame:
     return _export(spark, folder, path)
 
 
+@query
+def published_list(spark: SparkSession, folder: str) -> DataFrame:
+    """The list published twice, the older one in file order, and the current one read back."""
+    rows, root = _scoring(spark, folder).rows, new_path(spark, "published")
+    publish.publish(rows.limit(1), root, label="trial")
+    publish.publish(value.by_profit(rows), root, label="list")
+    return value.by_profit(publish.read_published(spark, root, check=True))
+
+
+@query
+def checked_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and rejected lines of the promotions and purchase events written as CSV, where every
+    event of one kind of day has a quantity that is no number."""
+    retail, source = Retail(spark, folder), new_path(spark, "lines")
+    bad = F.dayofmonth("datetime") == BAD_DAY
+    lines = retail.purchases_subday.select(
+        "datetime",
+        F.lit("P").alias("product_id"),
+        "price",
+        F.when(bad, "many").otherwise(F.col("qty").cast("string")).alias("qty"),
+        F.when(F.dayofmonth("datetime") == BAD_DAY + 1, F.lit(None))
+        .otherwise(F.col("customer_id"))
+        .alias("customer_id"),
+        "promotion_id",
+        F.lit("S").alias("store_id"),
+        "po_id",
+    )
+    sinks.write_list(lines, f"{source}/transactions.csv")
+    sinks.write_list(retail.promotions, f"{source}/promotions.csv")
+    return catalog.reject_summary(
+        {
+            name: catalog.read_checked(
+                spark,
+                f"{source}/{name}.csv",
+                catalog.SCHEMAS[name],
+                limit=0.5,
+                required=["customer_id"] if name == "transactions" else ["promotion_id"],
+            )
+            for name in ("transactions", "promotions")
+        }
+    )
+
+
 @query
 def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """The whole batch job over a catalog: CSV tables with the fact as Parquet in, one sorted
@@ -640,6 +698,29 @@ def budget_efficiency(spark: SparkSession, folder: str) -> DataFrame:
     return policies.policy_report(scoring.rows, masks, scoring.terms[0])
 
 
+def _allocated(spark: SparkSession, folder: str) -> DataFrame:
+    scoring = _scoring(spark, folder)
+    # A quarter of the discounts and costs, so that several promotions pay.
+    terms = [
+        replace(t, discount_rate=t.discount_rate * 0.25, campaign_cost=t.campaign_cost * 0.25)
+        for t in _terms(Retail(spark, folder), PROMOTIONS)
+    ]
+    people = store(allocation.offers(scoring.scored, terms), "offers")
+    free = allocation.price_of_money(people, 1 << 62)[1]
+    return allocation.allocate(people, free * BUDGET_PERCENT // 100)
+
+
+@query
+def budget_allocation(spark: SparkSession, folder: str) -> DataFrame:
+    """One of four promotions per customer at most, for part of what no limit would spend."""
+    return _allocated(spark, folder)
+
+
+@query
+def budget_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return allocation.summary(_allocated(spark, folder))
+
+
 @query
 def category_buyers(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)

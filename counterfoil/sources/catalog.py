@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from counterfoil.sources.storage import local_table, store
+
 SCHEMAS: dict[str, str] = {
     "customers": "customer_id string, customer_taxonomies string",
     "products": "product_id string, price double, cogs double, product_taxonomies string",
@@ -25,6 +29,15 @@ SCHEMAS: dict[str, str] = {
         "bought_after_promo int"
     ),
 }
+#: Columns without which a row of a table says nothing.
+KEYS: dict[str, list[str]] = {
+    "customers": ["customer_id"],
+    "products": ["product_id", "price"],
+    "stores": ["store_id"],
+    "promotions": ["promotion_id", "product_id"],
+    "transactions": ["datetime", "product_id", "price", "qty"],
+    "campaign": ["customer_id", "promotion_id", "is_treatment"],
+}
 TRUTH_SCHEMA = "customer_id string, customer_taxonomies string, true_uplift_segment string"
 
 
@@ -62,6 +75,110 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
     return reader.schema(in_file_order).format(fmt).load(path).select(*declared.names)
 
 
+REJECTED = "rejected_line"
+
+
+class TooManyRejects(ValueError):
+    """More lines of a table are malformed than the job accepts."""
+
+
+@dataclass(frozen=True)
+class Checked:
+    """A table's good rows, and the lines that do not parse, as they stand in the file."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    n_rows: int
+    n_rejected: int
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    limit: float = 0.01,
+    required: Sequence[str] = (),
+) -> Checked:
+    """Read a CSV table, malformed lines apart from good ones.
+
+    A line is malformed if a value does not parse as the declared type, if it has another number
+    of fields than the header, or if a ``required`` column is empty. ``rejects`` has the line and
+    the file it is from. Beyond ``limit``, a share of all lines below 1 or else a number of lines,
+    the job stops. The files are parsed once, into shared storage; counts come from there.
+    """
+    declared = T.StructType.fromDDL(schema)
+    header = _csv_header(spark, path, declared)
+    by_name = {f.name: f for f in declared}
+    in_file_order = T.StructType([by_name.get(f.name, f) for f in header])
+    whole = T.StructType([*in_file_order, T.StructField(REJECTED, T.StringType())])
+    parsed = (
+        spark.read.schema(whole)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .csv(path)
+    )
+    empty = reduce(Column.__or__, [F.col(c).isNull() for c in required], F.lit(False))
+    names = in_file_order.names
+    line = F.when(
+        F.col(REJECTED).isNotNull() | empty,
+        F.coalesce(REJECTED, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names]))),
+    )
+    # All columns are needed to tell a malformed line, so they are parsed and kept together.
+    kept = store(
+        parsed.select(
+            *declared.names, line.alias(REJECTED), F.col("_metadata.file_path").alias("file")
+        ),
+        "checked",
+    )
+    bad = F.col(REJECTED).isNotNull()
+    total, rejected = kept.agg(F.count(F.lit(1)), F.count(REJECTED)).first()
+    most = limit * total if limit < 1 else limit
+    if rejected > most:
+        raise TooManyRejects(f"{path}: {rejected} of {total} lines are malformed")
+    return Checked(
+        kept.filter(~bad).select(*declared.names),
+        kept.filter(bad).select("file", REJECTED),
+        total - rejected,
+        rejected,
+    )
+
+
+def _csv_header(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
+    try:
+        present = spark.read.option("header", True).csv(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingInput(f"table not found: {path}") from error
+        raise
+    absent = [f.name for f in declared if f.name not in present.names]
+    if absent:
+        raise MissingInput(f"{path}: missing columns {absent}")
+    return present
+
+
+def reject_summary(tables: Mapping[str, Checked]) -> DataFrame:
+    """Good and rejected lines per table."""
+    session = next(iter(tables.values())).rows.sparkSession
+    counts = [(name, t.n_rows, t.n_rejected) for name, t in sorted(tables.items())]
+    schema = "table_name string, n_rows bigint, n_rejected bigint"
+    return local_table(session, counts, T.StructType.fromDDL(schema))
+
+
+def load_checked(
+    spark: SparkSession,
+    data_dir: str,
+    limit: float = 0.01,
+    files: Mapping[str, str] | None = None,
+) -> dict[str, Checked]:
+    """``load_catalog`` for CSV files that may hold malformed lines; ids must not be empty."""
+    names = {table: f"{table}.csv" for table in SCHEMAS} | dict(files or {})
+    return {
+        table: read_checked(spark, f"{data_dir.rstrip('/')}/{names[table]}", schema, limit, KEYS[table])
+        for table, schema in SCHEMAS.items()
+    }
+
+
 def load_catalog(
     spark: SparkSession,
     data_dir: str,

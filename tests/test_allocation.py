@@ -1,0 +1,110 @@
+"""One promotion per customer within a budget, against plain searches."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from counterfoil.operators import allocation
+from counterfoil.operators.allocation import GRID
+from counterfoil.operators.value import Terms
+
+SCHEMA = "customer_id bigint, offers array<struct<promotion_id: string, profit: bigint, spend: bigint>>"
+
+
+def people(seed, count=200, kinds=None):
+    draw = random.Random(seed)
+    menus = [
+        sorted((f"P{k}", draw.randint(1, 900), draw.randint(1, 500)) for k in range(draw.randint(0, 4)))
+        for _ in range(kinds or count)
+    ]
+    return [(i, menus[i % len(menus)]) for i in range(count)]
+
+
+def choose(menu, price):
+    good = [(p * GRID - s * price, -s, name, p, s) for name, p, s in menu]
+    good = [g for g in good if g[0] > 0]
+    best = max(good, key=lambda g: (g[0], g[1]), default=None)
+    for g in good:  # of equally good and cheap ones the smallest id
+        if g[:2] == best[:2]:
+            return g
+    return None
+
+
+def spent(rows, price):
+    return sum(g[4] for g in (choose(menu, price) for _, menu in rows) if g)
+
+
+def plain(rows, budget):
+    low, high = 0, 1 << 40
+    if spent(rows, 0) <= budget:
+        return {i: choose(m, 0)[2:] for i, m in rows if choose(m, 0)}
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (low, mid) if spent(rows, mid) <= budget else (mid, high)
+    out, left = {}, budget - spent(rows, high)
+    lasts = True
+    for i, menu in sorted(rows):
+        now, more = choose(menu, high), choose(menu, high - 1)
+        extra = (more[4] if more else 0) - (now[4] if now else 0)
+        if extra > 0:
+            lasts = lasts and extra <= left
+            if lasts:
+                left -= extra
+                now = more
+        if now:
+            out[i] = now[2:]
+    return out
+
+
+def greedy_bound(rows, budget):
+    """The most profit with parts of customers allowed, and the largest single step."""
+    steps = []
+    for _, menu in rows:
+        at, options = (0, 0), [(s, p) for _, p, s in menu]
+        while True:
+            up = [((p - at[1]) / (s - at[0]), s, p) for s, p in options if s > at[0] and p > at[1]]
+            if not up:
+                break
+            ratio, s, p = max(up)
+            steps.append((ratio, s - at[0], p - at[1]))
+            at = (s, p)
+    total, left = 0.0, budget
+    for ratio, s, p in sorted(steps, reverse=True):
+        part = min(1, left / s)
+        total, left = total + part * p, left - part * s
+    return total, max((p for _, _, p in steps), default=0)
+
+
+@pytest.mark.parametrize("seed, kinds, share", [(1, None, 0.3), (2, 5, 0.5), (3, 1, 0.37), (4, 40, 0.02), (5, None, 2.0), (6, 3, 0.0)])
+def test_equal_to_a_plain_search(spark, seed, kinds, share):
+    rows = people(seed, kinds=kinds)
+    budget = int(share * spent(rows, 0))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+    got = {r.customer_id: (r.promotion_id, r.profit, r.spend) for r in allocation.allocate(df, budget).collect()}
+    assert got == plain(rows, budget)
+    assert sum(s for _, _, s in got.values()) <= budget
+    most, step = greedy_bound(rows, budget)
+    assert most - step <= sum(p for _, p, _ in got.values()) <= most + 1e-6
+
+
+def test_free_offers_are_taken_and_empty_menus_are_not(spark):
+    rows = [(1, [("A", 5, 0)]), (2, []), (3, [("B", 100, 50), ("C", 60, 10)]), (4, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for budget, want in ((0, {1: "A"}), (10, {1: "A", 3: "C"}), (49, {1: "A", 3: "C"}), (50, {1: "A", 3: "B"})):
+        assert {r.customer_id: r.promotion_id for r in allocation.allocate(df, budget).collect()} == want
+    assert not allocation.allocate(df.limit(0), 100).collect()
+
+
+def test_offers_in_cents(spark):
+    terms = [Terms("P2", 100.0, 60.0, 0.2, 0.5), Terms("P1", 10.0, 2.0, 0.1, 0.1), Terms("P3", 10.0, 9.9, 0.9, 5.0)]
+    rows = spark.createDataFrame([(1, 0.6, 0.5), (None, 0.6, 0.5)], "customer_id int, p_treatment double, uplift double")
+    (r,) = allocation.offers(rows, terms).collect()
+    # 0.5 * 8 - 1 * 0.6 - 0.1 = 3.30 and 0.5 * 40 - 20 * 0.6 - 0.5 = 7.50
+    assert [tuple(o) for o in r.offers] == [("P1", 330, 70), ("P2", 750, 1250)]
+
+
+def test_the_assignment_is_a_narrow_map_but_for_the_margin(spark):
+    df = spark.createDataFrame(people(7), SCHEMA)
+    plan = df.select(allocation.choice(F.lit(5)).alias("o"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
