@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words, as bytes and as the pattern of a word.
@@ -39,6 +39,32 @@ def fold(id_column: str, folds: int) -> Column:
     return F.coalesce(crc % F.lit(folds), F.lit(0))
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with more underscores in front if a column has that name already."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def positions(rows: DataFrame, name: str = "place") -> DataFrame:
+    """Dense positions 0, 1, 2... for the rows of a stored table, by file and place in it.
+
+    Files are fixed once written, so a task that runs again numbers its rows alike; those of a
+    sorted table are in its order. The only global step has one row per file.
+    """
+    file, at, first = (unused(c, rows) for c in ("__file", "__at", "__first"))
+    placed = rows.select(
+        "*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(at)
+    )
+    files = placed.groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    begins = files.select(file, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(first))
+    return placed.join(F.broadcast(begins), file).select(
+        *[F.col(f"`{c}`") for c in rows.columns], (F.col(first) + F.col(at)).alias(name)
+    )
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join many rows of ``left`` per key with at most one of ``right`` per key.
 
@@ -46,25 +72,26 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     dealt out over several salts; their right rows are repeated once per salt. All other keys
     are small by definition. ``left`` is read twice, so pass a stored table or a scan.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    rows_, parts_, salt_ = (unused(c, left, right) for c in ("__rows", "__parts", "__salt"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias(rows_))
     total = left.count()
     least = max(-(-total // HOT_SHARE), HOT_ROWS)
     hot = (
-        counts.filter(F.col("__rows") >= least)
-        .select(F.col(key), F.ceil(F.col("__rows") / F.lit(least)).cast("int").alias("__parts"))
+        counts.filter(F.col(rows_) >= least)
+        .select(F.col(key), F.ceil(F.col(rows_) / F.lit(least)).cast("int").alias(parts_))
         .filter(F.col(key).isNotNull())
     )
     rows = hot.collect()
     if not rows:
         return left.join(right, key, how)
     hot = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
-    parts = F.coalesce(F.col("__parts"), F.lit(1))
+    parts = F.coalesce(F.col(parts_), F.lit(1))
     dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), parts).cast("int")
-    one = left.join(hot, key, "left").withColumn("__salt", dealt).drop("__parts")
+    one = left.join(hot, key, "left").withColumn(salt_, dealt).drop(parts_)
     many = right.join(hot, key, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), parts - 1))
+        salt_, F.explode(F.sequence(F.lit(0), parts - 1))
     )
-    return one.join(many.drop("__parts"), [key, "__salt"], how).drop("__salt")
+    return one.join(many.drop(parts_), [key, salt_], how).drop(salt_)
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,9 @@ a seeded order until its words are reached, so the error is at most half a docum
 
 The running sum over a source never meets in one task: documents fall into cells by the first
 digits of their hash, cells are summed, and only the one cell per source in which the fraction
-ends is ordered by itself. All steps are DataFrame functions.
+ends is ordered by itself, with repeated rows summed before. Where the fraction ends among rows of
+one id and text, a hash of the whole row decides in the same way, and of rows that are alike in
+every column as many as are wanted. All steps are DataFrame functions.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import WORD, salted_join
+from counterfoil.llm.common import WORD, positions, salted_join
 from counterfoil.sources.storage import store
 
+#: Copies of one row that are written out together.
+PORTION = 10_000
 #: Hexadecimal digits of a document's hash that make its cell: 4,096 cells per source.
 CELL_DIGITS = 3
 
@@ -35,40 +39,43 @@ def source_key(source: Column) -> Column:
 
 
 def cyclic_weights(sources: DataFrame, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
-    """Weights in turn by the code points of ``source``, null last. One row per source."""
-    place = F.row_number().over(Window.orderBy("source")) - 1
+    """Weights in turn by the code points of ``source``, null last. One row per source.
+
+    Sources are numbered by their positions in a sorted table, so there may be any number.
+    """
+    ordered = store(sources.select("source", "source_size").orderBy("source"), "mix-order")
     kinds = F.array(*[F.lit(float(w)) for w in cycle])
-    return sources.select(
-        "source", "source_size", kinds[place % len(cycle)].alias("weight")
-    )
+    at = (F.col("place") % len(cycle)).cast("int")
+    return positions(ordered).select("source", "source_size", kinds[at].alias("weight"))
 
 
 def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame:
     """Add ``target`` to (source, source_size, weight).
 
-    Clamping is repeated until no target is above its cap. Each round clamps at least one
-    source; the driver sees three sums a round. A budget beyond all caps gives every cap.
-    Sources without words, or with weight zero while others have some, get zero.
+    Clamping is repeated until no target is above its cap. The words per unit of weight only grow
+    from round to round, so the sources clamped so far are those above their caps at the last one;
+    each round clamps at least one source more, and the driver sees four sums a round. A budget
+    beyond all caps gives every cap. Sources without words, or with weight zero while others have
+    some, get zero.
     """
     cap = F.col("source_size") * F.lit(float(max_epochs))
-    level = None  # words per unit of weight
-    capped = F.lit(False)
+    capped, clamped = F.lit(False), 0
     while True:
-        total, fixed, weight, clamped = sources.agg(
+        total, fixed, weight = sources.agg(
             F.sum(F.col("source_size")),
             F.sum(F.when(capped, cap).otherwise(0.0)),
             F.sum(F.when(capped, 0.0).otherwise(F.col("weight"))),
-            F.sum(capped.cast("int")),
         ).first()
         if not weight:
             target = F.when(capped, cap).otherwise(0.0)
             break
-        level = (share * total - fixed) / weight
+        level = (share * total - fixed) / weight  # words per unit of weight
         above = capped | (F.col("weight") * F.lit(level) > cap)
-        target = F.when(capped, cap).otherwise(F.col("weight") * F.lit(level))
-        if sources.agg(F.sum(above.cast("int"))).first()[0] == clamped:
+        now = sources.agg(F.sum(above.cast("int"))).first()[0]
+        if now == clamped:
+            target = F.when(capped, cap).otherwise(F.col("weight") * F.lit(level))
             break
-        capped = above
+        capped, clamped = F.col("weight") * F.lit(level) > cap, now
     return sources.withColumn("target", target)
 
 
@@ -81,6 +88,56 @@ def drawn(id_column: str, text_column: str, seed: int) -> Column:
     )
 
 
+def fraction_ends(rows: DataFrame, rests: DataFrame) -> DataFrame:
+    """Where each source's ``rest`` ends among its rows in the order of ``draw``.
+
+    ``rows`` (stored) has (source, draw, size), ``rests`` (source, rest). A row is taken if half of
+    it lies before the end: nearer with it than without. The result has, per source, ``last``: rows
+    with a draw up to it are all taken, and ``tie`` and ``tie_taken``: so many of the rows with
+    just that draw, null if no draw is taken in part.
+    """
+    rows = rows.withColumn("cell", F.substring("draw", 1, CELL_DIGITS))
+    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    # A source has at most 16 ** CELL_DIGITS cells, whatever its number of documents.
+    to_here = F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell"))
+    ends = store(
+        cells.withColumn("before", to_here - F.col("cell_size"))
+        .join(rests.select("source", "rest"), "source")
+        .filter("rest >= before AND rest < before + cell_size")
+        .select("source", "cell", "before", "rest"),
+        "mix-ends",
+    )
+    # Only the cell in which the fraction ends is put in order, one row per draw.
+    alike = (
+        rows.join(F.broadcast(ends) if _few(ends) else ends, ["source", "cell"])
+        .groupBy("source", "draw", "size", "before", "rest")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    earlier = Window.partitionBy("source").orderBy("draw", "size").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    words = F.col("n") * F.col("size")
+    left = F.col("rest") - F.col("before") - F.coalesce(F.sum(words).over(earlier), F.lit(0))
+    fits = F.when(F.col("size") > 0, F.floor(left / F.col("size") + 0.5)).otherwise(
+        F.when(left >= 0, F.col("n")).otherwise(0)
+    )
+    told = alike.withColumn("fits", F.greatest(F.least(fits, F.col("n")), F.lit(0)))
+    partly = (F.col("fits") > 0) & (F.col("fits") < F.col("n"))
+    within = told.groupBy("source").agg(
+        F.max(F.when(F.col("fits") == F.col("n"), F.col("draw"))).alias("last"),
+        F.max(F.when(partly, F.col("draw"))).alias("tie"),
+        F.max(F.when(partly, F.col("fits"))).alias("tie_taken"),
+    )
+    # Without an end the fraction is the whole source, up to rounding.
+    last = F.coalesce("last", "cell", F.when(F.col("rest") > 0, "g").otherwise(""))
+    return (
+        rests.select("source", "rest")
+        .join(ends.select("source", "cell"), "source", "left")
+        .join(within, "source", "left")
+        .select("source", last.alias("last"), "tie", "tie_taken")
+    )
+
+
 def source_plan(
     docs: DataFrame,
     weights: DataFrame | None,
@@ -91,22 +148,19 @@ def source_plan(
     text_column: str,
     source_column: str,
 ) -> DataFrame:
-    """One row per source: source_size, target, whole repetitions, and ``cutoff``.
+    """One row per source: source_size, target, whole repetitions, and what ``fraction_ends`` says.
 
-    A document gets one repetition more if its draw is not above the cutoff.
+    A document gets one repetition more if its draw is not above ``last``.
     """
     rows = store(
         docs.select(
             source_key(F.col(source_column)).alias("source"),
             word_count(F.col(text_column)).alias("size"),
             drawn(id_column, text_column, seed).alias("draw"),
-        ).withColumn("cell", F.substring("draw", 1, CELL_DIGITS)),
+        ),
         "mix-sizes",
     )
-    cells = store(
-        rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size")), "mix-cells"
-    )
-    sources = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
         sources = cyclic_weights(sources)
     else:
@@ -121,35 +175,7 @@ def source_plan(
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
         .drop("weight")
     )
-    # A source has at most 16 ** CELL_DIGITS cells, whatever its number of documents.
-    to_here = F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell"))
-    ends = store(
-        cells.withColumn("before", to_here - F.col("cell_size"))
-        .join(sources.select("source", "rest"), "source")
-        .filter("rest >= before AND rest < before + cell_size")
-        .select("source", "cell", "before", "rest"),
-        "mix-ends",
-    )
-    # Only the cell in which the fraction ends is put in order.
-    in_order = Window.partitionBy("source").orderBy("draw", "size").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    # Half of the document lies before the end: nearer with it than without.
-    middle = F.col("before") + F.sum("size").over(in_order) - F.col("size") / 2
-    last = (
-        rows.join(F.broadcast(ends) if _few(ends) else ends, ["source", "cell"])
-        .withColumn("taken", middle <= F.col("rest"))
-        .filter("taken")
-        .groupBy("source")
-        .agg(F.max("draw").alias("last"))
-    )
-    # Without an end the fraction is the whole source, up to rounding.
-    cutoff = F.coalesce("last", "cell", F.when(F.col("rest") > 0, "g").otherwise(""))
-    plan = (
-        sources.join(ends.select("source", "cell"), "source", "left")
-        .join(last, "source", "left")
-        .select("source", "source_size", "target", "whole", cutoff.alias("cutoff"))
-    )
+    plan = sources.drop("rest").join(fraction_ends(rows, sources), "source")
     return store(plan, "mix-plan")
 
 
@@ -168,13 +194,13 @@ def with_repeats(
     text_column: str = "text",
     source_column: str = "source",
 ) -> DataFrame:
-    """(row, draw, source_size, target, repeats) for every input row.
+    """(row, source_size, target, repeats) for every input row.
 
     ``weights`` has (source, weight), one row per source, null for the null source; without it
     weights are 5, 2, 1 in turn. A null text has size 0; empty texts may be taken or not, they
-    add no words. Documents with equal id and text are taken alike. Null sources form one
-    source. An empty table gives an empty result. The result depends on the rows and the seed
-    only, not on their order or partitioning.
+    add no words. Rows that repeat, in part or in whole, count one by one, so a source of copies
+    meets its target like any other. Null sources form one source. An empty table gives an empty
+    result. The result depends on the rows and the seed only, not on their order or partitioning.
     """
     plan = source_plan(
         docs, weights, share, max_epochs, seed, id_column, text_column, source_column
@@ -186,12 +212,58 @@ def with_repeats(
     )
     # One row per source: few sources are broadcast, many are joined with hot ones dealt out.
     joined = rows.join(F.broadcast(plan), "source") if _few(plan) else salted_join(rows, plan, "source")
-    repeats = F.col("whole") + (F.col("draw") <= F.col("cutoff")).cast("bigint")
-    return joined.select(
-        "row",
-        "source_size",
-        "target",
-        F.least(repeats, F.lit(math.ceil(max_epochs))).cast("int").alias("repeats"),
+    once_more = (F.col("draw") <= F.col("last")).cast("bigint")
+    out = joined.select("row", "source_size", "target", "whole", once_more.alias("more"))
+    if not plan.filter("tie IS NOT NULL").isEmpty():
+        apart = F.coalesce(F.col("draw") == F.col("tie"), F.lit(False))
+        decided = joined.filter(~apart).select(
+            "row", "source_size", "target", "whole", once_more.alias("more")
+        )
+        out = decided.unionByName(_tied(joined.filter(apart)))
+    repeats = F.least(F.col("whole") + F.col("more"), F.lit(math.ceil(max_epochs)))
+    return out.select("row", "source_size", "target", repeats.cast("int").alias("repeats"))
+
+
+def _tied(rows: DataFrame) -> DataFrame:
+    """(row, source_size, target, whole, more) of rows of which a source takes ``tie_taken``.
+
+    They have the same id and text. A hash of all columns puts them in order like ``draw`` does for
+    others; rows that share it are alike, are summed to one with their number, and dealt out again
+    in portions over all tasks.
+    """
+    kept = ["source", "source_size", "target", "whole", "tie_taken"]
+    alike = store(
+        rows.select("row", F.md5(F.to_json("row")).alias("draw"), *kept)
+        .groupBy("draw", *kept)
+        .agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("n")),
+        "mix-alike",
+    )
+    rests = alike.groupBy("source").agg(F.max("tie_taken").cast("double").alias("rest"))
+    each = alike.select("source", "draw", F.explode(_portions("n")).alias("p")).select(
+        "source", "draw", F.explode(F.sequence("p.first", "p.last"))
+    )
+    one = store(each.select("source", "draw", F.lit(1).cast("bigint").alias("size")), "mix-ties")
+    ends = fraction_ends(one, rests).withColumnRenamed("tie_taken", "taken")
+    told = alike.drop("tie_taken").join(ends, "source").withColumn(
+        "n_more",
+        F.when(F.col("draw") <= F.col("last"), F.col("n"))
+        .when(F.col("draw") == F.col("tie"), F.col("taken"))
+        .otherwise(0),
+    )
+    spread = told.select(
+        "row", "source_size", "target", "whole", "n_more", F.explode(_portions("n")).alias("p")
+    ).repartition("p")
+    kept = ["row", "source_size", "target", "whole"]
+    one_by_one = spread.select(*kept, "n_more", F.explode(F.sequence("p.first", "p.last")).alias("i"))
+    return one_by_one.select(*kept, (F.col("i") <= F.col("n_more")).cast("bigint").alias("more"))
+
+
+def _portions(count: str) -> Column:
+    """1..n in stretches that a task can write out."""
+    starts = F.sequence(F.lit(1).cast("bigint"), F.col(count), F.lit(PORTION).cast("bigint"))
+    return F.transform(
+        starts,
+        lambda a: F.struct(a.alias("first"), F.least(a + PORTION - 1, F.col(count)).alias("last")),
     )
 
 

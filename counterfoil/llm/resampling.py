@@ -20,7 +20,6 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from counterfoil.llm.common import LOWER, joined_bytes, pieces, whole_text
+from counterfoil.llm.common import LOWER, joined_bytes, pieces, positions, whole_text
 from counterfoil.sources.storage import local_table, store
 
 BUCKETS = 10_000
@@ -193,26 +192,6 @@ def digit(fields: list[Field], low: int, high: int) -> Column:
     return out.cast("int")
 
 
-def positions(rows: DataFrame) -> DataFrame:
-    """Dense positions 0, 1, 2... for the rows of a stored table, by file and place in it.
-
-    Files are fixed once written, so a task that runs again numbers its rows alike. There is one
-    number per file on the driver.
-    """
-    placed = rows.select("*", "_metadata.file_name", "_metadata.row_index")
-    files = placed.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).orderBy("file_name")
-    counts = files.toArrow().to_pydict()
-    begins = [0, *accumulate(counts["n"])]
-    first = local_table(
-        rows.sparkSession,
-        list(zip(counts["file_name"], begins)),
-        T.StructType.fromDDL("file_name string, first bigint"),
-    )
-    return placed.join(F.broadcast(first), "file_name").select(
-        *rows.columns, (F.col("first") + F.col("row_index")).alias("place")
-    )
-
-
 def run_starts(counted: DataFrame, kinds: int) -> DataFrame:
     """(block, digit, first): the position of the first row of a block's run of a digit.
 
