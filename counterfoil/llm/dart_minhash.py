@@ -435,31 +435,31 @@ def keep_one(
     )
     copies = sketches.groupBy(F.col("node").alias("__node"), F.col("id").alias("__id"))
     repeated = copies.agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
-    repeated = repeated.withColumnsRenamed({"__node": "__node_of", "__id": "__id_of"})
-    same = F.expr("__node = __node_of AND __id <=> __id_of")
+    repeated = repeated.withColumnsRenamed({"__node": "node", "__id": "id"})
+    same = F.expr("__node = node AND __id <=> id")
     kept = store(
         kept.join(repeated, same, "left").select(
             "__node", "__id", F.col("__rows").isNotNull().alias("__several")
         ),
         "kept-rows",
     )
-    text = whole_text(text_column).cast("binary")
-    keyed = docs.withColumn("__node_of", node_of(text))
-    same = F.expr(f"__node_of = __node AND `{id_column}` <=> __id")
-    single = keyed.join(kept.filter("NOT __several"), same, "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+    # The row stays together, so that no column's name can clash with those used here.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        node_of(whole_text(text_column).cast("binary")).alias("node"),
+        F.col(id_column).alias("id"),
     )
+    single = keyed.join(kept.filter("NOT __several"), same, "left_semi").select("row.*")
     several = kept.filter("__several")
     if several.isEmpty():
         return single
     plain = [
-        F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")
+        F.col(f"row.`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")
     ]
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     chosen = (
         keyed.join(several, same, "left_semi")
-        .groupBy("__node_of")
-        .agg(F.max_by(whole, F.struct(*plain)).alias("__row"))
-        .select("__row.*")
+        .groupBy("node")
+        .agg(F.max_by("row", F.struct(*plain)).alias("row"))
+        .select("row.*")
     )
     return single.unionAll(chosen)

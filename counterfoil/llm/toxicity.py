@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from counterfoil.llm.common import pieces, whole_text
+from counterfoil.llm.common import pieces, unused, whole_text
 from counterfoil.sources.storage import store
 
 #: What a sign may stand for besides itself (fixed values).
@@ -462,5 +462,6 @@ def reject(
     model = fit(docs, sample, text_column)
     if not model.weights:
         return docs
-    judged = with_evidence(docs, model, "__evidence", text_column)
-    return judged.filter(probability(model, "__evidence") < threshold).drop("__evidence")
+    name = unused("__evidence", docs)
+    judged = with_evidence(docs, model, name, text_column)
+    return judged.filter(probability(model, name) < threshold).drop(name)
