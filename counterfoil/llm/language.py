@@ -6,8 +6,10 @@ Spark. The regression is trained with the follow-the-regularised-leader rule per
 with L1 and L2 penalties, on at most ``max_labelled`` labelled rows chosen by a hash of their
 id; a tenth of them is held back to fit one temperature that divides the logits.
 
-The model is a matrix of ``BUCKETS`` times the number of languages, mostly zero, and is
-broadcast. The number of languages must be small enough for that (``MAX_LANGUAGES``).
+Every language keeps a quota of the sample, so a rare one is learned however large the table is.
+
+The model is a matrix of buckets times languages, mostly zero, and is broadcast. It holds about
+``MODEL_CELLS`` numbers at most: with more languages there are fewer buckets.
 """
 
 from __future__ import annotations
@@ -19,20 +21,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.llm.common import mix, pieces, whole_text
-from counterfoil.sources.storage import store
+from counterfoil.sources.storage import local_table, store
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 500
+LEAST_BUCKETS = 1 << 8
+MODEL_CELLS = 1 << 23
+#: Labelled rows that a language keeps at least, as a part of an even share, and in number.
+QUOTA_SHARE, LEAST_QUOTA = 4, 20
 #: Share of the labelled sample that fits the temperature only, one in so many.
 CALIBRATION = 10
 UNKNOWN = "und"
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.3, 0.05, 4
 
 
-def n_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def bucket_count(languages: int) -> int:
+    """Buckets for so many languages: a power of two."""
+    count = BUCKETS
+    while count > LEAST_BUCKETS and count * languages > MODEL_CELLS:
+        count //= 2
+    return count
+
+
+def n_grams(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, count) of all n-grams, sorted; each text is lower-cased and padded."""
     texts = [t.lower() for t in texts]
     joined = "\0" + "\0".join(texts) + "\0" if texts else ""
@@ -42,19 +56,19 @@ def n_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points[ends[: len(points)]] = 0x20
     row = np.repeat(np.arange(len(texts)), np.diff(ends))
     last = ends[row + 1]
-    out = np.zeros(len(texts) * BUCKETS, np.int64)
+    out = np.zeros(len(texts) * buckets, np.int64)
     code = np.zeros(len(row), np.uint64)
     for n in range(1, max(ORDERS) + 1):
         code = code[: len(points) - n + 1]
         code = code * np.uint64(0x110000) + points[n - 1 : n - 1 + len(code)]
         if n in ORDERS:
             at = np.flatnonzero(np.arange(len(code)) + (n - 1) <= last[: len(code)])
-            bucket = mix(code[at] + np.uint64(n)) % np.uint64(BUCKETS)
+            bucket = mix(code[at] + np.uint64(n)) % np.uint64(buckets)
             out += np.bincount(
-                row[at] * BUCKETS + bucket.astype(np.int64), minlength=len(out)
+                row[at] * buckets + bucket.astype(np.int64), minlength=len(out)
             )
     place = np.flatnonzero(out)
-    return place // BUCKETS, place % BUCKETS, out[place]
+    return place // buckets, place % buckets, out[place]
 
 
 def weighted(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -72,23 +86,23 @@ def text_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.R
                 yield piece.slice(start, 256)
 
 
-def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
+def document_frequencies(train: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, int]:
     """For every bucket the number of training texts that hold it, and their number."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, texts = np.zeros(BUCKETS, np.int64), 0
+        held, texts = np.zeros(buckets, np.int64), 0
         for group in text_groups(batches, "text"):
-            _, bucket, _ = n_grams(group["text"].to_pylist())
-            held += np.bincount(bucket, minlength=BUCKETS)
+            _, bucket, _ = n_grams(group["text"].to_pylist(), buckets)
+            held += np.bincount(bucket, minlength=buckets)
             texts += len(group)
         yield pa.RecordBatch.from_pydict(
-            {"bucket": np.arange(BUCKETS + 1, dtype=np.int32), "held": np.append(held, texts)}
+            {"bucket": np.arange(buckets + 1, dtype=np.int32), "held": np.append(held, texts)}
         )
 
     parts = train.select("text").mapInArrow(work, "bucket int, held bigint")
-    out = np.zeros(BUCKETS + 1, np.int64)
-    for r in parts.groupBy("bucket").agg(F.sum("held").alias("held")).toLocalIterator():
-        out[r.bucket] = r.held
+    told = parts.groupBy("bucket").agg(F.sum("held").alias("held")).toArrow()
+    out = np.zeros(buckets + 1, np.int64)
+    out[told["bucket"].to_numpy()] = told["held"].to_numpy()
     return out[:-1], int(out[-1])
 
 
@@ -128,7 +142,7 @@ class LanguageModel:
     temperature: float
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        row, bucket, count = n_grams(texts)
+        row, bucket, count = n_grams(texts, len(self.idf))
         value = weighted(row, bucket, count, self.idf)
         out = np.zeros((len(texts), len(self.languages)))
         for c in range(len(self.languages)):
@@ -158,15 +172,14 @@ def fit_temperature(logits: np.ndarray, wanted: np.ndarray) -> float:
 def _train(sample: pa.Table, languages: tuple[str, ...], idf: np.ndarray) -> LanguageModel:
     index = {name: i for i, name in enumerate(languages)}
     sample = sample.sort_by([("draw", "ascending"), ("lang", "ascending")])
-    wanted = np.array([index[x] for x in sample["lang"].to_pylist()])
-    rows = list(zip(sample["bucket"].to_pylist(), sample["count"].to_pylist(), strict=True))
+    wanted = np.array([index[x] for x in sample["lang"].to_pylist()], np.int64)
     examples = []
-    for bucket, count in rows:
-        bucket, count = np.array(bucket, np.int64), np.array(count, float)
-        value = weighted(np.zeros(len(bucket), np.int64), bucket, count, idf)
-        examples.append((np.append(bucket, BUCKETS), np.append(value, 1.0)))
+    for bucket, count in zip(sample["bucket"], sample["count"]):
+        bucket, count = (np.asarray(x.values) for x in (bucket, count))
+        value = weighted(np.zeros(len(bucket), np.int64), bucket, count.astype(float), idf)
+        examples.append((np.append(bucket, len(idf)), np.append(value, 1.0)))
     calibrates = np.arange(len(examples)) % CALIBRATION == CALIBRATION - 1
-    leader = Ftrl(BUCKETS + 1, len(languages))
+    leader = Ftrl(len(idf) + 1, len(languages))
     order = np.random.default_rng(7)
     learning = np.flatnonzero(~calibrates)
     for _ in range(EPOCHS):
@@ -180,25 +193,37 @@ def _train(sample: pa.Table, languages: tuple[str, ...], idf: np.ndarray) -> Lan
     return LanguageModel(languages, idf, weights, temperature)
 
 
+def sample_shares(rows: dict[str, int], most: int) -> dict[str, float]:
+    """For each language the share of its labelled rows that are learned from.
+
+    All take part alike, about ``most`` rows together, but a language keeps a quota or all it has:
+    so there are at most a fourth more, or ``LEAST_QUOTA`` rows for each language.
+    """
+    alike = min(1.0, most / max(1, sum(rows.values())))
+    quota = max(LEAST_QUOTA, most // (QUOTA_SHARE * max(1, len(rows))))
+    return {lang: max(alike, min(1.0, quota / n)) for lang, n in rows.items()}
+
+
 def fit(train: DataFrame, max_labelled: int = 4_000) -> LanguageModel | None:
     """Fit on (id, text, lang) without nulls; None without rows.
 
     Document frequencies and the list of languages come from all rows. The regression takes
-    all rows, or about ``max_labelled`` of them if there are more, by a hash of the id; only
-    their n-gram counts, not their texts, reach the one task that trains.
+    all rows, or about ``max_labelled`` of them by a hash of the id if there are more, see
+    ``sample_shares``. Only their n-gram counts, not their texts, reach the one task that trains,
+    and only the model the driver.
     """
-    languages = [r.lang for r in train.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if not languages:
+    told = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = {r.lang: r.n for r in told}
+    if not rows:
         return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = tuple(sorted(languages))
-    held, texts = document_frequencies(train)
+    languages = tuple(sorted(rows))
+    buckets = bucket_count(len(languages))
+    held, texts = document_frequencies(train, buckets)
     idf = np.log((1 + texts) / (1 + held)) + 1
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in text_groups(batches, "text"):
-            row, bucket, count = n_grams(group["text"].to_pylist())
+            row, bucket, count = n_grams(group["text"].to_pylist(), buckets)
             cut = np.searchsorted(row, np.arange(len(group) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -209,20 +234,32 @@ def fit(train: DataFrame, max_labelled: int = 4_000) -> LanguageModel | None:
                 }
             )
 
-    draw = F.xxhash64("id", F.md5("text"))
-    share = min(1.0, max_labelled / texts)
-    chosen = train.select(draw.alias("draw"), "lang", "text")
-    if share < 1:
-        chosen = chosen.filter(
-            F.pmod(F.xxhash64("draw"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) or 1)
+    def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            model = _train(pa.Table.from_batches(held), languages, idf)
+            packed = pa.array([model.weights.tobytes()], pa.binary())
+            yield pa.RecordBatch.from_pydict(
+                {"weights": packed, "temperature": pa.array([model.temperature])}
+            )
+
+    chosen = train.select(F.xxhash64("id", F.md5("text")).alias("draw"), "lang", "text")
+    shares = {k: v for k, v in sample_shares(rows, max_labelled).items() if v < 1}
+    if shares:
+        schema = T.StructType.fromDDL("lang string, least bigint")
+        cut = [(lang, max(1, int(share * (1 << 20)))) for lang, share in shares.items()]
+        limits = F.broadcast(local_table(train.sparkSession, cut, schema))
+        part = F.pmod(F.xxhash64("draw"), F.lit(1 << 20))
+        chosen = chosen.join(limits, "lang", "left").filter(
+            F.col("least").isNull() | (part < F.col("least"))
         )
-    sample = store(
-        chosen.mapInArrow(
-            features, "draw bigint, lang string, bucket array<int>, count array<int>"
-        ),
-        "language-sample",
-    ).toArrow()
-    return _train(sample, languages, idf)
+    counts = "draw bigint, lang string, bucket array<int>, count array<int>"
+    sample = store(chosen.select("draw", "lang", "text").mapInArrow(features, counts), "language-sample")
+    found = sample.repartition(1).mapInArrow(train_all, "weights binary, temperature double").first()
+    if found is None:  # the hash chose no row
+        return LanguageModel(languages, idf, np.zeros((buckets + 1, len(languages))), 1.0)
+    weights = np.frombuffer(found.weights).reshape(buckets + 1, len(languages))
+    return LanguageModel(languages, idf, weights, found.temperature)
 
 
 def identify(
@@ -238,7 +275,8 @@ def identify(
     ``learns`` tells, by the id column, which rows may be learned from; rows with null text or
     language are left out of training. A text that is null or has no letter gets ``und`` with
     score 0, and so does every text if there is nothing to learn from. Whole texts are read,
-    and rows that repeat are judged alike. Other columns are not read.
+    however long, and rows that repeat are judged alike. No rows give no rows. Other columns are
+    not read.
     """
     train = (
         docs.filter(learns)
