@@ -1,9 +1,11 @@
 """Toxicity of whole texts, with obfuscated words restored by a noisy-channel decoder.
 
-Restoring: a word with look-alike signs, stretched letters or separators between letters, and a
-run of single letters set apart by spaces, becomes a lattice of what each sign may stand for.
-The Viterbi path through the lattice weighs the channel's costs against a character trigram
-model, which Spark counts over all texts. Ordinary words have one path and are left alone.
+Restoring: a word with look-alike signs, doubled letters or separators between letters, one of
+look-alike signs alone, and a run of single letters set apart by spaces, becomes a lattice of what
+each sign may stand for. The Viterbi path through the lattice weighs the channel's costs against a
+character trigram model, which Spark counts over all texts, in any script. Words of different
+letters only have one path and are left alone; one with doubled letters counts as it is and as
+restored.
 
 Scoring: features are restored words and their beginnings. Those of which four in five
 texts are labelled toxic carry their log-odds; a text's evidence adds the best feature of each different
@@ -62,8 +64,16 @@ WHOLE, START = "w", "p"
 PREFIXES = (3, 4, 5, 6)
 MEMO_WORDS = 150_000
 
-_SPACED = re.compile(r"(?:^|\s)\S\s\S\s\S(?:\s|$)")
-_STRETCHED = re.compile(r"(.)\1\1")
+#: Stars that may stand for letters: so many in a row, so many in a word. With more, all of the
+#: run, or of the word, are mere decoration; a star costs 26 letters times the states before it.
+STAR_RUN, MOST_STARS = 6, 12
+
+_SPACED = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
+_DOUBLED = re.compile(r"([^\W_]|[@$!|+(<])\1")
+_STRETCHED = re.compile(r"([^\W\d_])\1")
+#: Signs alone that may hide a word: not digits and separators only, as in a telephone number.
+_SIGNS = re.compile(r"^(?=.*[@$!|+(<€£¥])(?=.*[^!+|.\-])[0-9@$!|+(<€£¥*.\-_]{3,}$")
+_STARS = re.compile(r"\*+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -91,6 +101,10 @@ def count_trigrams(texts: Sequence[str]) -> np.ndarray:
     """Counts of symbol triples, words set apart by a zero on both sides."""
     points = np.frombuffer("  ".join(["", *texts, ""]).encode("utf-32-le"), np.uint32)
     codes = _SYMBOLS[np.minimum(points, 0x250)]
+    beyond = np.flatnonzero(points >= 0x250)
+    if len(beyond):
+        kinds, which = np.unique(points[beyond], return_inverse=True)
+        codes[beyond] = np.array([symbol(chr(p).lower()) for p in kinds], np.int64)[which]
     triple = (codes[:-2] * ALPHABET + codes[1:-1]) * ALPHABET + codes[2:]
     triple = triple[(codes[1:-1] > 0) | ((codes[:-2] == 0) & (codes[2:] > 0))]
     return np.bincount(triple, minlength=ALPHABET**3)
@@ -135,23 +149,29 @@ class Restorer:
     def noisy(word: str) -> bool:
         """Whether the word, without signs around it, may hide another one."""
         core = word.strip(".,;:?\"'()[]{}!|&%#*$-_~ ")
+        if _SIGNS.match(word):
+            return True
         if len(core) < 2 or not _LETTER.search(core):
             return len(word) > 2 and bool(_LETTER.search(word)) and not word.isalpha()
         return not core.isalpha() or bool(_STRETCHED.search(core)) or word[0] in "@$!|+("
 
-    def options(self, word: str, i: int) -> list[tuple[str, float]]:
-        """What the sign at ``i`` may put out: a letter, nothing, or itself."""
+    def options(self, word: str, i: int, most: int = 1) -> list[tuple[str, float]]:
+        """What the sign at ``i`` may put out: a letter, nothing, or itself. It may be dropped as a
+        repetition if the ``most`` signs before it are the same."""
         char = word[i]
         out = []
+        again = i >= most and word[i - most : i] == char * most
         if char.isalpha():
             out.append((char, 0.0))
-            if i and word[i - 1] == char:
+            if again:
                 out.append(("", REPEATED))
             return out
         if char in LOOK_ALIKE:
             out += [(letter, SUBSTITUTED) for letter in LOOK_ALIKE[char]]
-            if i and word[i - 1] == char:
+            if again:
                 out.append(("", REPEATED))
+        if char == "\0":  # a star that stands for nothing
+            return [("", DROPPED)]
         if char in SEPARATORS or char.isspace():
             out.append(("", DROPPED))
         if char == "*":
@@ -163,14 +183,19 @@ class Restorer:
         out.append((" ", KEPT))
         return out
 
-    def restore(self, word: str) -> str:
-        """The likeliest letters behind a word; a space where a sign parts two words."""
+    def restore(self, word: str, most: int = 1) -> str:
+        """The likeliest letters behind a word; a space where a sign parts two words. Up to
+        ``most`` equal signs in a row are no repetition."""
         log_p = self.log_p
+        if "*" in word and (len(_STARS.sub("", word)) == 0 or word.count("*") > MOST_STARS):
+            word = word.replace("*", "\0")
+        elif "*" in word:
+            word = _STARS.sub(lambda run: run[0] if len(run[0]) <= STAR_RUN else "\0" * len(run[0]), word)
         # (last two symbols) -> (score, text so far as a linked list)
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i in range(len(word)):
             reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for letter, cost in self.options(word, i):
+            for letter, cost in self.options(word, i, most):
                 code = symbol(letter) if letter else 0
                 for (a, b), (score, text) in paths.items():
                     if not letter:
@@ -214,7 +239,10 @@ class Restorer:
         if not self.noisy(word):
             return [word.strip(".,;:?\"'()[]{}!|&%#*$-_~")]
         bare = "".join(c if c.isalpha() else " " for c in word).split()
-        return [*self.restore(word.rstrip("!.,;:?") or word).split(), *bare]
+        word = word.rstrip("!.,;:?") or word
+        # Of doubled signs both readings, once and twice.
+        twice = self.restore(word, 2).split() if _DOUBLED.search(word) else []
+        return [*self.restore(word).split(), *twice, *bare]
 
 
 def features(word: str) -> list[str]:
@@ -430,7 +458,9 @@ def classify(
 
     ``learns`` tells, by the id column, which labels may be learned from; null ids and labels
     are left out, and an id labelled both ways counts as toxic. Null and empty texts have no
-    evidence and get the score of that. Without labels of both classes every text gets the
+    evidence and get the score of that. Texts are read whole, however long; the time grows with
+    the length, as stars beyond ``STAR_RUN`` in a row or ``MOST_STARS`` in a word are not decoded.
+    No rows give no rows. Without labels of both classes every text gets the
     same score: 0.5 without any, else near the one class. Repeated rows are scored alike;
     other columns are not read.
     """
