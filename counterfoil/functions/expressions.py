@@ -101,6 +101,14 @@ def hash_percent(salt: str, key: Column) -> Column:
     return hash_modulo(salt, key, 100)
 
 
+def join_key(value: Column, row: Column) -> Column:
+    """``value`` as a key that depends on the row, for a side that may hold one literal value.
+
+    The optimizer folds a literal key away, and an equal join becomes a loop over all pairs.
+    """
+    return F.concat(value, F.substring(F.coalesce(row.cast("string"), F.lit("")), 1, 0))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that yields null, not an error, on a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

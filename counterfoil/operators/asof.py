@@ -171,8 +171,11 @@ def features_as_of(buckets: DataFrame, log: DataFrame, customers: DataFrame) ->
 def with_start(campaign: DataFrame, promotions: DataFrame) -> DataFrame:
     """The campaign log with the start of each row's promotion as its reference date; null where
     the promotion is unknown or has no start."""
-    starts = promotions.select("promotion_id", F.col("start_date").cast("date").alias(DATE))
-    dated = campaign.join(small_side(starts, bound=promotions), "promotion_id", "left")
+    starts = promotions.select(
+        F.col("promotion_id").alias("__offer"), F.col("start_date").cast("date").alias(DATE)
+    )
+    offered = E.join_key(F.col("promotion_id"), F.col("customer_id")) == F.col("__offer")
+    dated = campaign.join(small_side(starts, bound=promotions), offered, "left")
     return dated.select(*campaign.columns, DATE)
 
 

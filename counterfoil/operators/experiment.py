@@ -91,8 +91,9 @@ def response_label(
     answered = F.exists(
         "__days", lambda day: (day >= start) & (day < F.date_add(start, days))
     )
-    offers = small_side(offers, bound=promotions)
-    labelled = dispatch.join(offers, "promotion_id", "left").join(hits, key, "left")
+    offers = small_side(offers.withColumnRenamed("promotion_id", "__offer"), bound=promotions)
+    offered = E.join_key(F.col("promotion_id"), F.col("customer_id")) == F.col("__offer")
+    labelled = dispatch.join(offers, offered, "left").join(hits, key, "left")
     return labelled.select(
         *[dispatch[c] for c in dispatch.columns if c not in ("promotion_id", "customer_id")],
         "promotion_id",
@@ -211,12 +212,13 @@ def campaign_purchases(
     on the third day. Orders are named after campaign and customer.
     """
     offers = products.select("product_id", "price").join(small_side(promotions), "product_id")
-    offers = small_side(offers, bound=promotions)
+    offers = small_side(offers.withColumnRenamed("promotion_id", "__offer"), bound=promotions)
+    offered = E.join_key(F.col("promotion_id"), F.col("customer_id")) == F.col("__offer")
     treated = F.col("is_treatment") == 1
     reduced = E.round_half_even(F.col("price") - F.col("price") * F.col("discount"), 2)
     return (
         campaign.filter(F.col("bought_after_promo") == 1)
-        .join(offers, "promotion_id")
+        .join(offers, offered)
         .select(
             (
                 F.col("start_date").cast("timestamp_ntz")

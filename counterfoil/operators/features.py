@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -120,6 +121,45 @@ def spend_parts(
     )
 
 
+#: Labels that one aggregation sums side by side (``spend_wide``), and that are pivoted from long
+#: form at most (``spend_by``). Spend by still more labels stays long, as ``spend_parts`` has it.
+MOST_LABELS, MOST_PIVOTED = 200, 10_000
+
+
+class TooManyLabels(ValueError):
+    """A dimension has more labels than a table should have columns."""
+
+
+def label_names(labels: DataFrame, most: int = MOST_LABELS) -> list[str]:
+    """The labels, one row each, that get a column."""
+    rows = labels.filter(labels[0].isNotNull()).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise TooManyLabels(f"more than {most} labels of {labels.columns[0]}")
+    return sorted(row[0] for row in rows)
+
+
+def label_sums(units: Column, label: Column, names: Sequence[str]) -> list[Column]:
+    """Exact sums per label, and over all lines whatever their label, of one aggregation."""
+    each = [E.sum_units(F.when(label == name, units), f"spend{i}") for i, name in enumerate(names)]
+    return [part for parts in (*each, E.sum_units(units, "spend")) for part in parts]
+
+
+def label_parts(names: Sequence[str]) -> list[Column]:
+    """Add up sums of ``label_sums`` once more."""
+    each = [E.sum_parts(f"spend{i}") for i in range(len(names))]
+    return [part for parts in (*each, E.sum_parts("spend")) for part in parts]
+
+
+def spend_wide(sums: DataFrame, customers: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Spend per customer, one column per label, plus the total, from ``label_sums`` per customer."""
+    spend = lambda name: F.coalesce(E.from_parts(name, E.REVENUE_PLACES), F.lit(0.0))
+    return customers.select("customer_id").join(sums, "customer_id", "left").select(
+        "customer_id",
+        *[spend(f"spend{i}").alias(f"spend_{name}") for i, name in enumerate(names)],
+        spend("spend").alias(f"spend_{TOTAL}"),
+    )
+
+
 TOTAL = "total"
 
 
@@ -127,10 +167,9 @@ def spend_by(parts: DataFrame, customers: DataFrame, labels: DataFrame) -> DataF
     """Spend per customer, one column per label, plus the total.
 
     ``parts`` has (customer_id, label, revenue_high, revenue_low); a null label counts in the
-    total only. ``labels`` has the labels that get a column, one row each.
+    total only. ``labels`` has the labels that get a column, ``MOST_PIVOTED`` at most.
     """
-    names = [row[0] for row in labels.filter(labels[0].isNotNull()).collect()]
-    names = sorted(set(names))
+    names = label_names(labels, MOST_PIVOTED)
     # The total is one more label, told apart by a prefix.
     tagged = F.concat(F.lit("="), F.col("label"))
     both = parts.withColumn("label", F.explode(F.array(tagged, F.lit(TOTAL)))).filter(

@@ -167,20 +167,28 @@ def discount_depth(spark: SparkSession, folder: str) -> DataFrame:
     return joins.discount_depth(retail.transactions, retail.products)
 
 
+def _pivot(retail: Retail, dimension: DataFrame, line_key: str, key: str, label: str) -> DataFrame:
+    """Side by side where the labels are few, from long form where they are many."""
+    labels = dimension.select(label)
+    try:
+        names = features.label_names(labels)
+    except features.TooManyLabels:
+        parts = retail.spend_parts(dimension, line_key, key, label)
+        return features.spend_by(parts, retail.customers, labels)
+    sums = retail.spend_sums(dimension, line_key, key, label, names)
+    return features.spend_wide(sums, retail.customers, names)
+
+
 @query
 def category_pivot(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    products, label = retail.products, "product_taxonomies"
-    parts = retail.spend_parts(products, "l_partkey", "product_id", label)
-    return features.spend_by(parts, retail.customers, products.select(label).distinct())
+    return _pivot(retail, retail.products, "l_partkey", "product_id", "product_taxonomies")
 
 
 @query
 def store_pivot(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    stores, label = retail.stores, "store_taxonomies"
-    parts = retail.spend_parts(stores, "l_suppkey", "store_id", label)
-    return features.spend_by(parts, retail.customers, stores.select(label).distinct())
+    return _pivot(retail, retail.stores, "l_suppkey", "store_id", "store_taxonomies")
 
 
 @query

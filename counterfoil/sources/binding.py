@@ -6,6 +6,7 @@ are declared, so opening a table starts no job.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -197,6 +198,30 @@ class Retail:
             .agg(*E.sum_parts("revenue"))
         )
 
+    def spend_sums(
+        self, dimension: DataFrame, line_key: str, key: str, label: str, names: Sequence[str]
+    ) -> DataFrame:
+        """Spend per customer as one pair of sums per label; for ``features.spend_wide``.
+
+        The lines are added up per order first, all labels in one row, so they are shuffled by the
+        order only, already added up by task, and meet the orders where they are.
+        """
+        revenue = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
+        per_order = (
+            self.raw("lineitem")
+            .withColumnRenamed(line_key, key)
+            .join(dimension.select(key, F.col(label).alias("label")), key, "left")
+            .groupBy("l_orderkey")
+            .agg(*features.label_sums(revenue, F.col("label"), names))
+        )
+        return (
+            self.raw("orders")
+            .filter(F.col("o_orderdate") < features.reference_timestamp(REFERENCE_DATE))
+            .join(per_order, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("o_custkey").alias("customer_id"))
+            .agg(*features.label_parts(names))
+        )
+
     def _per_order(self, lines: DataFrame) -> DataFrame:
         units = E.to_units(_paid_price() * F.col("l_quantity"), E.REVENUE_PLACES)
         return lines.groupBy("l_orderkey").agg(

@@ -161,3 +161,10 @@ def test_pivots_shuffle_lines_once_and_orders_once(spark, small):
     assert text.count("Exchange hashpartitioning(product_id") == 2
     # each further exchange carries partial sums
     assert text.count("functions=[partial_sum") == 2 and "partial_sum(shiftright" in text
+
+
+def test_labels_beyond_the_limit_are_refused(spark):
+    labels = spark.createDataFrame([(f"l{i}",) for i in range(5)] + [(None,), ("l1",)], "label string")
+    assert features.label_names(labels) == [f"l{i}" for i in range(5)]
+    with pytest.raises(features.TooManyLabels, match="more than 4"):
+        features.label_names(labels, 4)

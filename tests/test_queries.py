@@ -119,6 +119,15 @@ def test_no_query_plans_a_cartesian_product_or_python(spark, small, no_broadcast
     for name in ("star_join", "response_label", "value_scores", "whatif_grid", "category_pivot"):
         text = plan(registry.queries()[name](spark, small))
         assert "CartesianProduct" not in text and "Python" not in text, name
+        assert "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_pivots_shuffle_lines_by_product_and_then_by_order(spark, small, no_broadcast):
+    text = plan(registry.queries()["category_pivot"](spark, small))
+    # lines by product, products, lines per order, orders, customers' sums, customers
+    assert text.count("Exchange hashpartitioning") == 6
+    assert "Expand" not in text and "Generate" not in text
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
 
 
 def test_top100_does_not_sort_everything(spark, small):
