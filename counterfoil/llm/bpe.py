@@ -3,7 +3,8 @@
 A text is cut by the tokenizer's pattern. Tier 1 looks each piece up whole in a minimal perfect
 hash of the vocabulary: one slot per token, found with one displacement, then compared. Tier 2
 merges the bytes of a missing piece: a linked list of parts and a heap of adjacent pairs by rank,
-so a piece of n bytes costs O(n log n). Recent pieces are remembered up to a bound per worker.
+so a piece of n bytes costs O(n log n); a short one is merged by scanning its few pairs. Recent
+pieces are remembered up to a bound per worker.
 
 The vocabulary is a file of ranks whose path is a parameter; it is read on the driver and
 broadcast (some 50,000 tokens, about 1 MB). Texts are mapped in place without a shuffle.
@@ -12,6 +13,8 @@ broadcast (some 50,000 tokens, about 1 MB). Texts are mapped in place without a
 from __future__ import annotations
 
 import base64
+import re
+import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -25,11 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import pieces, whole_text
+from counterfoil.llm.common import PRE_TOKEN, PRE_TOKEN_ASCII, pieces, whole_text
 
-#: Pieces that a worker remembers, and the longest of them in characters.
-MEMO_PIECES = 200_000
+#: Whether an array of this machine lies as the ids are stored.
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+
+#: Pieces that a worker remembers in each of two generations, and the longest in characters.
+MEMO_PIECES = 150_000
 MEMO_LENGTH = 48
+#: Pieces of so many bytes are merged by scanning the pairs.
+SCANNED = 24
 
 
 class PerfectHash:
@@ -88,6 +96,26 @@ class PerfectHash:
         return slot if self.keys[slot] == key else -1
 
 
+def scan(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """What ``merge`` gives, for a short piece: the lowest rank is looked for among all pairs."""
+    none = len(ranks) + (1 << 32)
+    rank_of = ranks.get
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == none:
+            break
+        i = pairs.index(best)
+        parts[i] += parts[i + 1]
+        del parts[i + 1], pairs[i]
+        if i:
+            pairs[i - 1] = rank_of(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = rank_of(parts[i] + parts[i + 1], none)
+    return [ranks[part] for part in parts]
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a piece: always merge the adjacent pair of lowest rank, the leftmost of equals."""
     size = len(piece)
@@ -157,21 +185,32 @@ class Vocabulary:
 
 
 class Memo(dict):
-    """Piece to its ids as little-endian 32-bit integers, computed on first use."""
+    """Piece to its ids as little-endian 32-bit integers, computed on first use.
+
+    Pieces are kept in two generations: when the younger is full it becomes the older, whose pieces
+    return on their next use, so frequent ones stay and the rest is forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.ranks = vocabulary.ranks
         self.whole = PerfectHash(vocabulary.ranks)
         self.rank_at = [vocabulary.ranks[key] for key in self.whole.keys]
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        slot = self.whole.slot(raw)
-        ids = [self.rank_at[slot]] if slot >= 0 else merge(raw, self.ranks)
-        packed = b"".join([i.to_bytes(4, "little") for i in ids])
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode()
+            slot = self.whole.slot(raw)
+            if slot >= 0:
+                ids = [self.rank_at[slot]]
+            else:
+                ids = (scan if len(raw) <= SCANNED else merge)(raw, self.ranks)
+            packed = array("I", ids).tobytes() if LITTLE else b"".join(i.to_bytes(4, "little") for i in ids)
         if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -181,12 +220,15 @@ class Coder:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.cut = regex.compile(vocabulary.pattern).findall
+        self.any = self.ascii = regex.compile(vocabulary.pattern).findall
+        if vocabulary.pattern == PRE_TOKEN:
+            self.ascii = re.compile(PRE_TOKEN_ASCII, re.ASCII).findall
         self.memo = Memo(vocabulary)
         self.token = {i: t for t, i in vocabulary.ranks.items()}
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.memo.__getitem__, self.cut(text)))
+        cut = self.ascii if text.isascii() else self.any
+        return b"".join(map(self.memo.__getitem__, cut(text)))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, memoryview(packed).cast("I").tolist()))

@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: What byte-level tokenizers cut a text by, and the same for a text of ASCII signs only: the
+#: standard engine is faster, and ``re.ASCII`` goes with it. Fixed values.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PRE_TOKEN_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+
 #: A key with one of so many parts of all rows is dealt out apart; there are no more such keys.
 HOT_SHARE = 1000
 #: Below so many rows no key is worth dealing out.

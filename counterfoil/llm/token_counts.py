@@ -26,12 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import pieces, whole_text
+from counterfoil.llm.common import PRE_TOKEN, PRE_TOKEN_ASCII, pieces, whole_text
 
-#: What a byte-level pre-tokenizer cuts a text by. A fixed value of the file format.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for a text of ASCII signs only, for the faster standard engine; ``re.ASCII`` goes with it.
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 #: Tokens beyond which a document is marked.
 LIMIT = 512
 #: Merged pieces a worker remembers in each of two generations, and the longest in characters.
@@ -198,8 +194,8 @@ class Counter:
     """Counts the tokens of texts by one model."""
 
     def __init__(self, model: Model) -> None:
-        self.any = regex.compile(PATTERN).findall
-        self.ascii = re.compile(ASCII_PATTERN, re.ASCII).findall
+        self.any = regex.compile(PRE_TOKEN).findall
+        self.ascii = re.compile(PRE_TOKEN_ASCII, re.ASCII).findall
         # Longer strings first, so that of two added strings at one place the longer is taken.
         added = sorted(filter(None, model.added), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))).split if added else None
