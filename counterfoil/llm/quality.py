@@ -5,7 +5,9 @@ standardized numbers approximate a Gaussian kernel. Every partition of the label
 its share of the normal equations; the sums have the size of the features squared, whatever the
 number of rows, and are solved on the driver. Ridge scores are calibrated by a monotone step
 function: positives are counted per narrow score bin by Spark, and adjacent violators of the
-bins (at most ``BINS``) are pooled on the driver.
+bins (at most ``BINS``) are pooled on the driver. The scores that calibrate are out of fold: the
+equations are summed per fold, and a fold's rows are scored by the solution of the others' sums, as
+scores of the ridge on its own rows would look too good.
 
 All labelled rows of the training folds take part; nothing is sampled.
 """
@@ -50,6 +52,7 @@ FOURIER = 256
 BINS = 1_000
 RIDGE = 1e-3
 SEED = 20_240
+FOLDS = 3
 #: Labelled rows whose share of the normal equations one task sums.
 ROWS_PER_TASK = 20_000
 
@@ -181,26 +184,42 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
 
 
+def fold_of() -> Column:
+    """Copies of a text have the same statistics and share a fold."""
+    return F.pmod(F.xxhash64("stats"), F.lit(FOLDS)).cast("int")
+
+
 def normal_equations(train: DataFrame, model: QualityModel) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of z z' and z y over (stats, y); each task adds up before Spark does."""
+    """Sums of z z' and z y over (stats, y) per fold; each task adds up before Spark does."""
     held = train.sparkSession.sparkContext.broadcast(model)
     size = FOURIER + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((size, size + 1))
+        both = np.zeros((FOLDS, size, size + 1))
         for batch in batches:
             z = held.value.features(_matrix(batch["stats"]))
             y = batch["y"].to_numpy(zero_copy_only=False).astype(float)
-            both += z.T @ np.column_stack([z, y])
-        cell = np.arange(size * (size + 1), dtype=np.int32)
-        yield pa.RecordBatch.from_pydict({"cell": cell, "value": both.ravel()})
-
-    parts = train.select("stats", "y").mapInArrow(work, "cell int, value double")
-    flat = np.zeros(size * (size + 1))
-    for r in parts.groupBy("cell").agg(F.sum("value").alias("value")).toLocalIterator():
-        flat[r.cell] = r.value
-    whole = flat.reshape(size, size + 1)
-    return whole[:, :size], whole[:, size]
+            fold = batch["fold"].to_numpy(zero_copy_only=False)
+            for f in range(FOLDS):
+                mine = fold == f
+                both[f] += z[mine].T @ np.column_stack([z[mine], y[mine]])
+        cell = np.flatnonzero(both.ravel()).astype(np.int32)
+        yield pa.RecordBatch.from_pydict({"cell": cell, "value": both.ravel()[cell]})
+
+    parts = train.select("stats", "y", fold_of().alias("fold"))
+    sums = parts.mapInArrow(work, "cell int, value double").groupBy("cell")
+    told = sums.agg(F.sum("value").alias("value")).toArrow()
+    flat = np.zeros(FOLDS * size * (size + 1))
+    flat[told["cell"].to_numpy()] = told["value"].to_numpy()
+    whole = flat.reshape(FOLDS, size, size + 1)
+    return whole[:, :, :size], whole[:, :, size]
+
+
+def solve(gram: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Ridge weights; the last feature is the constant, whose square counts the rows."""
+    penalty = RIDGE * gram[-1, -1] / FOURIER * np.eye(len(target))
+    penalty[-1, -1] = 0  # not of the constant
+    return np.linalg.solve(gram + penalty + 1e-12 * np.eye(len(target)), target)
 
 
 def pool_violators(count: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -230,21 +249,25 @@ def fit(train: DataFrame, width: float = 1.0) -> QualityModel | float:
     )
     # Dealt in turn, not by a key: copies of a text spread like all other rows.
     gram, target = normal_equations(train.repartition(max(1, -(-rows // ROWS_PER_TASK))), model)
-    penalty = RIDGE * rows * np.eye(FOURIER + 1)
-    penalty[-1, -1] = 0  # not of the constant
-    model = QualityModel(
-        model.mean, scale, np.linalg.solve(gram + penalty / FOURIER, target), width,
-        model.edges, model.levels,
-    )
-    held = train.sparkSession.sparkContext.broadcast(model)
+    weights = solve(gram.sum(axis=0), target.sum(axis=0))
+    model = QualityModel(model.mean, scale, weights, width, model.edges, model.levels)
+    # A fold whose others have no rows, as with a single text, is scored by the whole.
+    apart = [
+        solve(gram.sum(axis=0) - gram[f], target.sum(axis=0) - target[f])
+        if gram[:, -1, -1].sum() > gram[f, -1, -1] else weights
+        for f in range(FOLDS)
+    ]
+    held = train.sparkSession.sparkContext.broadcast((model, np.array(apart)))
 
     @F.pandas_udf("int")
-    def bin_of(stats: pd.Series) -> pd.Series:
-        ridge = held.value.ridge(np.stack(stats.to_numpy()))
+    def bin_of(stats: pd.Series, fold: pd.Series) -> pd.Series:
+        model, apart = held.value
+        z = model.features(np.stack(stats.to_numpy()))
+        ridge = (z * apart[fold.to_numpy()]).sum(axis=1)
         return pd.Series((np.clip(ridge, -0.5, 1.5) * BINS / 2).round().astype(np.int32))
 
     bins = sorted(
-        train.select(bin_of("stats").alias("bin"), "y")
+        train.select(bin_of("stats", fold_of()).alias("bin"), "y")
         .groupBy("bin")
         .agg(F.count("y").alias("n"), F.sum("y").alias("p"))
         .collect()
@@ -271,7 +294,8 @@ def classify(
     ``labels`` has the id and ``label``, 0 or 1; null labels and ids are left out, and an id
     labelled both ways counts as 1. ``learns`` tells, by the id column, which rows may be learned from. Null and
     empty texts have all statistics zero and are scored. Without both classes every score is
-    the share of ones, or 0.5 without labels. Repeated rows are scored alike.
+    the share of ones, or 0.5 without labels. Repeated rows are scored alike. Texts are read
+    whole, however long; no rows give no rows. Other columns are not read.
     """
     known = (
         labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))

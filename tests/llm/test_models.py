@@ -209,6 +209,24 @@ def test_normal_equations_equal_a_direct_solve(spark):
     assert np.abs(z @ direct - model.ridge(stats)).max() < 1e-6
 
 
+def test_calibration_comes_from_rows_the_ridge_has_not_seen(spark):
+    """Labels of noise: calibrated on its own rows the ridge would claim to tell them apart.
+    The equations of a fold are those of its rows alone."""
+    draw = np.random.default_rng(8)
+    stats, y = draw.normal(size=(400, len(quality.STATISTICS))), draw.integers(0, 2, 400)
+    train = spark.createDataFrame([(s.tolist(), int(v)) for s, v in zip(stats, y)], "stats array<double>, y int")
+    fresh = quality.fit(train).score(draw.normal(size=(400, len(quality.STATISTICS))))
+    assert abs(fresh.mean() - y.mean()) < 0.1 and fresh.std() < 0.25
+    model = quality.fit(train)
+    gram, target = quality.normal_equations(train, model)
+    for f in range(quality.FOLDS):
+        rows = train.filter(quality.fold_of() == f).collect()
+        z = model.features(np.array([r.stats for r in rows]))
+        assert np.allclose(gram[f], z.T @ z) and np.allclose(target[f], z.T @ np.array([r.y for r in rows]))
+    few = spark.createDataFrame([(stats[0].tolist(), 0), (stats[1].tolist(), 1)], "stats array<double>, y int")
+    assert isinstance(quality.fit(few), quality.QualityModel)
+
+
 def test_isotonic_levels_are_the_closest_ascending_ones():
     """Against the min-max formula of isotonic regression."""
     draw = np.random.default_rng(7)
