@@ -6,8 +6,9 @@ those, level 3 the listed keys that level 2 passes by mistake, and so on until a
 mistake. The first level that does not know a key decides, so every key of the corpus gets its
 true answer from a few bits per listed key.
 
-Bit positions are computed and or-ed together by Spark; the driver sees filter words only.
-Keys are spread over shards by hash so that no filter outgrows ``SHARD_BITS``. Shards are built
+Bit positions are computed and or-ed together by Spark; the driver sees stretches of filter words
+only. Different keys that share both hashes, one listed and one not, pass every level; what is left
+after ``MOST_LEVELS`` is decided by comparing the keys themselves. Keys are spread over shards by hash so that no filter outgrows ``SHARD_BITS``. Shards are built
 and broadcast in blocks of at most ``BLOCK_BYTES``, one after the other, and each block judges
 the rows of its shards; so the driver never holds more than one block.
 """
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,10 @@ ALLOW, BLOCK = "allow", "block"
 SHARD_BITS = 1 << 25
 #: Bytes of filters in one broadcast.
 BLOCK_BYTES = 64 << 20
+#: Levels of a cascade; each but the last few lets a sixteenth through.
+MOST_LEVELS = 60
+#: Filter words that Spark packs together.
+STRETCH = 1 << 12
 #: Seeds of the two hashes that Spark computes per key; a level adds its number.
 SEEDS = (0x5EED, 0xB10C)
 
@@ -86,10 +92,15 @@ class Level:
 
 @dataclass(frozen=True)
 class Cascade:
-    """Levels of filters by shard. ``knows`` takes the two key hashes."""
+    """Levels of filters by shard. ``knows`` takes the two key hashes; it is not right for the
+    hashes (first, second) in ``twins``, which a listed and another key share."""
 
     shards: int
     levels: tuple[Level, ...]
+    twins: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"twins": None}
 
     def size(self) -> int:
         """Bytes of all filters."""
@@ -202,11 +213,16 @@ def _cascade(keys: DataFrame, shards: int, here: int) -> Cascade:
             .groupBy("shard", F.floor(F.col("place") / 64).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
         )
+        stretch = F.floor(F.col("word") / STRETCH).alias("stretch")
         words = {}
-        for r in ored.toLocalIterator():
+        for r in ored.select("shard", stretch, "word", "bits").groupBy("shard", "stretch").applyInArrow(
+            _packed, "shard bigint, stretch bigint, packed binary"
+        ).toLocalIterator():
             if r.shard not in words:
                 words[r.shard] = np.zeros(bits // 64, np.int64)
-            words[r.shard][r.word] = r.bits
+            start = r.stretch * STRETCH
+            held = np.frombuffer(r.packed, np.int64)[: bits // 64 - start]
+            words[r.shard][start : start + len(held)] = held
         levels.append(Level(bits, hashes, words))
         # Of the other side only what passes this level goes on.
         other = keys.filter(F.col("listed") != side)
@@ -215,11 +231,19 @@ def _cascade(keys: DataFrame, shards: int, here: int) -> Cascade:
         keys = store(mine.unionByName(passing), "cascade-keys")
         left[not side] = keys.filter(F.col("listed") != side).count()
         side = not side
-        if len(levels) > 200:
-            raise ValueError("two different keys share both hashes")
+        if len(levels) == MOST_LEVELS and left[side]:
+            return Cascade(shards, tuple(levels), keys.select("first", "second").distinct())
     return Cascade(shards, tuple(levels))
 
 
+def _packed(key: tuple, words: pa.Table) -> pa.Table:
+    """The words of one stretch as bytes, those without bits zero."""
+    shard, stretch = (k.as_py() for k in key)
+    held = np.zeros(STRETCH, np.int64)
+    held[words["word"].to_numpy() - stretch * STRETCH] = words["bits"].to_numpy()
+    return pa.table({"shard": [shard], "stretch": [stretch], "packed": [held.tobytes()]})
+
+
 def _passes(df: DataFrame, one: Cascade, number: int) -> Column:
     held = df.sparkSession.sparkContext.broadcast((one.levels[0], one.shards))
 
@@ -269,6 +293,23 @@ def with_membership(
     return whole
 
 
+def _told_apart(judged: DataFrame, key: Column, twins: DataFrame, listed: DataFrame) -> DataFrame:
+    """``judged`` with the keys whose hashes are in ``twins`` looked up themselves."""
+    first, second = hashes_of(F.col("key"))
+    exact = listed.select("key").distinct().select(
+        F.col("key").alias("__key"), first.alias("first"), second.alias("second"), F.lit(True).alias("__in")
+    )
+    exact = exact.join(twins, ["first", "second"], "left_semi").select("__key", "__in")
+    first, second = hashes_of(key)
+    pairs = twins.select(
+        F.col("first").alias("__first"), F.col("second").alias("__second"), F.lit(True).alias("__twin")
+    )
+    same = (first == F.col("__first")) & (second == F.col("__second"))
+    told = judged.join(pairs, same, "left").join(exact, key == F.col("__key"), "left")
+    answer = F.when(F.col("__twin"), F.coalesce("__in", F.lit(False))).otherwise(F.col("listed"))
+    return told.withColumn("listed", answer).select(*judged.columns)
+
+
 def listed_by(rules: Sequence[Rule], keys: DataFrame) -> DataFrame:
     """The keys (columns host, path, key) that the rules block."""
     _, verdict = longest_rule(rules, F.col("host"), F.col("path"))
@@ -288,7 +329,8 @@ def filter_urls(
     keys and those that the rules block, less those that the rules allow; a page is blocked
     if its key is in the cascade. Without a rule and without a listing the verdict is allow.
     A null url, or one without ``://``, has the empty host, path and key, which no rule fits.
-    Rows that repeat are judged each by itself. Other columns are not read.
+    Rows that repeat are judged each by itself; urls of any length are judged whole; no rows give
+    no rows. Other columns are not read.
     """
     parts = pages.select(
         F.col(id_column).alias(id_column),
@@ -304,8 +346,12 @@ def filter_urls(
         _, verdict = longest_rule(rules, F.col("host"), F.col("path"))
         allowed = keys.filter(verdict == ALLOW).select("key")
         blocked = blocked.unionByName(listed.select("key").join(allowed, "key", "left_anti"))
-    cascades = build_cascades(blocked, keys)
-    judged = with_membership(parts, cascades, key_of(F.col("host"), F.col("path")), "listed")
+    key = key_of(F.col("host"), F.col("path"))
+    cascades = list(build_cascades(blocked, keys))
+    judged = with_membership(parts, cascades, key, "listed")
+    for _, cascade in cascades:
+        if cascade.twins is not None:
+            judged = _told_apart(judged, key, cascade.twins, blocked)
     rule, _ = longest_rule(rules, F.col("host"), F.col("path"))
     verdict = F.when(F.col("listed"), BLOCK).otherwise(ALLOW)
     return judged.select(

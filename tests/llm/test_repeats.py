@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from counterfoil.llm import common, dart_minhash, mixing, toxicity
+from counterfoil.llm import common, dart_minhash, mixing, toxicity, url_filter
 from counterfoil.llm.common import fold
 from counterfoil.llm.registry import SQL
 from counterfoil.sources.storage import store
@@ -136,3 +136,15 @@ def test_salted_join_with_clashing_names_and_a_hot_key(spark):
     right = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     out = common.salted_join(left, right, "k")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+
+
+def test_keys_that_share_both_hashes_are_told_apart(spark, monkeypatch):
+    """All keys of one length collide; the listed ones are still the only ones that are blocked."""
+    monkeypatch.setattr(url_filter, "MOST_LEVELS", 4)
+    monkeypatch.setattr(url_filter, "hashes_of", lambda key: (F.length(key).cast("bigint"), F.lit(3).cast("bigint")))
+    urls = [f"http://h{i}.org/{'x' * (i % 7)}" for i in range(60)] + [None, "none"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    listed = [f"h{i}.org/{'x' * (i % 7)}" for i in range(0, 60, 4)]
+    rows = url_filter.filter_urls(pages, [], spark.createDataFrame([(k,) for k in listed], "key string")).collect()
+    assert {r.page_id for r in rows if r.verdict == "block"} == set(range(0, 60, 4))
+    assert len(rows) == len(urls)
