@@ -145,10 +145,15 @@ class Restorer:
     def __init__(self, log_p: np.ndarray) -> None:
         self.log_p = log_p.tolist()
 
+    @staticmethod
+    def core(word: str) -> str:
+        """The word without the signs around it."""
+        return word.strip(".,;:?\"'()[]{}!|&%#*$-_~ ")
+
     @staticmethod
     def noisy(word: str) -> bool:
         """Whether the word, without signs around it, may hide another one."""
-        core = word.strip(".,;:?\"'()[]{}!|&%#*$-_~ ")
+        core = Restorer.core(word)
         if _SIGNS.match(word):
             return True
         if len(core) < 2 or not _LETTER.search(core):
@@ -238,6 +243,13 @@ class Restorer:
             return self.restore(word).split()
         if not self.noisy(word):
             return [word.strip(".,;:?\"'()[]{}!|&%#*$-_~")]
+        core = self.core(word)
+        if len(core) > 1 and core.isalpha() and word[0] not in "@$!|+(":
+            word = core  # what stands around whole words is decoration
+        if word.isalpha() and len(found := _STRETCHED.findall(word)) == 1:
+            once = _STRETCHED.sub(r"\1", word)
+            if found[0] * 3 not in word:
+                return [once, word]  # the lattice has these two paths only, and both count
         bare = "".join(c if c.isalpha() else " " for c in word).split()
         word = word.rstrip("!.,;:?") or word
         # Of doubled signs both readings, once and twice.
