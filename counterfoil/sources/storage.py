@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,15 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/counterfoil/{spark.sparkContext.applicationId}"
 
 
+#: Where the paths made by the innermost ``settled`` are noted.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -50,6 +58,31 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(
+    spark: SparkSession, build: Callable[[], DataFrame], label: str
+) -> tuple[DataFrame, str]:
+    """What ``build`` returns, stored, and its path; what was stored on the way is deleted."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        df = build()
+        _MADE.reset(token)
+        path = new_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+    finally:
+        if _MADE.get() is made:
+            _MADE.reset(token)
+        for old in made:
+            delete(spark, old)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Tables read from there end with it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A few driver-side rows as a plan constant: no job, and a size the optimizer knows."""
     columns = [
@@ -77,8 +110,7 @@ def small_side(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     """Delete what this application has stored. Tables read from there end with it."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    delete(spark, _own_folder(spark))
 
 
 @contextmanager

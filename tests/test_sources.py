@@ -166,6 +166,26 @@ def test_scratch_is_cleared_at_the_end(spark):
     assert not os.path.exists(folder)
 
 
+def test_what_a_step_stores_on_the_way_is_deleted(spark):
+    def inner():
+        return storage.store(spark.range(5), "inside")
+
+    def build():
+        kept, _ = storage.settled(spark, inner, "step")
+        return kept.join(storage.store(spark.range(3), "other"), "id")
+
+    folder = os.path.dirname(storage.new_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    df, path = storage.settled(spark, build, "whole")
+    left = {n for n in os.listdir(folder) if n not in before}
+    assert left == {os.path.basename(path)} and df.count() == 3
+    with pytest.raises(ValueError):
+        storage.settled(spark, lambda: (storage.store(spark.range(2), "lost"), int("x")), "failed")
+    assert {n for n in os.listdir(folder) if n not in before} == left
+    storage.delete(spark, path)
+    assert not os.path.exists(f"{folder}/{os.path.basename(path)}")
+
+
 def test_truth_table(spark, tmp_path):
     rows = [("a", "High Value", C.PERSUADABLE), ("b", "Occasional", C.LOST_CAUSE)]
     truth = spark.createDataFrame(rows, catalog.TRUTH_SCHEMA)
