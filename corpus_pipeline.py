@@ -9,12 +9,14 @@ bytes.
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from counterfoil.llm import bpe, dart_minhash, exact_dedup, mixing, toxicity
 from counterfoil.llm.common import fold, table
-from counterfoil.sources.storage import store
+from counterfoil.sources.storage import delete, settled
 
 #: SQL has no counterpart of the first, third and last stage.
 ORACLE_SQL = None
@@ -55,8 +57,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written once and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's rows are written once and read by the next.
+
+    What a stage stores on its way goes when its rows are written, and these when the next stage's
+    are; what the last stage reads is left for the reader of its result.
+    """
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, written = settled(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        if path is not None:
+            delete(spark, path)
+        path = written
     return STAGES[-1][1](spark, docs, sf_dir)
