@@ -261,18 +261,18 @@ SQL: dict[str, str] = {
         FROM celled""",
     "op10_topk": """
         WITH good AS (
-            SELECT vec_id,
+            SELECT vec_id, row_number() OVER () AS r,
                 list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS v
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding,
                 lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.r, q.vec_id AS query_id, c.vec_id,
                 CAST(list_sum(list_transform(range(1, len(q.v) + 1),
                     lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-            FROM good q JOIN good c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+            FROM good q JOIN good c ON q.vec_id % 20 = 0 AND q.r <> c.r
         ), ranked AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY r
                 ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
             FROM scored
         )

@@ -426,26 +426,26 @@ def test_url_rules(spark):
 
 
 def brute_top(rows, k=20):
-    good = {}
+    """Every row is a candidate for all others; repeated rows ask and are found each."""
+    good = []
     for i, v, _ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [math.floor(64 * float(np.float32(x))) for x in v]
-        good[i] = max(good.get(i, q), q)
-    out = set()
-    for q in good:
+        good.append((i, [math.floor(64 * float(np.float32(x))) for x in v]))
+    out = collections.Counter()
+    for at, (q, x) in enumerate(good):
         if q % 20 == 0:
             dots = sorted(
-                (-sum(a * b for a, b in zip(good[q], good[c])), c) for c in good if c != q
+                (-sum(a * b for a, b in zip(x, y)), c) for to, (c, y) in enumerate(good) if to != at
             )
-            out |= {(q, rank, c, -s) for rank, (s, c) in enumerate(dots[:k], 1)}
+            out.update((q, rank, c, -s) for rank, (s, c) in enumerate(dots[:k], 1))
     return out
 
 
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(topk, "GROUP_ROWS", 60)
-    monkeypatch.setattr(topk, "CHUNK_ROWS", 4)
+    monkeypatch.setattr(topk, "LEAST_RANGE", 60)
+    monkeypatch.setattr(topk, "TILE_BYTES", 60 * 8 * 5)
     draw = random.Random(9)
     rows = [(i, [draw.gauss(0, 0.3) for _ in range(5)], i) for i in range(200)]
     rows += [(200 + i, [0.5] * 5, 0) for i in range(60)]  # ties
@@ -453,7 +453,7 @@ def test_top_k(spark, monkeypatch):
     rows += [(360, [1.0, math.inf], 1), (380, [], 1), (400, [2.0, -1.0], 1), rows[20], rows[20]]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, id int")
     got = topk.top_k(vectors, F.col("vec_id") % 20 == 0).collect()
-    assert {tuple(r) for r in got} == brute_top(rows) and len(got) == len(brute_top(rows))
+    assert collections.Counter(map(tuple, got)) == brute_top(rows)
     assert topk.top_k(vectors.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
     few = topk.top_k(vectors.filter("vec_id IN (0, 1, 2)"), F.col("vec_id") % 20 == 0).collect()
     assert [r.rank for r in sorted(few)] == [1, 2]
@@ -462,10 +462,42 @@ def test_top_k(spark, monkeypatch):
 def test_scores_beyond_exact_doubles_stay_whole():
     vectors = np.array([[(1 << 53) + 2, 0], [(1 << 53) + 3, 0], [1, 0]], np.int64)
     ids = np.arange(3)
-    _, found, scores = topk.best_of_group(ids, vectors, ids[2:], vectors[2:], 1)
+    _, found, scores = topk.best_of_group(ids, ids, vectors, ids[2:], vectors[2:], 1)
     assert (found.tolist(), scores.tolist()) == ([1], [(1 << 53) + 3])
 
 
+def test_blocks_of_clustered_vectors_are_skipped():
+    """Near a cluster the bounds of other clusters' blocks are below the k-th score."""
+    draw = np.random.default_rng(2)
+    centers = draw.integers(-400, 400, (40, 16))
+    vectors = np.concatenate([c + draw.integers(-20, 20, (300, 16)) for c in centers])
+    vectors = vectors[draw.permutation(len(vectors))]
+    rows = np.arange(len(vectors))
+    visited = []
+    at, found, scores = topk.best_of_group(rows, rows, vectors, rows[:50], vectors[:50], 20, visited)
+    assert len(visited) == 50 and np.mean(visited) < 0.3 * len(vectors) / topk.BLOCK_ROWS
+    for q in range(50):
+        dots = vectors @ vectors[q]
+        dots[q] = -(10**9)
+        want = np.lexsort((rows, -dots))[:20]
+        assert found[at == q].tolist() == want.tolist() and scores[at == q].tolist() == dots[want].tolist()
+
+
+def test_shuffled_rows_grow_with_the_table():
+    """Up to a tile of queries no vector is copied, and queries once for each partition; beyond
+    it the copies grow by tiles of 65,536, not by rows."""
+
+    def moved(count):
+        _, ranges, chunks = topk.tiles(count, count // 20, 64, 200)
+        return count * chunks + count // 20 * ranges
+
+    assert [topk.tiles(n, n // 20, 64, 12)[2] for n in (10_256, 51_282, 1_300_000)] == [1, 1, 1]
+    assert moved(51_282) < 6 * moved(10_256)
+    assert moved(1_300_000) <= 11 * 1_300_000
+    assert moved(100_000_000) < 100_000_000 * 160
+    assert topk.tiles(0, 0, 0, 8) == (topk.LEAST_RANGE, 1, 1)
+
+
 # Suffix tree
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import subprocess
 import sys
 
@@ -13,6 +14,7 @@ import corpus_pipeline
 from counterfoil.llm import toxicity
 from counterfoil.llm.common import fold
 from counterfoil.llm.registry import QUERIES, SQL, bpe_vocabulary
+from counterfoil.sources.storage import new_path
 
 from test_operators import brute_classes, lowered, reference_coder
 
@@ -111,6 +113,14 @@ def test_pipeline_stage_by_stage(spark, medium):
     )
 
 
+def test_a_run_of_the_pipeline_leaves_only_what_it_reads(spark, small):
+    folder = os.path.dirname(new_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    assert corpus_pipeline.run(spark, small).count() > 0
+    (left,) = {n for n in os.listdir(folder) if n not in before}
+    assert left.startswith("pipeline-mixing-")
+
+
 def test_the_rest_imports_without_this_package():
     code = (
         "import sys; sys.modules['counterfoil.llm'] = None; import __spark_entry__ as e; "
