@@ -16,8 +16,7 @@ import time
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CURRENT, MANIFEST, DATA = "_CURRENT", "_MANIFEST", "data"
@@ -105,35 +104,34 @@ def _reader(spark: SparkSession, fmt: str, schema: T.StructType):
 
 
 def publish(
-    rows: DataFrame, root: str, fmt: str = "parquet", label: str = "", keep: int = 2
+    rows: DataFrame,
+    root: str,
+    fmt: str = "parquet",
+    label: str = "",
+    keep: int = 2,
+    expected: int | None = None,
 ) -> Manifest:
     """Write ``rows`` as a new version below ``root`` and make it the current one.
 
-    The rows are counted while they are written and again as they are read back; a difference
-    stops the job before the switch. Afterwards all but the ``keep`` last versions go, as do
-    those that were never finished. One publisher at a time. Rows keep the order within a part file.
+    The written rows are counted by reading them back; if ``expected`` is given and they are not
+    as many, or if they cannot be read, the job stops before the switch. Afterwards all but the
+    ``keep`` last versions go, as do those that were never finished. One publisher at a time. Rows
+    keep the order within a part file.
     """
     if keep < 1:
         raise ValueError("the current version must be kept")
     spark = rows.sparkSession
     folder = _Folder(spark, root)
     version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    seen = Observation(f"published-{version}")
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(f"{folder.root}/{version}/{DATA}")
-    count = seen.get["rows"]
-    manifest = Manifest(
-        version,
-        count,
-        *folder.size(f"{version}/{DATA}"),
-        fmt,
-        rows.schema.json(),
-        label,
-        time.time(),
-    )
-    _check(spark, folder, manifest)
+    path = f"{folder.root}/{version}/{DATA}"
+    writer = rows.write.option("header", True) if fmt == "csv" else rows.write
+    writer.format(fmt).save(path)
+    count = _reader(spark, fmt, rows.schema).load(path).count()
+    if expected is not None and count != expected:
+        raise BrokenVersion(f"{version}: expected {expected} rows, wrote {count}")
+    files, size = folder.size(f"{version}/{DATA}")
+    schema = rows.schema.json()
+    manifest = Manifest(version, count, files, size, fmt, schema, label, time.time())
     folder.write(f"{version}/{MANIFEST}", json.dumps(asdict(manifest)))
     _switch(folder, version)
     clean(spark, root, keep)
@@ -143,8 +141,9 @@ def publish(
 def _check(spark: SparkSession, folder: _Folder, manifest: Manifest) -> None:
     schema = T.StructType.fromJson(json.loads(manifest.schema))
     held = _reader(spark, manifest.format, schema).load(f"{folder.root}/{manifest.version}/{DATA}")
-    if held.count() != manifest.rows:
-        raise BrokenVersion(f"{manifest.version}: wrote {manifest.rows} rows, found {held.count()}")
+    count = held.count()
+    if count != manifest.rows:
+        raise BrokenVersion(f"{manifest.version}: {manifest.rows} rows were written, {count} found")
 
 
 def _switch(folder: _Folder, version: str) -> None:

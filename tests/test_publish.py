@@ -57,7 +57,10 @@ def test_a_job_that_fails_leaves_the_old_list(spark, tmp_path, monkeypatch):
         publish.publish(rows(spark, 6), root)
     monkeypatch.undo()
     assert publish.read_published(spark, root, check=True).count() == 5
-    publish.publish(rows(spark, 8), root, keep=1)
+    with pytest.raises(publish.BrokenVersion, match="expected 7"):
+        publish.publish(rows(spark, 6), root, expected=7)
+    assert publish.read_published(spark, root, check=True).count() == 5
+    publish.publish(rows(spark, 8), root, keep=1, expected=8)
     assert publish.read_published(spark, root, check=True).count() == 8
     assert len([n for n in os.listdir(root) if n.startswith("v-")]) == 1
 
