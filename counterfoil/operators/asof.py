@@ -50,6 +50,10 @@ def basket_days(transactions: DataFrame, before: date | None = None) -> DataFram
     Keyed by basket and day, so neither a customer nor a basket with a large share of all lines
     lands in one task; the chains need one row per basket and day only. ``before`` cuts the history
     at the scan: no reference date may lie after it.
+
+    The basket is grouped by as a struct. By its plain id Spark would do all of this where lines
+    joined by that id already are: the join's sorts, both halves of the sums and the chains in one
+    task, which holds them all at once, and a skewed basket could not be split in the join.
     """
     moment = F.col("datetime")
     kept = F.col("customer_id").isNotNull() & moment.isNotNull()
@@ -58,7 +62,7 @@ def basket_days(transactions: DataFrame, before: date | None = None) -> DataFram
     units = E.to_units(F.col("price") * F.col("qty"), E.REVENUE_PLACES)
     days = (
         transactions.filter(kept)
-        .groupBy("customer_id", "po_id", _day(moment).alias("day"))
+        .groupBy("customer_id", F.struct("po_id").alias("basket"), _day(moment).alias("day"))
         .agg(
             F.max(moment).alias("last_purchase"),
             *E.sum_units(units, "revenue"),
@@ -66,6 +70,7 @@ def basket_days(transactions: DataFrame, before: date | None = None) -> DataFram
             F.sum(E.has_promotion(F.col("promotion_id")).cast("bigint")).alias("promo_lines"),
             F.count(F.lit(1)).alias("lines"),
         )
+        .withColumn("po_id", F.col("basket.po_id"))
     )
     chain = Window.partitionBy("customer_id", "po_id").orderBy("day")
     named = F.col("po_id").isNotNull()

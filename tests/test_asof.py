@@ -187,3 +187,21 @@ def test_one_scan_serves_all_dates(spark, small):
     # the rest are the promotions' join.
     lines = [x for x in text.split("\n") if "Exchange hashpartitioning" in x]
     assert len([x for x in lines if "promotion_id" not in x]) <= 7
+
+
+def test_lines_are_joined_added_up_and_chained_in_tasks_of_their_own(spark, small):
+    """Where the join's rows already lie by basket, one task would hold all its sorts and sums."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["features_as_of_lines"](spark, small)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    steps = plan.toString().split("\n")
+    joined = next(i for i, x in enumerate(steps) if "SortMergeJoin [l_orderkey" in x)
+    chained = max(i for i, x in enumerate(steps[:joined]) if " Window [" in x)
+    between = [x for x in steps[chained:joined] if "Exchange" in x or "HashAggregate" in x]
+    kinds = ["Exchange" if "Exchange" in x else "HashAggregate" for x in between]
+    assert kinds == ["Exchange", "HashAggregate", "Exchange", "HashAggregate"]
