@@ -21,10 +21,23 @@ from counterfoil.sources.storage import delete, settled
 #: SQL has no counterpart of the first, third and last stage.
 ORACLE_SQL = None
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: What Arrow hands a worker at once. By default it is 64 MB of text, of which executor and worker
+#: hold several copies beside a heap that the stages before have filled. No result depends on it.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = "4m"
+#: Pieces that a worker of the last stage remembers in each generation, for the same reason.
+MEMO_PIECES = 40_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands workers small batches, unless it has a limit of its own."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, SMALL_BATCH)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects toxic texts; labels of one fold in five are never learned from."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels")
     return toxicity.reject(docs, labels, learns=fold("doc_id", 5) != 0)
 
@@ -34,6 +47,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return dart_minhash.keep_one(docs)
 
 
@@ -42,8 +56,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = public_tokenizers.path(VOCABULARY)
-    vocabulary = bpe.Vocabulary.read(path, public_tokenizers.PATTERN)
+    vocabulary = bpe.Vocabulary.read(path, public_tokenizers.PATTERN, MEMO_PIECES)
     return bpe.encode_digests(docs, vocabulary)
 
 

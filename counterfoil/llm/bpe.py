@@ -138,10 +138,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 @dataclass
 class Vocabulary:
-    """Tokens by rank, and the pattern that cuts a text into pieces."""
+    """Tokens by rank, the pattern that cuts a text into pieces, and how many of these a worker
+    remembers in each of two generations: fewer take less memory and more time."""
 
     ranks: dict[bytes, int]
     pattern: str
+    memo_pieces: int = MEMO_PIECES
 
     @cached_property
     def coder(self) -> "Coder":
@@ -149,16 +151,16 @@ class Vocabulary:
         return Coder(self)
 
     def __getstate__(self) -> dict:
-        return {"ranks": self.ranks, "pattern": self.pattern}
+        return {"ranks": self.ranks, "pattern": self.pattern, "memo_pieces": self.memo_pieces}
 
     @classmethod
-    def read(cls, path: str, pattern: str) -> "Vocabulary":
+    def read(cls, path: str, pattern: str, memo_pieces: int = MEMO_PIECES) -> "Vocabulary":
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         for byte in range(256):
             if bytes([byte]) not in ranks:
                 raise ValueError(f"{path}: no token for the byte {byte}")
-        return cls(ranks, pattern)
+        return cls(ranks, pattern, memo_pieces)
 
 
 class Memo(dict):
@@ -171,6 +173,7 @@ class Memo(dict):
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.ranks = vocabulary.ranks
+        self.most = vocabulary.memo_pieces
         self.whole = PerfectHash(vocabulary.ranks)
         self.rank_at = [vocabulary.ranks[key] for key in self.whole.keys]
         self.older: dict[str, bytes] = {}
@@ -183,7 +186,7 @@ class Memo(dict):
             ids = [self.rank_at[slot]] if slot >= 0 else merge(raw, self.ranks)
             packed = array("I", ids).tobytes() if LITTLE else b"".join(i.to_bytes(4, "little") for i in ids)
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_PIECES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[piece] = packed

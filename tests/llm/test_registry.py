@@ -3,15 +3,17 @@
 import collections
 import hashlib
 import os
+import pickle
 import subprocess
 import sys
 
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from counterfoil.llm import toxicity
+from counterfoil.llm import bpe, toxicity
 from counterfoil.llm.common import fold
 from counterfoil.llm.registry import QUERIES, SQL, bpe_vocabulary
 from counterfoil.sources.storage import new_path
@@ -113,6 +115,38 @@ def test_pipeline_stage_by_stage(spark, medium):
     )
 
 
+def test_workers_of_the_pipeline_get_small_batches(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    rows = spark.range(0, 4000, 1, 1).select(F.expr("repeat('x', 3000)").alias("text"))
+    limit = corpus_pipeline.BATCH_BYTES
+
+    def work(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    before = spark.conf.get(limit, None)
+    try:
+        for stage in ("toxicity", "near_dedup", "bpe"):
+            spark.conf.unset(limit)
+            dict(corpus_pipeline.STAGES)[stage](spark, documents.limit(20), small)
+            held = [r.n for r in rows.mapInArrow(work, "n bigint").collect()]
+            assert sum(held) > 12_000_000 and max(held) < 5_000_000
+        spark.conf.set(limit, "1m")
+        corpus_pipeline.encode(spark, documents, small)
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+
+
+def test_a_worker_of_the_last_stage_remembers_few_pieces(spark, small):
+    whole = bpe_vocabulary()
+    held = pickle.loads(pickle.dumps(bpe.Vocabulary(whole.ranks, whole.pattern, 3)))
+    text = "one two three four five one antidisestablishmentarianism two " * 3
+    assert held.coder.encode(text) == whole.coder.encode(text)
+    assert max(len(held.coder.memo), len(held.coder.memo.older)) <= 3
+    assert corpus_pipeline.MEMO_PIECES < bpe.MEMO_PIECES == whole.memo_pieces
+
+
 def test_a_run_of_the_pipeline_leaves_only_what_it_reads(spark, small):
     folder = os.path.dirname(new_path(spark, "x")).removeprefix("file:")
     before = set(os.listdir(folder)) if os.path.exists(folder) else set()
