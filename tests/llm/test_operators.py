@@ -613,6 +613,52 @@ def test_suffix_tree_keeps_rare_words_contexts_and_next_words(spark, monkeypatch
     assert [round(got[i], 6) for i in range(len(texts))] == [round(x, 6) for x in want]
 
 
+@pytest.mark.parametrize(("depth", "group"), [(1, 200), (2, 200), (3, 200), (3, 1000)])
+def test_suffix_tree_deals_frequent_contexts_out(spark, monkeypatch, depth, group):
+    draw = random.Random(12)
+    words = ["of", "the", *(f"v{i}" for i in range(200))]
+    texts = []
+    for i in range(300):
+        text = draw.choices(words, [40, 40] + [1] * 200, k=30) + ["of", "the", draw.choice(words)]
+        texts.append(" ".join([*text, "a", "b", "c", "d", *draw.choices([f"r{i}", "e"], k=2)]))
+    # Held-out texts have frequent contexts before words that never followed, or never occurred.
+    texts += ["of the of the new", "a b new a b v7 new new c of", "", "a b c d d of the"] * 2
+    last = len(texts) - 8
+    learned = [t for i, t in enumerate(texts[:last]) if i % 4]
+    want, _ = suffix_tree_by_hand(texts, learned, depth)
+    levels = []
+    known = suffix_tree.hot_contexts
+    monkeypatch.setattr(
+        suffix_tree, "hot_contexts", lambda *x: levels.append(known(*x)) or levels[-1]
+    )
+    monkeypatch.setattr(suffix_tree, "GROUP", group)
+    monkeypatch.setattr(suffix_tree, "HEAD", 500)
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(3)
+    learns = (F.col("doc_id") % 4 != 0) & (F.col("doc_id") < last)
+    got = {r.doc_id: r.score for r in suffix_tree.score(docs, learns, depth).collect()}
+    assert max(levels[0].parts) > 1
+    assert len(levels) == (depth if group == 200 else 1) and all(len(x.codes) for x in levels)
+    assert [round(got[i], 6) for i in range(len(texts))] == [round(x, 6) for x in want]
+
+
+def test_suffix_tree_moves_few_bytes_a_token(spark, tmp_path):
+    draw = random.Random(13)
+    words, weights = [f"w{i}" for i in range(3000)], [1 / (i + 1) for i in range(3000)]
+    texts = [" ".join(draw.choices(words, weights, k=400)) for _ in range(500)]
+    rows = [(t, i % 7 != 2) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(rows, "text string, learns boolean")
+    rows = rows.select(F.col("text").cast("binary").alias("text"), "learns").coalesce(1)
+    counts = suffix_tree.word_counts(rows.filter("learns").select("text"))
+    tree = suffix_tree.frequent_words(counts)
+    none = suffix_tree.Hot(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    often = suffix_tree.seen_often(suffix_tree.roots(counts, tree))
+    blocks = suffix_tree.occurrences(rows, tree, 2, [none], 4, often)
+    blocks.write.option("compression", "none").parquet(str(tmp_path / "blocks"))
+    size = sum(f.stat().st_size for f in (tmp_path / "blocks").glob("*.parquet"))
+    # A row of the former counts had four 64-bit numbers, and was moved and stored three times.
+    assert size < 8 * 401 * 500
+
+
 # Classifiers
 
 
